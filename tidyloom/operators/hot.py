@@ -1,0 +1,63 @@
+"""Find the groups that are too large for one task, and join null-safely on keys."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tidyloom.settings import ROWS_PER_TASK, is_small_input, limit_of
+
+
+def same_keys(keys: Sequence[str], prefix: str = "_k") -> Column:
+    """Equality on keys against columns ``_k0, _k1, ...`` that also matches null to null."""
+    tests = [F.col(f"`{key}`").eqNullSafe(F.col(f"{prefix}{i}")) for i, key in enumerate(keys)]
+    return reduce(lambda a, b: a & b, tests)
+
+
+def renamed_keys(keys: Sequence[str], prefix: str = "_k") -> list[Column]:
+    return [F.col(f"`{key}`").alias(f"{prefix}{i}") for i, key in enumerate(keys)]
+
+
+@dataclass(frozen=True)
+class HotGroups:
+    """Keys of the oversized groups, with the number of tasks their rows deserve."""
+
+    frame: DataFrame | None  # columns _k0.., None when the whole table is one group
+    chunks: int
+
+
+def find_hot_groups(df: DataFrame, keys: Sequence[str]) -> HotGroups | None:
+    """Groups with more than ``rowsPerTask`` rows, or None when there are none.
+
+    Counting is combined on the map side, so a hot key costs no more than
+    another. What comes to the driver are only keys over the limit, of which
+    there are at most (rows / limit); they are then broadcast.
+    """
+    spark = df.sparkSession
+    if is_small_input(df):
+        return None
+    limit = limit_of(spark, ROWS_PER_TASK)
+    if not keys:
+        rows = df.count()
+        return HotGroups(None, max(2, -(-rows // limit))) if rows > limit else None
+    counted = df.groupBy(*renamed_keys(keys)).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > limit)
+    found = counted.collect()
+    if not found:
+        return None
+    rows = sum(row["_rows"] for row in found)
+    return HotGroups(spark.createDataFrame(found, counted.schema).drop("_rows"), max(2, -(-rows // limit)))
+
+
+def split_hot(df: DataFrame, keys: Sequence[str], hot: HotGroups) -> tuple[DataFrame | None, DataFrame]:
+    """The rows outside the hot groups (None for a whole-table group) and those inside."""
+    if hot.frame is None:
+        return None, df
+    keys_frame = F.broadcast(hot.frame)
+    return (
+        df.join(keys_frame, same_keys(keys), "left_anti"),
+        df.join(keys_frame, same_keys(keys), "left_semi"),
+    )
