@@ -27,11 +27,15 @@ def parse_date(column: Column | str, layout: str) -> Column:
     """Parse a text by a named layout, or by a Spark pattern.
 
     ``written`` may carry a leading weekday name, which Spark does not parse.
+    Two-digit years run from 1969 to 2068, where Spark would begin at 2000.
     """
     column = as_column(column)
     if layout == "written":
         column = F.regexp_replace(column, r"^\p{L}+, *", "")
-    return F.to_date(column, LAYOUTS.get(layout, layout))
+    parsed = F.to_date(column, LAYOUTS.get(layout, layout))
+    if layout == "month_first_short_year":
+        parsed = F.when(F.year(parsed) >= 2069, F.add_months(parsed, -1200)).otherwise(parsed)
+    return parsed
 
 
 def weekday_number(column: Column | str) -> Column:

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidyloom.operators.ordered import ordered_columns
-from tidyloom.settings import LOOKUP_ROWS, limit_of
+
+# Pieces a band table is cut into at least, so that a row meets few bands besides its own.
+_LEAST_PIECES = 1_000
 
 
 def prefixed(df: DataFrame, prefix: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -60,33 +62,24 @@ def not_in(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(other.select(*keys), list(keys), "left_anti")
 
 
-def band_join(df: DataFrame, bands: DataFrame, value: Column, low: str, high: str, *, width: float | None = None) -> DataFrame:
+def band_join(df: DataFrame, bands: DataFrame, value: Column, low: str, high: str) -> DataFrame:
     """Join rows to the bands that hold a value, both ends included.
 
-    A short band table (up to ``spark.tidyloom.lookupRows``, checked) goes to
-    every task and each row picks its bands, without a shuffle. A longer one is
-    cut in pieces of ``width`` and joined by piece number, so that each row
-    meets only the bands near it.
+    The number line is cut in equal pieces, about as many as there are bands
+    (1,000 at least). Bands are listed under each piece they touch, and a row
+    meets only the bands of its own piece: an equi-join, which Spark broadcasts
+    or sorts by the size of the band table, in place of all pairs.
     """
-    limit = limit_of(df.sparkSession, LOOKUP_ROWS)
-    names = bands.columns
-    head = bands.limit(limit + 1).collect()
-    if len(head) <= limit:
-        if not head:
-            return df.join(bands, F.lit(False), "inner")
-        # One row that holds the whole short table, read as a one-value subquery.
-        table = bands.agg(F.collect_list(F.struct(*names)).alias("_bands")).select("_bands").scalar()
-        inside = F.filter(table, lambda band: value.between(band[low], band[high]))
-        return df.withColumn("_band", F.explode(inside)).select(
-            *[F.col(f"`{c}`") for c in df.columns], *[F.col(f"_band.{c}").alias(c) for c in names]
-        )
-    if not width:
-        raise ValueError(f"more than {limit} bands: give the piece width for the keyed join")
-    cut = lambda column: F.floor(column / F.lit(width)).cast("long")
-    pieces = bands.withColumn("_piece", F.explode(F.sequence(cut(F.col(low)), cut(F.col(high)))))
-    rows = df.withColumn("_value", value).withColumn("_piece", cut(F.col("_value")))
-    joined = rows.join(pieces, "_piece").where(F.col("_value").between(F.col(low), F.col(high)))
-    return joined.drop("_piece", "_value")
+    edges = bands.agg(F.min(low).cast("double").alias("start"), F.max(high).cast("double").alias("end"), F.count(F.lit(1)).alias("n")).first()
+    if edges["n"] == 0 or edges["start"] is None or edges["end"] is None:
+        return df.join(bands, F.lit(False), "inner")
+    width = max((edges["end"] - edges["start"]) / max(_LEAST_PIECES, edges["n"]), 1e-9)
+    piece = lambda column: F.floor((column - F.lit(edges["start"])) / F.lit(width)).cast("long")
+    # A row outside all bands has no piece; bands that end before they begin hold nothing.
+    listed = bands.where(F.col(low) <= F.col(high)).withColumn("_piece", F.explode(F.sequence(piece(F.col(low)), piece(F.col(high)))))
+    rows = df.withColumn("_value", value).where(F.col("_value").between(edges["start"], edges["end"]))
+    joined = rows.withColumn("_piece", piece(F.col("_value"))).join(listed, "_piece")
+    return joined.where(F.col("_value").between(F.col(low), F.col(high))).drop("_piece", "_value")
 
 
 def next_at_or_after(

@@ -7,8 +7,6 @@ Every limit is a Spark SQL setting, so a job can change it without code:
 * ``spark.tidyloom.smallInputBytes`` - when Catalyst's size estimate of an
   input is at or under this, no group in it can be too large for one task, and
   the pass that counts group sizes is saved.
-* ``spark.tidyloom.lookupRows`` - lookup tables up to this many rows are put
-  into the plan as literals or broadcast; larger ones are joined by key.
 """
 
 from __future__ import annotations
@@ -20,12 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 ROWS_PER_TASK = "spark.tidyloom.rowsPerTask"
 SMALL_INPUT_BYTES = "spark.tidyloom.smallInputBytes"
-LOOKUP_ROWS = "spark.tidyloom.lookupRows"
 
 DEFAULTS = {
     ROWS_PER_TASK: 4_000_000,
     SMALL_INPUT_BYTES: 64 * 1024 * 1024,
-    LOOKUP_ROWS: 1_000,
 }
 
 
