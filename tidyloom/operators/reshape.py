@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidyloom.functions.text import extract_groups
+from tidyloom.functions import text
 from tidyloom.operators.groups import distinct_entity
 
 
@@ -46,9 +46,10 @@ def split_to_rows(df: DataFrame, column: str, separator: str, name: str | None =
 
 
 def split_groups(df: DataFrame, column: str, pattern: str, names: Sequence[str]) -> DataFrame:
-    """Replace a text column by one column for each regex group."""
+    """Replace a text column by one column for each regex group; all null where the pattern does not match."""
     kept = [F.col(f"`{c}`") for c in df.columns if c != column]
-    return df.select(*extract_groups(column, pattern, names), *kept)
+    matched = df.withColumn("_groups", text.groups_array(F.col(f"`{column}`"), pattern, len(names)))
+    return matched.select(*[F.get("_groups", F.lit(i)).alias(name) for i, name in enumerate(names)], *kept)
 
 
 def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -94,21 +95,24 @@ def harmonize(frames: Sequence[DataFrame], name_map: Mapping[str, str], columns:
     return stacked.select(*columns)
 
 
-def harmonize_by_rule(df: DataFrame, ids: Sequence[str], rule: Callable[[Column], Column], names: Sequence[str]) -> DataFrame:
-    """Melt, name each measure by a rule on its old name, and pivot back."""
-    long = melt(df, ids, names_to="_old_name", values_to="_value")
-    return spread(long.withColumn("_name", rule(F.col("_old_name"))), ids, "_name", "_value", names)
+def harmonize_by_rule(df: DataFrame, ids: Mapping[str, str], rule: Callable[[str], str | None], names: Sequence[str]) -> DataFrame:
+    """Name each measure by a rule on its old name. ``ids`` maps the id columns to their new names.
+
+    Column names are known before any data is read, so no melting and pivoting
+    is needed. A measure that the rule does not know is left out.
+    """
+    known = {old: new for old in df.columns if old not in ids and (new := rule(old)) in names}
+    return harmonize([df], {**ids, **known}, [*ids.values(), *[name for name in names if name in known.values()]])
 
 
 def fill_blanks(df: DataFrame, key: Sequence[str], blanks: Sequence[str]) -> DataFrame:
     """Fill attributes that are given on one row of a key only.
 
-    They are taken out into one row for each key and joined back, where a
-    forward fill would need the file's row order. Keys without any value for
-    the attributes drop out with the inner join.
+    The given values are taken out into one row for each key and joined back,
+    where a forward fill would need the file's row order. Keys without any
+    value for the attributes drop out.
     """
-    long = melt(df, key, blanks, names_to="_name", values_to="_value").dropna()
-    entity = spread(long, key, "_name", "_value", blanks)
+    entity = df.groupBy(*key).agg(*[F.max(c).alias(c) for c in blanks]).where(F.coalesce(*[F.col(c).cast("string") for c in blanks]).isNotNull())
     return df.drop(*blanks).join(entity, list(key))
 
 

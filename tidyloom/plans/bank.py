@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidyloom.functions import dates, predicates, text
 from tidyloom.operators import groups, joins, ordered, ranks, reshape, scaffold
+from tidyloom.settings import stored
 
 # Column headers of the inputs and their clean names.
 TRANSACTION_NAMES = {"Transaction Code": "transaction_code", "Value": "value", "Customer Code": "customer_code"}
@@ -154,8 +155,9 @@ def day_end_balance(lines: DataFrame, account: str, day: str, order: Sequence[st
 def daily_balance(lines: DataFrame, account: str, day: str, movement: str, order: Sequence[str], balance: str = "running_balance") -> DataFrame:
     """Every account on every day: movement of the day (0 if none) and the balance carried forward."""
     last = F.max_by(balance, F.struct(*order)).alias("daily_end_balance")
-    observed = lines.groupBy(account, day).agg(groups.zero_sum(movement).alias("total_movement"), last)
-    grid = scaffold.key_grid(lines.select(account).distinct(), scaffold.dense_dates(lines, day, day))
+    # Read three times below, and much smaller than the lines: stored once.
+    observed = stored(lines.groupBy(account, day).agg(groups.zero_sum(movement).alias("total_movement"), last))
+    grid = scaffold.key_grid(observed.select(account).distinct(), scaffold.dense_dates(observed, day, day))
     filled = scaffold.fill_grid(grid, observed, [account, day], {"total_movement": 0})
     return ordered.forward_fill(filled, [account], [F.col(day).asc()], "daily_end_balance")
 
@@ -163,10 +165,12 @@ def daily_balance(lines: DataFrame, account: str, day: str, movement: str, order
 def account_summary(lines: DataFrame, accounts: DataFrame, on: datetime.date) -> DataFrame:
     """Movement and balance of every account on one day; before its first payment an account has its opening balance."""
     opening = groups.distinct_entity(accounts, ["account_number"], ["balance_taken_on", "balance"])
-    days = scaffold.dense_dates(lines, "transaction_created_on", "summary_on")
-    observed = lines.groupBy("account_number", F.col("transaction_created_on").alias("summary_on")).agg(
-        groups.zero_sum("transaction_value").alias("total_transaction_value"), F.max_by("running_balance", "line").alias("daily_end_balance")
+    observed = stored(
+        lines.groupBy("account_number", F.col("transaction_created_on").alias("summary_on")).agg(
+            groups.zero_sum("transaction_value").alias("total_transaction_value"), F.max_by("running_balance", "line").alias("daily_end_balance")
+        )
     )
+    days = scaffold.dense_dates(observed, "summary_on", "summary_on")
     grid = scaffold.key_grid(opening.select("account_number"), days.where(F.col("summary_on") <= F.lit(on)))
     filled = scaffold.fill_grid(grid, observed, ["account_number", "summary_on"], {"total_transaction_value": 0.0})
     carried = ordered.forward_fill(filled, ["account_number"], [F.col("summary_on").asc()], "daily_end_balance")

@@ -31,9 +31,7 @@ def clean_metrics(sheets: Mapping[str, DataFrame], year: int) -> DataFrame:
     """
     parts = []
     for month, sheet in sheets.items():
-        names = {old: new for old in sheet.columns if (new := metric_name(old))}
-        found = [new for new in METRICS if new in names.values()]
-        part = reshape.harmonize([sheet], {"AgentID": "agent_id", **names}, ["agent_id", *found])
+        part = reshape.harmonize_by_rule(sheet, {"AgentID": "agent_id"}, metric_name, METRICS)
         label = f"{month}-{year}"
         number = F.month(dates.parse_date(F.lit(f"01-{label}"), "day_short_month"))
         parts.append(part.withColumns({"collected_in": F.lit(label), "month_number": number}))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidyloom.functions import amounts, dates, predicates, text
 from tidyloom.operators import groups, ordered, ranks, reshape, scaffold
+from tidyloom.settings import stored
 from tidyloom.sources import readers, sinks
 
 # Spellings of bicycle sheet columns and their common names.
@@ -48,7 +49,8 @@ def customers_up_to_share(sales: DataFrame, keys: Sequence[str], share: float =
     spend = sales.groupBy(*keys).agg(F.sum("sales").alias("customer_sales"))
     order = [F.col("customer_sales").desc(), *[F.col(key).asc() for key in keys]]
     running = ordered.running_sum(spend, [], order, F.col("customer_sales"), "_running")
-    total = sales.agg(F.sum("sales").alias("total")).select("total").scalar()
+    # The same aggregate as above: Spark runs its shuffle once for both.
+    total = spend.agg(F.sum("customer_sales").alias("total")).select("total").scalar()
     so_far = F.col("_running") / total
     return running.where(so_far <= share).select(
         *keys, "customer_sales", (F.col("customer_sales") / total).alias("prop_customer_sales"), so_far.alias("running_prop_sales")
@@ -86,12 +88,18 @@ def rolling_profit(sales: DataFrame, forecast_from: datetime.date, size: int = 3
     """Monthly sales and profit of every shop and bicycle type, 0 where none, with the mean of three months."""
     keys = ["store", "bike_type", "month"]
     monthly = sales.withColumn("month", dates.month_start("sales_on"))
-    facts = monthly.groupBy(*keys).agg(
-        groups.zero_sum("daily_sales").alias("monthly_sales"), groups.zero_sum("daily_profit").alias("monthly_profit")
+    # The grid reads the monthly facts four times; they are far fewer than the sales and are stored once.
+    facts = stored(
+        monthly.groupBy(*keys).agg(
+            groups.zero_sum("daily_sales").alias("monthly_sales"),
+            groups.zero_sum("daily_profit").alias("monthly_profit"),
+            F.min("sales_on").alias("_first"),
+        )
     )
-    months = sales.where(F.col("sales_on") < F.lit(forecast_from)).select(dates.month_start("sales_on").alias("month")).distinct()
-    shops = scaffold.key_grid(sales.select("store").distinct(), sales.select("bike_type").distinct())
-    grid = scaffold.fill_grid(scaffold.key_grid(shops, months), facts, keys, {"monthly_sales": 0, "monthly_profit": 0})
+    months = facts.where(F.col("_first") < F.lit(forecast_from)).select("month").distinct()
+    shops = scaffold.key_grid(facts.select("store").distinct(), facts.select("bike_type").distinct())
+    defaults = {"monthly_sales": 0, "monthly_profit": 0}
+    grid = scaffold.fill_grid(scaffold.key_grid(shops, months), facts.drop("_first"), keys, defaults)
     return ordered.rolling_mean(grid, keys[:2], [F.col("month").asc()], F.col("monthly_profit"), "rolling_monthly_profit", size)
 
 

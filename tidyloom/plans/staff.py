@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidyloom.functions import dates, predicates
 from tidyloom.operators import groups, joins, reshape, scaffold
+from tidyloom.settings import stored
 
 # Column headers and their clean names.
 EMPLOYEE_NAMES = {"date_of_birth": "born_on", "hire_date": "hired_on", "leave_date": "left_on"}
@@ -94,7 +95,7 @@ def demographics(wide: DataFrame, ids: Sequence[str], attributes: Sequence[str],
     """Count of each attribute value in each unit, 0 where a unit lacks a value that others have."""
     keys = [*ids, "demographic_type", "demographic_detail"]
     long = reshape.melt(wide.select(*ids, *attributes), ids, attributes, names_to="demographic_type", values_to="demographic_detail")
-    seen = groups.count_by(long, *keys, name=count)
+    seen = stored(groups.count_by(long, *keys, name=count))  # read three times below
     grid = scaffold.key_grid(seen.select(*ids).distinct(), seen.select("demographic_type", "demographic_detail").distinct())
     # Observed and expected rows are summed: a null detail groups with itself, where a join would lose it.
     together = seen.unionByName(grid.withColumn(count, F.lit(0).cast("long")))

@@ -158,7 +158,7 @@ def q_price_band(spark, folder):
     FROM spans
 """)
 def q_tenure(spark, folder):
-    shipped = table(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.min(F.to_date("l_shipdate")).alias("left_on"))
+    shipped = table(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.to_date(F.min("l_shipdate")).alias("left_on"))
     orders = table(spark, folder, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("hired_on"))
     spans = orders.join(shipped, "o_orderkey", "left")
     spans = spans.withColumn("until", dates.earliest(F.lit(datetime.date(2001, 12, 31)), "left_on"))

@@ -116,11 +116,9 @@ def q_harmonize_metrics(spark, folder):
         F.sum(F.when(~returned, quantity)).alias("Calls Answered"),
     )
 
-    def rule(name):
-        tests = [("Offered", "num_offered"), ("Not Answered", "num_not_answered"), ("Answered", "num_answered")]
-        return predicates.first_match([(name.contains(part), new) for part, new in tests])
-
-    return reshape.harmonize_by_rule(wide, ["agent_id"], rule, ["num_offered", "num_not_answered", "num_answered"])
+    tests = [("Offered", "num_offered"), ("Not Answered", "num_not_answered"), ("Answered", "num_answered")]
+    rule = lambda name: next((new for piece, new in tests if piece in name), None)
+    return reshape.harmonize_by_rule(wide, {"agent_id": "agent_id"}, rule, [new for _, new in tests])
 
 
 @query("""

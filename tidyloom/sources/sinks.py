@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidyloom.settings import ROWS_PER_TASK, limit_of
+from tidyloom.settings import ROWS_PER_TASK, limit_of, stored
 
 
 def write_json_lines(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -25,10 +25,13 @@ def write_json_tables(tables: Mapping[str, DataFrame], path: str, mode: str = "e
         write_json_lines(table, f"{path.rstrip('/')}/{name}", mode)
 
 
-def _small_enough(df: DataFrame, what: str) -> None:
+def _small_enough(df: DataFrame, what: str) -> DataFrame:
+    """The result, worked out once and stored, after a check of its size."""
     limit = limit_of(df.sparkSession, ROWS_PER_TASK)
-    if df.limit(limit + 1).count() > limit:
+    result = stored(df)
+    if result.count() > limit:
         raise ValueError(f"{what} has more than {limit} rows, too many for one JSON text: write JSON files instead")
+    return result
 
 
 def json_bundle(tables: Mapping[str, DataFrame], name: str = "document") -> DataFrame:
@@ -39,8 +42,7 @@ def json_bundle(tables: Mapping[str, DataFrame], name: str = "document") -> Data
     """
     pieces = None
     for label, table in tables.items():
-        _small_enough(table, label)
-        rows = table.agg(F.array_sort(F.collect_list(F.struct(*table.columns))).alias("_rows")).select("_rows").scalar()
+        rows = _small_enough(table, label).agg(F.array_sort(F.collect_list(F.struct(*table.columns))).alias("_rows")).select("_rows").scalar()
         pieces = [*(pieces or []), rows.alias(label)]
     spark = next(iter(tables.values())).sparkSession
     return spark.range(1).select(F.to_json(F.struct(*pieces)).alias(name))
@@ -51,7 +53,7 @@ def json_by_key(df: DataFrame, key: str, order: Sequence[str], name: str = "rows
 
     For results of bounded size; ``write_json_by_key`` is the form without a bound.
     """
-    _small_enough(df, "the result")
+    result = _small_enough(df, "the result")
     rest = [c for c in df.columns if c not in order and c != key]
     ordered = F.array_sort(F.collect_list(F.struct(*order, *rest)))
-    return df.groupBy(key).agg(F.to_json(ordered).alias(name))
+    return result.groupBy(key).agg(F.to_json(ordered).alias(name))
