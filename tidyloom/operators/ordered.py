@@ -19,6 +19,9 @@ from tidyloom.operators.hot import HotGroups, find_hot_groups, renamed_keys, sam
 from tidyloom.settings import stored
 
 
+_FIND = object()
+
+
 def ordered_columns(
     df: DataFrame,
     keys: Sequence[str],
@@ -28,6 +31,7 @@ def ordered_columns(
     row_number: str | None = None,
     previous: Mapping[str, Column] | None = None,
     last_seen: Mapping[str, Column] | None = None,
+    hot: HotGroups | None | object = _FIND,
 ) -> DataFrame:
     """Add columns that depend on the order of rows inside each group.
 
@@ -38,9 +42,12 @@ def ordered_columns(
     * ``row_number``: 1-based position
     * ``previous``: value in the row before
     * ``last_seen``: latest non-null value up to and with this row
+
+    ``hot`` is the result of ``find_hot_groups`` where the caller has it already.
     """
     wanted = _Wanted(running_sum or {}, row_number, previous or {}, last_seen or {})
-    hot = find_hot_groups(df, keys)
+    if hot is _FIND:
+        hot = find_hot_groups(df, keys)
     if hot is None:
         return _in_one_task_per_group(df, keys, order, wanted)
     cold_rows, hot_rows = split_hot(df, keys, hot)
@@ -155,9 +162,9 @@ def rolling_mean(df: DataFrame, keys: Sequence[str], order: Sequence[Column], va
     Written as a chain of previous values, so that it follows the same split as
     the other operators: no frame has to reach over a range border by itself.
     """
-    frame, terms = df.withColumn("_t0", value), [F.col("_t0")]
+    frame, terms, hot = df.withColumn("_t0", value), [F.col("_t0")], find_hot_groups(df, keys)
     for i in range(1, size):
-        frame = ordered_columns(frame, keys, order, previous={f"_t{i}": F.col(f"_t{i - 1}")})
+        frame = ordered_columns(frame, keys, order, previous={f"_t{i}": F.col(f"_t{i - 1}")}, hot=hot)
         terms.append(F.col(f"_t{i}"))
     total = sum(terms[1:], terms[0])
     return frame.withColumn(name, total / F.lit(size)).drop(*[f"_t{i}" for i in range(size)])

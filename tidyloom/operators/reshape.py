@@ -20,7 +20,7 @@ def melt(
     types = {df.schema[c].dataType.simpleString() for c in values}
     if len(types) > 1 and not types <= {"tinyint", "smallint", "int", "bigint", "float", "double"}:
         df = df.withColumns({c: F.col(f"`{c}`").cast("string") for c in values})
-    return df.unpivot(list(ids), values, names_to, values_to)
+    return df.unpivot([F.col(f"`{c}`") for c in ids], [F.col(f"`{c}`") for c in values], names_to, values_to)
 
 
 def spread(

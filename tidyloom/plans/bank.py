@@ -163,20 +163,23 @@ def daily_balance(lines: DataFrame, account: str, day: str, movement: str, order
 
 
 def account_summary(lines: DataFrame, accounts: DataFrame, on: datetime.date) -> DataFrame:
-    """Movement and balance of every account on one day; before its first payment an account has its opening balance."""
+    """Movement and balance of every account on one day; before its first payment an account has its opening balance.
+
+    One day needs no grid of days: the last line up to it has the balance that
+    a forward fill would have carried there.
+    """
     opening = groups.distinct_entity(accounts, ["account_number"], ["balance_taken_on", "balance"])
-    observed = stored(
-        lines.groupBy("account_number", F.col("transaction_created_on").alias("summary_on")).agg(
-            groups.zero_sum("transaction_value").alias("total_transaction_value"), F.max_by("running_balance", "line").alias("daily_end_balance")
-        )
+    day = F.lit(on)
+    so_far = lines.where(F.col("transaction_created_on") <= day).groupBy("account_number").agg(
+        groups.zero_sum(F.when(F.col("transaction_created_on") == day, F.col("transaction_value"))).alias("total_transaction_value"),
+        F.max_by("running_balance", "line").alias("daily_end_balance"),
     )
-    days = scaffold.dense_dates(observed, "summary_on", "summary_on")
-    grid = scaffold.key_grid(opening.select("account_number"), days.where(F.col("summary_on") <= F.lit(on)))
-    filled = scaffold.fill_grid(grid, observed, ["account_number", "summary_on"], {"total_transaction_value": 0.0})
-    carried = ordered.forward_fill(filled, ["account_number"], [F.col("summary_on").asc()], "daily_end_balance")
-    joined = carried.where(F.col("summary_on") == F.lit(on)).join(opening, "account_number")
+    joined = opening.join(so_far, "account_number", "left")
     return joined.select(
-        "account_number", "summary_on", "total_transaction_value", F.coalesce("daily_end_balance", "balance").alias("daily_end_balance")
+        "account_number",
+        day.alias("summary_on"),
+        F.coalesce("total_transaction_value", F.lit(0)).alias("total_transaction_value"),
+        F.coalesce("daily_end_balance", "balance").alias("daily_end_balance"),
     )
 
 

@@ -41,8 +41,10 @@ def word_analysis(words: DataFrame, tiles: DataFrame) -> DataFrame:
     chance = F.product(F.when(enough, F.pow("_chance", "word_frequency")).otherwise(F.lit(0.0)))
     scored = drawn.groupBy("word").agg(chance.alias("probability"), F.sum(F.col("word_frequency") * F.col("points")).alias("total_points"))
     possible = words.select(F.upper(F.col("word")).alias("word")).join(scored.where(F.col("probability") > 0), "word")
-    by_chance = ranks.ranked(possible, [], "probability", "probability_rank", descending=True)
-    return ranks.ranked(by_chance, [], "total_points", "total_points_rank", descending=True)
+    # Equal chances tie in whatever order their letters were multiplied: the rank
+    # is that of the rounded logarithm.
+    by_chance = ranks.ranked(possible.withColumn("_log", F.round(F.log("probability"), 9)), [], "_log", "probability_rank", descending=True)
+    return ranks.ranked(by_chance.drop("_log"), [], "total_points", "total_points_rank", descending=True)
 
 
 def evolution_gains(stats: DataFrame, evolutions: DataFrame) -> DataFrame:
