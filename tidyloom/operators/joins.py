@@ -94,7 +94,8 @@ def next_at_or_after(
     right = candidates.select(*by, F.col(candidate).alias("_at"), F.col(candidate).alias("_here"))
     together = left.withColumn("_is_day", F.lit(True)).unionByName(right.withColumn("_is_day", F.lit(False)), allowMissingColumns=True)
     # Latest first; on one date the candidate comes before the rows that use it.
-    order = [F.col("_at").desc(), F.col("_is_day").asc()]
+    # The hash only tells equal dates apart, so that a date with very many rows can be split.
+    order = [F.col("_at").desc(), F.col("_is_day").asc(), F.xxhash64(*days.columns).asc()]
     found = ordered_columns(together, by, order, last_seen={name: F.col("_here")})
     return found.where("_is_day AND " + f"`{name}` IS NOT NULL").drop("_at", "_here", "_is_day")
 

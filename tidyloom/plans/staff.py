@@ -39,7 +39,8 @@ def clean_snapshots(raw: DataFrame) -> DataFrame:
 
 def with_filled_ids(employees: DataFrame, snapshots: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both tables with employee number and guid filled from pairs seen in either."""
-    pairs = joins.id_pairs([employees, snapshots], "employee_id", "guid")
+    # One row for each employee, read four times: stored once.
+    pairs = stored(joins.id_pairs([employees, snapshots], "employee_id", "guid"))
     return tuple(joins.fill_ids(frame, pairs, "employee_id", "guid") for frame in (employees, snapshots))
 
 
@@ -59,14 +60,17 @@ def describe_generations(raw: DataFrame) -> DataFrame:
 
 
 def with_generation(employees: DataFrame, generations: DataFrame) -> DataFrame:
-    """Employees with their generation, one row each; ``Not provided`` where the birth date is null."""
-    names = employees.columns
-    known = joins.band_join(
-        employees.where(F.col("born_on").isNotNull()), describe_generations(generations), F.year("born_on"), "start_year", "end_year"
-    ).select(*names, F.col("generation_descr").alias("employee_generation_descr"))
-    unknown = employees.where(F.col("born_on").isNull()).withColumn("employee_generation_descr", F.lit("Not provided"))
-    both = known.unionByName(unknown)
-    return groups.distinct_entity(both, ["employee_id"], both.columns)
+    """Employees with their generation, one row each; ``Not provided`` where the birth date is null.
+
+    The bands are joined to the birth years, of which there are few, and the
+    labelled years to the employees.
+    """
+    years = employees.select(F.year("born_on").alias("_year")).dropna().distinct()
+    labels = joins.band_join(years, describe_generations(generations), F.col("_year"), "start_year", "end_year").select("_year", "generation_descr")
+    joined = employees.withColumn("_year", F.year("born_on")).join(labels, "_year", "left")
+    kept = joined.where(F.col("born_on").isNull() | F.col("generation_descr").isNotNull())
+    described = kept.select(*employees.columns, predicates.label_null("born_on", "generation_descr").alias("employee_generation_descr"))
+    return groups.distinct_entity(described, ["employee_id"], described.columns)
 
 
 def with_age_range(snapshots: DataFrame, employees: DataFrame) -> DataFrame:

@@ -20,9 +20,12 @@ from tidyloom.sources import lookups
 """)
 def q_join_inner(spark, folder):
     orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("order_key"), "o_orderpriority")
-    lines = table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("order_key"), "l_quantity")
+    # Lines are summed on the join key first, so that an order with very many of them is one row in the join.
+    lines = table(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("order_key")).agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").alias("quantity")
+    )
     return orders.join(lines, "order_key").groupBy("o_orderpriority").agg(
-        F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").cast("long").alias("quantity")
+        F.sum("lines").alias("lines"), F.sum("quantity").cast("long").alias("quantity")
     )
 
 
@@ -31,10 +34,9 @@ def q_join_inner(spark, folder):
     FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1
 """)
 def q_join_renamed(spark, folder):
-    joined = table(spark, folder, "orders").join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    return joined.drop("c_custkey").groupBy("c_mktsegment").agg(
-        F.count(F.lit(1)).alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total_value")
-    )
+    orders = table(spark, folder, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders"), F.sum("o_totalprice").alias("value"))
+    joined = orders.join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    return joined.drop("c_custkey").groupBy("c_mktsegment").agg(F.sum("orders").alias("orders"), F.round(F.sum("value"), 2).alias("total_value"))
 
 
 @query("""

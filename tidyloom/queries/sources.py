@@ -156,7 +156,9 @@ def q_json_bundle(spark, folder):
     orders = table(spark, folder, "orders")
     customer = table(spark, folder, "customer")
     by_status = groups.total_by(orders, "o_orderstatus", value=amounts.cents("o_totalprice"), name="total_cents")
-    by_segment = groups.count_by(orders.join(customer, F.col("o_custkey") == F.col("c_custkey")), "c_mktsegment", name="orders")
+    per_customer = groups.count_by(orders, "o_custkey", name="n")
+    joined = per_customer.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    by_segment = joined.groupBy("c_mktsegment").agg(F.sum("n").alias("orders"))
     return sinks.json_bundle({"by_status": by_status, "by_segment": by_segment})
 
 
