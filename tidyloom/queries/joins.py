@@ -237,21 +237,23 @@ def q_scaffold_month(spark, folder):
 
 
 @query("""
-    WITH d AS (SELECT c_nationkey AS center, year(o_orderdate) AS y, o_orderstatus, o_orderpriority, c_mktsegment
-               FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 490000),
-    long AS (SELECT center, 'o_orderstatus' AS demographic_type, o_orderstatus AS demographic_detail FROM d
-             UNION ALL SELECT center, 'o_orderpriority', o_orderpriority FROM d UNION ALL SELECT center, 'c_mktsegment', c_mktsegment FROM d
-             UNION ALL SELECT center, 'order_year', CAST(y AS VARCHAR) FROM d),
-    seen AS (SELECT center, demographic_type, demographic_detail, COUNT(*) AS n FROM long GROUP BY ALL),
-    grid AS (SELECT * FROM (SELECT DISTINCT center FROM seen) CROSS JOIN (SELECT DISTINCT demographic_type, demographic_detail FROM seen))
-    SELECT center, demographic_type, demographic_detail, COALESCE(n, 0) AS number_of_employees
-    FROM grid LEFT JOIN seen USING (center, demographic_type, demographic_detail)
+    WITH d AS (SELECT c_nationkey AS center, last_day(CAST(o_orderdate AS DATE)) AS month_end, year(o_orderdate) AS y, o_orderstatus, o_orderpriority, c_mktsegment
+               FROM orders JOIN customer ON o_custkey = c_custkey),
+    long AS (SELECT center, month_end, 'o_orderstatus' AS demographic_type, o_orderstatus AS demographic_detail FROM d
+             UNION ALL SELECT center, month_end, 'o_orderpriority', o_orderpriority FROM d UNION ALL SELECT center, month_end, 'c_mktsegment', c_mktsegment FROM d
+             UNION ALL SELECT center, month_end, 'order_year', CAST(y AS VARCHAR) FROM d),
+    seen AS (SELECT *, COUNT(*) AS n FROM long GROUP BY ALL),
+    grid AS (SELECT * FROM (SELECT DISTINCT center, month_end FROM seen) CROSS JOIN (SELECT DISTINCT demographic_type, demographic_detail FROM seen))
+    SELECT center, month_end, demographic_type, demographic_detail, COALESCE(n, 0) AS number_of_employees
+    FROM grid LEFT JOIN seen USING (center, month_end, demographic_type, demographic_detail)
 """)
 def q_demographics(spark, folder):
-    orders = table(spark, folder, "orders").where(F.col("o_totalprice") > 490_000)
-    joined = orders.join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    wide = joined.select(F.col("c_nationkey").alias("center"), "o_orderstatus", "o_orderpriority", "c_mktsegment", F.year("o_orderdate").alias("order_year"))
-    return staff.demographics(wide, ["center"], ["o_orderstatus", "o_orderpriority", "c_mktsegment", "order_year"])
+    joined = table(spark, folder, "orders").join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    wide = joined.select(
+        F.col("c_nationkey").alias("center"), F.last_day("o_orderdate").alias("month_end"), "o_orderstatus", "o_orderpriority", "c_mktsegment",
+        F.year("o_orderdate").alias("order_year"),
+    )
+    return staff.demographics(wide, ["center", "month_end"], ["o_orderstatus", "o_orderpriority", "c_mktsegment", "order_year"])
 
 
 @query("""
