@@ -20,6 +20,8 @@ if __name__ == "__main__":
     settings["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="tidyloom-check-")
     if "--split" in sys.argv:  # force the plans for groups that do not fit one task
         settings |= {"spark.tidyloom.smallInputBytes": "0", "spark.tidyloom.rowsPerTask": "40"}
+    if "--zone" in sys.argv:  # results must not depend on the session's time zone
+        settings["spark.sql.session.timeZone"] = "America/New_York"
     spark = build_session(master="local[8]", **settings)
     spark.sparkContext.setLogLevel("ERROR")
     connection = oracle.connect(folder)

@@ -20,8 +20,8 @@ ROWS_PER_TASK = "spark.tidyloom.rowsPerTask"
 SMALL_INPUT_BYTES = "spark.tidyloom.smallInputBytes"
 
 DEFAULTS = {
-    ROWS_PER_TASK: 4_000_000,
-    SMALL_INPUT_BYTES: 64 * 1024 * 1024,
+    ROWS_PER_TASK: 2_000_000,
+    SMALL_INPUT_BYTES: 16 * 1024 * 1024,
 }
 
 
