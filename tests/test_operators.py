@@ -84,12 +84,17 @@ def test_rank_rejects_unknown_ties(frame):
         ranks.ranked(frame, ["k"], "x", ties="dense")
 
 
-def test_best_of_group_keeps_ties(frame, data):
-    found = {r.id for r in ranks.best_of_group(frame, ["k"], "x", 2).collect()}
-    expected = set()
-    for group in by_key(data).values():
+@pytest.mark.parametrize("keys", [["k"], []])
+@pytest.mark.parametrize("descending", [False, True])
+def test_best_of_group_keeps_ties(frame, data, either, keys, descending):
+    found = {r.id: r.rank for r in ranks.best_of_group(frame, keys, "x", 2, descending=descending).collect()}
+    expected = {}
+    for group in by_key(data).values() if keys else [data]:
         values = [x for _, _, x in group if x is not None]
-        expected |= {i for i, _, x in group if x is not None and sum(v < x for v in values) < 2}
+        for i, _, x in group:
+            better = 0 if x is None else sum(v > x if descending else v < x for v in values)
+            if x is not None and better < 2:
+                expected[i] = better + 1
     assert found == expected
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidyloom.functions import text
 from tidyloom.plans import trades
-from tidyloom.settings import ROWS_PER_TASK, build_session, scratch_path
+from tidyloom.settings import DOCUMENT_ROWS, build_session, scratch_path
 from tidyloom.sources import lookups, readers, sinks
 
 
@@ -100,12 +100,12 @@ def test_json_documents(spark):
 
 
 def test_large_json_document_is_refused(spark):
-    spark.conf.set(ROWS_PER_TASK, "2")
+    spark.conf.set(DOCUMENT_ROWS, "2")
     try:
         with pytest.raises(ValueError, match="write JSON files"):
             sinks.json_bundle({"rows": spark.range(3)})
     finally:
-        spark.conf.unset(ROWS_PER_TASK)
+        spark.conf.unset(DOCUMENT_ROWS)
 
 
 def test_scratch_is_in_the_shared_folder(spark):

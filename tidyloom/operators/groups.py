@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidyloom.operators.hot import find_hot_groups, renamed_keys, same_keys
+from tidyloom.operators.hot import has_large_group, renamed_keys, same_keys
 
 
 def zero_sum(value: Column | str) -> Column:
@@ -31,7 +31,7 @@ def with_group_stats(df: DataFrame, keys: Sequence[str], stats: Mapping[str, Col
     the aggregate is taken first (combined on the map side) and joined back, so
     that no task has to hold the group; a group of null keys is matched too.
     """
-    if find_hot_groups(df, keys) is None:
+    if not has_large_group(df, keys):
         window = Window.partitionBy(*keys)
         return df.withColumns({name: stat.over(window) for name, stat in stats.items()})
     summed = df.groupBy(*renamed_keys(keys)).agg(*[stat.alias(name) for name, stat in stats.items()])

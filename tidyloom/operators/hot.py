@@ -22,6 +22,11 @@ def renamed_keys(keys: Sequence[str], prefix: str = "_k") -> list[Column]:
     return [F.col(f"`{key}`").alias(f"{prefix}{i}") for i, key in enumerate(keys)]
 
 
+# Ranges that the rows of hot groups are cut into at most: beyond that a range
+# grows, as a shuffle with many more partitions would cost more than longer sorts.
+_MOST_RANGES = 20_000
+
+
 @dataclass(frozen=True)
 class HotGroups:
     """Keys of the oversized groups, with the number of tasks their rows deserve."""
@@ -43,13 +48,28 @@ def find_hot_groups(df: DataFrame, keys: Sequence[str]) -> HotGroups | None:
     limit = limit_of(spark, ROWS_PER_TASK)
     if not keys:
         rows = df.count()
-        return HotGroups(None, max(2, -(-rows // limit))) if rows > limit else None
+        return HotGroups(None, _ranges(rows, limit)) if rows > limit else None
     counted = df.groupBy(*renamed_keys(keys)).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > limit)
     found = counted.collect()
     if not found:
         return None
     rows = sum(row["_rows"] for row in found)
-    return HotGroups(spark.createDataFrame(found, counted.schema).drop("_rows"), max(2, -(-rows // limit)))
+    return HotGroups(spark.createDataFrame(found, counted.schema).drop("_rows"), _ranges(rows, limit))
+
+
+def _ranges(rows: int, limit: int) -> int:
+    return min(_MOST_RANGES, max(2, -(-rows // limit)))
+
+
+def has_large_group(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> bool:
+    """Whether any group has more than ``limit`` (else ``rowsPerTask``) rows; only one number comes to the driver."""
+    if is_small_input(df):
+        return False
+    limit = limit or limit_of(df.sparkSession, ROWS_PER_TASK)
+    if not keys:
+        return df.count() > limit
+    counted = df.groupBy(*renamed_keys(keys)).agg(F.count(F.lit(1)).alias("_rows"))
+    return (counted.agg(F.max("_rows")).first()[0] or 0) > limit
 
 
 def split_hot(df: DataFrame, keys: Sequence[str], hot: HotGroups) -> tuple[DataFrame | None, DataFrame]:

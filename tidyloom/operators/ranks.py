@@ -8,8 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidyloom.operators.hot import find_hot_groups, renamed_keys, same_keys, split_hot
+from tidyloom.operators.hot import find_hot_groups, has_large_group, renamed_keys, same_keys, split_hot
 from tidyloom.operators.ordered import ordered_columns
+from tidyloom.settings import ROWS_PER_TASK, limit_of
 
 
 def _direction(column: str, descending: bool) -> Column:
@@ -59,36 +60,47 @@ def best_of_group(df: DataFrame, keys: Sequence[str], value: str, n: int, name:
     """Rows ranked ``n`` or better in their group, ties kept.
 
     The filter sits on the rank, so Spark drops worse rows before the shuffle
-    and even a hot group sends only its best rows of each input split.
+    and a group sends only its best rows of each input split. Very many ties
+    for the best ranks would still meet in one task; with a hot group the rank
+    is therefore given to the best ``n`` distinct values and joined back.
     """
-    window = Window.partitionBy(*keys).orderBy(F.col(value).desc() if descending else F.col(value).asc())
-    return df.where(F.col(value).isNotNull()).withColumn(name, F.rank().over(window)).where(F.col(name) <= n).withColumn(
-        name, F.col(name).cast("long")
-    )
+    known = df.where(F.col(value).isNotNull())
+    order = F.col(value).desc() if descending else F.col(value).asc()
+    if not has_large_group(known, keys):
+        window = Window.partitionBy(*keys).orderBy(order)
+        best = known.withColumn(name, F.rank().over(window)).where(F.col(name) <= n)
+        return best.withColumn(name, F.col(name).cast("long"))
+    counts = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_same"))
+    # At most n values of a group are left before its counts are summed up.
+    top = first_of_group(counts, keys, [order], n)
+    upto = F.sum("_same").over(Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+    ranks = top.withColumn(name, F.coalesce(upto, F.lit(0)) + 1).where(F.col(name) <= n)
+    wanted = ranks.select(*renamed_keys([*keys, value]), name)
+    return known.join(wanted, same_keys([*keys, value])).drop(*[f"_k{i}" for i in range(len(keys) + 1)])
+
+
+def first_of_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
+    """The first ``n`` rows of each key in a full order, trimmed before the shuffle."""
+    window = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_position", F.row_number().over(window)).where(F.col("_position") <= n).drop("_position")
 
 
-def first_of_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """One row for each key: the first in a full order. Trimmed before the shuffle like ``best_of_group``."""
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_position", F.row_number().over(window)).where(F.col("_position") == 1).drop("_position")
+# ``percentile`` keeps the distinct values of up to 128 groups in one task.
+_PERCENTILE_ROWS = 100_000
 
 
 def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float], name: str = "quantiles") -> DataFrame:
     """Exact quantiles, linear between neighbours, as one array for each group.
 
-    ``percentile`` keeps a group's distinct values in one task, so hot groups go
-    another exact way: values are counted, the counts summed up in order, and
-    the values at the wanted positions picked by conditional minimum.
+    ``percentile`` keeps the distinct values of a group in memory. With groups
+    over 100,000 rows (or ``rowsPerTask``, if less) values are counted instead,
+    the counts summed up in order, and the values at the wanted positions
+    picked by conditional minimum.
     """
     rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_x"))
-    hot = find_hot_groups(rows, keys)
-    if hot is None:
-        return _percentiles(rows, keys, probabilities, name)
-    cold_rows, hot_rows = split_hot(rows, keys, hot)
-    by_position = _percentiles_by_position(hot_rows, keys, probabilities, name)
-    if cold_rows is None:
-        return by_position
-    return _percentiles(cold_rows, keys, probabilities, name).unionByName(by_position)
+    limit = min(_PERCENTILE_ROWS, limit_of(df.sparkSession, ROWS_PER_TASK))
+    find = _percentiles_by_position if has_large_group(rows, keys, limit) else _percentiles
+    return find(rows, keys, probabilities, name)
 
 
 def _percentiles(rows, keys, probabilities, name) -> DataFrame:
@@ -100,7 +112,7 @@ def _percentiles_by_position(rows, keys, probabilities, name) -> DataFrame:
     running = ordered_columns(counts, keys, [F.col("_x").asc()], running_sum={"_upto": F.col("_same")})
     sizes = rows.groupBy(*renamed_keys(keys)).agg(F.count(F.lit(1)).alias("_size"))
     if keys:
-        sized = running.join(F.broadcast(sizes), same_keys(keys))  # hot groups only: at most rows / limit of them
+        sized = running.join(sizes, same_keys(keys))
     else:
         sized = running.withColumn("_size", sizes.select("_size").scalar())
     picks = []

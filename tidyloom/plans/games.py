@@ -31,12 +31,11 @@ def letters_per_word(words: DataFrame) -> DataFrame:
 def word_analysis(words: DataFrame, tiles: DataFrame) -> DataFrame:
     """Chance to draw each word and its points, both ranked; words that cannot be drawn are left out.
 
-    There is one tile line for each letter of the alphabet, so the tile table
-    is sent to every task and each word is worked out in one aggregation.
+    Each word is worked out in one aggregation over its letters.
     """
     all_tiles = tiles.agg(F.sum("frequency").alias("n")).select("n").scalar()
     counted = letters_per_word(words.select(F.upper(F.col("word")).alias("word")).distinct())
-    drawn = counted.join(F.broadcast(tiles), "letter").withColumn("_chance", F.col("frequency") / all_tiles)
+    drawn = counted.join(tiles, "letter").withColumn("_chance", F.col("frequency") / all_tiles)
     enough = F.col("word_frequency") <= F.col("frequency")
     chance = F.product(F.when(enough, F.pow("_chance", "word_frequency")).otherwise(F.lit(0.0)))
     scored = drawn.groupBy("word").agg(chance.alias("probability"), F.sum(F.col("word_frequency") * F.col("points")).alias("total_points"))

@@ -7,6 +7,7 @@ Every limit is a Spark SQL setting, so a job can change it without code:
 * ``spark.tidyloom.smallInputBytes`` - when Catalyst's size estimate of an
   input is at or under this, no group in it can be too large for one task, and
   the pass that counts group sizes is saved.
+* ``spark.tidyloom.documentRows`` - rows that may be put into one JSON text.
 """
 
 from __future__ import annotations
@@ -18,10 +19,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 ROWS_PER_TASK = "spark.tidyloom.rowsPerTask"
 SMALL_INPUT_BYTES = "spark.tidyloom.smallInputBytes"
+DOCUMENT_ROWS = "spark.tidyloom.documentRows"
 
 DEFAULTS = {
     ROWS_PER_TASK: 2_000_000,
     SMALL_INPUT_BYTES: 16 * 1024 * 1024,
+    DOCUMENT_ROWS: 100_000,
 }
 
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidyloom.settings import ROWS_PER_TASK, limit_of, stored
+from tidyloom.settings import DOCUMENT_ROWS, limit_of, stored
 
 
 def write_json_lines(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -27,7 +27,7 @@ def write_json_tables(tables: Mapping[str, DataFrame], path: str, mode: str = "e
 
 def _small_enough(df: DataFrame, what: str) -> DataFrame:
     """The result, worked out once and stored, after a check of its size."""
-    limit = limit_of(df.sparkSession, ROWS_PER_TASK)
+    limit = limit_of(df.sparkSession, DOCUMENT_ROWS)
     result = stored(df)
     if result.count() > limit:
         raise ValueError(f"{what} has more than {limit} rows, too many for one JSON text: write JSON files instead")
