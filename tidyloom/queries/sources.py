@@ -173,6 +173,17 @@ def q_json_by_key(spark, folder):
     return sinks.json_by_key(best.drop("value"), "weekday", ["rank", "event_id"])
 
 
+@query("""
+    SELECT o_orderstatus, o_orderpriority, COUNT(*) AS orders, CAST(MIN(o_orderdate) AS DATE) AS first_on FROM orders GROUP BY ALL
+""")
+def q_json_lines(spark, folder):
+    path = scratch_path(spark, "totals-json")
+    orders = table(spark, folder, "orders")
+    totals = orders.groupBy("o_orderstatus", "o_orderpriority").agg(F.count(F.lit(1)).alias("orders"), F.to_date(F.min("o_orderdate")).alias("first_on"))
+    sinks.write_json_lines(totals, path)
+    return spark.read.schema(totals.schema).json(path)
+
+
 @query("""
     SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'Express' WHEN '5-LOW' THEN 'Slow' ELSE o_orderpriority END AS service, COUNT(*) AS orders
     FROM orders GROUP BY 1

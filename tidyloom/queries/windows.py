@@ -155,6 +155,15 @@ def q_daily_balance(spark, folder):
     return daily.where(F.col("day") == F.lit(datetime.date(2024, 1, 15)))
 
 
+@query("""
+    SELECT CAST(ts AS DATE) AS day, COUNT(*) AS events FROM events WHERE CAST(ts AS DATE) <> (SELECT MIN(CAST(ts AS DATE)) FROM events) GROUP BY 1
+""")
+def q_after_first_day(spark, folder):
+    per_day = groups.count_by(table(spark, folder, "events"), F.to_date("ts").alias("day"), name="events")
+    first = per_day.agg(F.min("day").alias("day")).select("day").scalar()
+    return per_day.where(F.col("day") != first)
+
+
 @query("""
     SELECT event_id, user_id, last_value(CASE WHEN event_type <> 'error' THEN value END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id
            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value FROM events
