@@ -48,8 +48,11 @@ def split_to_rows(df: DataFrame, column: str, separator: str, name: str | None =
 def split_groups(df: DataFrame, column: str, pattern: str, names: Sequence[str]) -> DataFrame:
     """Replace a text column by one column for each regex group; all null where the pattern does not match."""
     kept = [F.col(f"`{c}`") for c in df.columns if c != column]
-    matched = df.withColumn("_groups", text.groups_array(F.col(f"`{column}`"), pattern, len(names)))
-    return matched.select(*[F.get("_groups", F.lit(i)).alias(name) for i, name in enumerate(names)], *kept)
+    # One row for each row: the explode keeps the optimizer from copying the
+    # regex into every filter and join condition on a group.
+    matched = df.withColumn("_groups", F.explode(F.array(text.group_pieces(F.col(f"`{column}`"), pattern, len(names)))))
+    group = lambda i: F.when(F.size("_groups") == len(names), F.nullif(F.get("_groups", F.lit(i)), F.lit("")))
+    return matched.select(*[group(i).alias(name) for i, name in enumerate(names)], *kept)
 
 
 def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:

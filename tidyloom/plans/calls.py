@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidyloom.functions import amounts, dates, predicates, text
 from tidyloom.operators import reshape, scaffold
+from tidyloom.settings import stored
 from tidyloom.sources import readers
 
 # The names that metrics get, by what their old names contain or are. Order counts.
@@ -57,6 +58,7 @@ def listed_name(first: str, last: str) -> Column:
 
 def agent_performance(metrics: DataFrame, agents: DataFrame, leaders: DataFrame, locations: DataFrame, limit: float = 0.05) -> DataFrame:
     """Every agent in every month: share of calls not answered, mean duration, sentiment, and whether the share is in bounds."""
+    metrics = stored(metrics)  # one row for each agent and month, read three times
     months = metrics.select("month_number", "collected_in").distinct()
     grid = scaffold.key_grid(metrics.select("agent_id").distinct(), months)
     own_leader = agents.where(F.col("leader_number") == 1)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidyloom.functions import dates, predicates, text
 from tidyloom.operators import groups, ordered, ranks, reshape
+from tidyloom.settings import stored
 from tidyloom.sources import lookups, readers
 
 # Column headers and their clean names.
@@ -298,7 +299,8 @@ def selected_applicants(performance: DataFrame, details: DataFrame) -> DataFrame
     order = [F.col("total_grade_score").desc(), F.col("miles_distance_to_school").asc_nulls_last(), F.col("student_id").asc()]
     places = F.when(east, REGION_PLACES["EAST"]).otherwise(REGION_PLACES["WEST"])
     best = best_applicants(applicants, ["school_region", "selected_subject"], order, places, max(REGION_PLACES.values()))
-    return school_performance(best).select(
+    # A few rows for each region and subject, read several times by the next step: stored once.
+    return school_performance(stored(best)).select(
         "student_id", "full_name", "born_on", "school_region", "school_name", "school_performance", "selected_subject",
         "english", "science", "maths", "total_grade_score",
     )
