@@ -6,7 +6,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from tidyloom.functions import amounts, predicates
+from tidyloom.functions import amounts
 from tidyloom.operators import groups
 from tidyloom.plans import flights, retail
 from tidyloom.queries.registry import query, table
