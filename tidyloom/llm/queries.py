@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tidyloom.llm.decontaminate import contamination
 from tidyloom.llm.minhash import near_duplicates
+from tidyloom.llm.packing import packed
+from tidyloom.llm.personal import KINDS, personal_spans, written
 from tidyloom.llm.registry import ORACLES, QUERIES, query
 from tidyloom.llm.store import table
 from tidyloom.llm.toxicity import toxicity
@@ -22,6 +24,30 @@ def fold(of: int) -> Column:
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+@query()
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in windows of at most 2048 tokens."""
+    pieces = packed(table(spark, folder, "documents"), tokenizer())
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier", "step_id")
+
+
+def tokenizer() -> str:
+    """The tokenizer's file, in the same place on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query()
+def op5_personal(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every text."""
+    found = personal_spans(table(spark, folder, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    kinds = F.transform(base, lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}") for kind in KINDS]
+    return found.select("doc_id", *counts, F.sha2(written(base), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
+
+
 @query(f"""
     WITH RECURSIVE texts AS (
         SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
