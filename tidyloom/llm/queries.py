@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from tidyloom.llm.decontaminate import contamination
 from tidyloom.llm.minhash import near_duplicates
+from tidyloom.llm.near_vectors import linked_vectors
 from tidyloom.llm.packing import packed
 from tidyloom.llm.personal import KINDS, personal_spans, written
+from tidyloom.llm.redirects import judged
 from tidyloom.llm.registry import ORACLES, QUERIES, query
 from tidyloom.llm.store import table
 from tidyloom.llm.toxicity import toxicity
@@ -24,6 +26,25 @@ def fold(of: int) -> Column:
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+@query("""
+    WITH RECURSIVE vectors AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+    usable AS (
+        SELECT vec_id, v FROM vectors
+        WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+    links AS (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+        WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+    reach AS (SELECT vec_id AS a, vec_id AS b FROM vectors UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+    least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+    counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+    SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+    FROM vectors JOIN least ON least.a = vec_id LEFT JOIN counts ON counts.a = vec_id
+""")
+def op1_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """All vectors with a cosine of 0.95 or more to another."""
+    return linked_vectors(table(spark, folder, "embeddings"))
+
+
 @query()
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in windows of at most 2048 tokens."""
@@ -112,3 +133,24 @@ def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 def contaminated() -> Column:
     return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+
+
+PAGE_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+@query("""
+    WITH RECURSIVE parsed AS (
+        SELECT page_id, url, html, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+    hosts AS (
+        SELECT page_id, html, url, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+            regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM parsed),
+    rules AS (FROM (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')) r(verdict, rule_host, rule_path)),
+    own AS (
+        SELECT page_id, h.host, h.path, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule, arg_max(verdict, length(rule_host || rule_path)) AS verdict
+        FROM hosts h LEFT JOIN rules r ON (h.host = rule_host OR ends_with(h.host, '.' || rule_host)) AND starts_with(h.path, rule_path)
+        GROUP BY page_id, h.host, h.path)
+    SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict, NULL::VARCHAR AS alias_rule FROM own
+""")
+def op10_redirects(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page's verdict; the given pages name no canonical address, so the SQL has no aliases to follow."""
+    return judged(table(spark, folder, "pages"), PAGE_RULES)
