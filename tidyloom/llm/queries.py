@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidyloom.llm.decontaminate import contamination
+from tidyloom.llm.interpolation import interpolated_scores
 from tidyloom.llm.minhash import near_duplicates
 from tidyloom.llm.near_vectors import linked_vectors
 from tidyloom.llm.packing import packed
@@ -45,6 +46,13 @@ def op1_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return linked_vectors(table(spark, folder, "embeddings"))
 
 
+@query()
+def op2_interpolation(spark: SparkSession, folder: str) -> DataFrame:
+    """Log-probability of every text, learned from six sevenths of them."""
+    scored = interpolated_scores(table(spark, folder, "documents"), fold(7) != 2)
+    return scored.select("doc_id", (fold(7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query()
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in windows of at most 2048 tokens."""
