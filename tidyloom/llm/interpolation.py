@@ -57,7 +57,7 @@ def _tokens(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _planes(values: np.ndarray, kind: str) -> bytes:
     """The numbers byte by byte, all first bytes, all second bytes and so on: sorted or small numbers compress well."""
-    return values.astype(kind).view(np.uint8).reshape(len(values), -1).T.tobytes()
+    return values.astype(kind).view(np.uint8).reshape(len(values), np.dtype(kind).itemsize).T.tobytes()
 
 
 def _from_planes(raw: bytes, kind: str) -> np.ndarray:

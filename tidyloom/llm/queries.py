@@ -14,6 +14,7 @@ from tidyloom.llm.personal import KINDS, personal_spans, written
 from tidyloom.llm.redirects import judged
 from tidyloom.llm.registry import ORACLES, QUERIES, query
 from tidyloom.llm.store import table
+from tidyloom.llm.suffixes import without_repeats
 from tidyloom.llm.toxicity import toxicity
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -139,6 +140,19 @@ def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query()
+def op8_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts without passages of 100 bytes that occur earlier."""
+    cut = without_repeats(table(spark, folder, "documents"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def contaminated() -> Column:
     return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
 
