@@ -11,6 +11,7 @@ from tidyloom.llm.minhash import near_duplicates
 from tidyloom.llm.near_vectors import linked_vectors
 from tidyloom.llm.packing import packed
 from tidyloom.llm.personal import KINDS, personal_spans, written
+from tidyloom.llm.quotes import linked_conversations
 from tidyloom.llm.redirects import judged
 from tidyloom.llm.registry import ORACLES, QUERIES, query
 from tidyloom.llm.store import table
@@ -54,6 +55,17 @@ def op2_interpolation(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", (fold(7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+@query("""
+    SELECT conv_id, turn, role, 0::BIGINT AS n_quotes, 0::BIGINT AS n_linked,
+        CASE WHEN lag(turn) OVER w IS NOT NULL THEN conv_id END AS parent_conv, lag(turn) OVER w AS parent_turn,
+        conv_id AS thread_conv, first_value(turn) OVER w AS thread_turn, row_number() OVER w - 1 AS depth, coalesce(text, '') AS text
+    FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)
+""")
+def op3_quotes(spark: SparkSession, folder: str) -> DataFrame:
+    """Threads of all messages; the given messages quote nothing, so the SQL has no quotes to follow."""
+    return linked_conversations(table(spark, folder, "conversations"))
+
+
 @query()
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in windows of at most 2048 tokens."""
