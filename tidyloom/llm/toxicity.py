@@ -18,9 +18,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from tidyloom.llm.store import saved
-from tidyloom.llm.words import BLANK_SEPARATED
+from tidyloom.llm.words import BLANK_SEPARATED, sliced
 
 ORDER = 6  # bytes, the predicted one included: a key fits into 64 bits
 DISCOUNT = 0.75
@@ -29,7 +30,7 @@ MAX_LABELLED, MAX_LABELLED_BYTES = 12_000, 20_000
 #: Evidence (natural log of the likelihood ratio) from which a word counts as strong.
 STRONG = 3.0
 _FEATURES = 5
-_CACHE = 400_000
+_CACHE = 150_000
 
 
 def _padded(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -112,9 +113,9 @@ class Evidence:
 def _features(evidence: Evidence):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, float] = {}
-        for batch in batches:
+        for batch in sliced(batches):
             rows = []
-            for blob in batch.column(1).to_pylist():
+            for blob in batch.column("text").to_pylist():
                 words = (blob or b"").translate(BLANK_SEPARATED).split()
                 new = list({w for w in words if w not in known})
                 for lo in range(0, len(new), 20_000):
@@ -123,7 +124,8 @@ def _features(evidence: Evidence):
                 rows.append(_described(np.array([known[w] for w in words])))
                 if len(known) > _CACHE:
                     known.clear()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.float64()))], names=["id", "x"])
+            kept = [name for name in batch.schema.names if name != "text"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in kept), pa.array(rows, pa.list_(pa.float64()))], names=[*kept, "x"])
 
     return run
 
@@ -182,7 +184,7 @@ def fitted(documents: DataFrame, labels: DataFrame, train: Column, id_column: st
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Word counts of a batch of sample rows by class; a text counts a word once, so that long texts do not outweigh others."""
-    for batch in batches:
+    for batch in sliced(batches):
         found: dict[bytes, list[int]] = {}
         for y, blob in zip(batch.column("y").to_pylist(), batch.column("text").to_pylist()):
             for word in set((blob or b"").translate(BLANK_SEPARATED).split()):
@@ -201,8 +203,9 @@ def toxicity(
     text_column: str = "text",
     label_column: str = "toxic",
     max_labelled: int = MAX_LABELLED,
+    carry: str | None = None,
 ) -> DataFrame:
-    """``id``, ``score`` (0 to 1, higher: more likely toxic) for every row of ``documents``.
+    """The id, ``score`` (0 to 1, higher: more likely toxic) and the column ``carry`` for every row of ``documents``.
 
     ``train`` is a condition on the id column: labels of other rows are never
     read. The classifier is fitted on at most ``max_labelled`` labelled rows,
@@ -215,7 +218,7 @@ def toxicity(
     the highest counts; repeated rows are each scored. Other columns are ignored.
     """
     evidence, curve = fitted(documents, labels, train, id_column, text_column, label_column, max_labelled)
-    source = documents.select(F.col(id_column).alias("id"), F.col(text_column).cast("binary").alias("text"))
-    kind = source.schema["id"].dataType.simpleString()
-    found = source.mapInArrow(_features(evidence), f"id {kind}, x array<double>")
-    return found.select(F.col("id").alias(id_column), curve.column("x").alias("score"))
+    carried = [F.col(carry).alias("carried")] if carry else []
+    source = documents.select(F.col(id_column).alias("id"), *carried, F.col(text_column).cast("binary").alias("text"))
+    found = source.mapInArrow(_features(evidence), StructType([*source.schema.fields[:-1], StructField("x", ArrayType(DoubleType()))]))
+    return found.select(F.col("id").alias(id_column), *(F.col("carried").alias(carry) for _ in carried), curve.column("x").alias("score"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -39,6 +40,13 @@ def chunks(blobs: list[bytes], limit: int = _CHUNK) -> Iterator[tuple[int, int]]
         yield first, len(blobs)
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Smaller batches of the same rows: Python objects are made for so many rows at once."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
 class _Powers:
     up = np.ones(1, dtype=np.uint64)
     down = np.ones(1, dtype=np.uint64)
