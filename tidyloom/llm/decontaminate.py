@@ -16,9 +16,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 from tidyloom.llm.store import saved
-from tidyloom.llm.words import ALNUM_SEPARATED, Words, chunks, shingles
+from tidyloom.llm.words import ALNUM_SEPARATED, Words, chunks, shingles, sliced
 
 WINDOW = 13
 #: Benchmark windows that are broadcast at most (about 200 bytes each in a task).
@@ -29,7 +30,7 @@ def _windows_of(size: int):
     """The distinct windows of each item: hash, number of words, the words themselves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             for item, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = Words([blob or b""], ALNUM_SEPARATED)
                 n = min(size, len(words.starts))
@@ -56,8 +57,8 @@ def _scan(items_of_window: list[tuple[int, int, bytes, list]], item_type: pa.Dat
         sets[size] = np.sort(np.fromiter(found, dtype=np.int64, count=len(found))), dict(found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            blobs = [b or b"" for b in batch.column(1).to_pylist()]
+        for batch in sliced(batches):
+            blobs = [b or b"" for b in batch.column("text").to_pylist()]
             rows = []
             for lo, hi in chunks(blobs):
                 words = Words(blobs[lo:hi], ALNUM_SEPARATED)
@@ -65,7 +66,7 @@ def _scan(items_of_window: list[tuple[int, int, bytes, list]], item_type: pa.Dat
                 for i in range(hi - lo):
                     first, end = int(words.ranges[i]), int(words.ranges[i + 1])
                     rows.append(_summary(words, i, hits[bisect.bisect_left(hits, (first,)) : bisect.bisect_left(hits, (end,))]) | {"n_words": end - first})
-            yield _batch(batch.column(0), rows, item_type)
+            yield _batch(batch, rows, item_type)
 
     return run
 
@@ -105,16 +106,17 @@ def _summary(words: Words, text: int, hits: list[tuple[int, int, list]]) -> dict
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def _batch(ids: pa.Array, rows: list[dict], item_type: pa.DataType) -> pa.RecordBatch:
+def _batch(batch: pa.RecordBatch, rows: list[dict], item_type: pa.DataType) -> pa.RecordBatch:
+    kept = [name for name in batch.schema.names if name != "text"]
     return pa.RecordBatch.from_arrays(
         [
-            ids,
+            *(batch.column(name) for name in kept),
             pa.array([r["n_words"] for r in rows], pa.int64()),
             pa.array([r["n_hit"] for r in rows], pa.int64()),
             pa.array([r["spans"] for r in rows], _SPANS),
             pa.array([r["items"] for r in rows], pa.list_(item_type)),
         ],
-        names=["id", "n_words", "n_hit", "spans", "items"],
+        names=[*kept, "n_words", "n_hit", "spans", "items"],
     )
 
 
@@ -127,8 +129,9 @@ def contamination(
     item_text_column: str = "text",
     window: int = WINDOW,
     broadcast_windows: int = BROADCAST_WINDOWS,
+    carry: str | None = None,
 ) -> DataFrame:
-    """``id``, ``n_words``, ``n_hit``, ``spans`` (hit byte ranges), ``items`` for every row of ``documents``.
+    """The id, ``n_words``, ``n_hit``, ``spans`` (hit byte ranges), ``items`` and the column ``carry`` for every row of ``documents``.
 
     Words are runs of ASCII letters, digits and non-ASCII characters, A-Z in
     lower case. An item's windows are its runs of ``window`` words; a shorter
@@ -143,19 +146,23 @@ def contamination(
     items = benchmark.select(F.col(item_column).alias("item"), F.col(item_text_column).cast("binary").alias("text"))
     kind = items.schema["item"].dataType.simpleString()
     windows = saved(items.mapInArrow(_windows_of(window), f"item {kind}, key long, size int, words binary"), "windows")
-    source = documents.select(F.col(id_column).alias("id"), F.col(text_column).cast("binary").alias("text"))
-    schema = f"id {source.schema['id'].dataType.simpleString()}, n_words long, n_hit long, spans array<struct<start:long,end:long>>, items array<{kind}>"
+    carried = [F.col(carry).alias("carried")] if carry else []
+    source = documents.select(F.col(id_column).alias("id"), *carried, F.col(text_column).cast("binary").alias("text"))
+    found = StructType.fromDDL(f"n_words long, n_hit long, spans array<struct<start:long,end:long>>, items array<{kind}>")
+    schema = StructType([*source.schema.fields[:-1], *found.fields])
     arrow_kind = to_arrow_type(items.schema["item"].dataType)
     if windows.count() <= broadcast_windows:
         held = defaultdict(set)
         for row in windows.toLocalIterator():
             held[(row["key"], row["size"], bytes(row["words"]))].add(row["item"])
         listed = [(*key, sorted(x for x in found if x is not None)) for key, found in held.items()]
-        return source.mapInArrow(_scan(listed, arrow_kind), schema).withColumnRenamed("id", id_column)
-    return _by_join(source, windows, window, schema, arrow_kind).withColumnRenamed("id", id_column)
+        out = source.mapInArrow(_scan(listed, arrow_kind), schema)
+    else:
+        out = _by_join(source, windows, schema, arrow_kind)
+    return out.withColumnsRenamed({"id": id_column, **({"carried": carry} if carry else {})})
 
 
-def _by_join(source: DataFrame, windows: DataFrame, window: int, schema: str, item_type: pa.DataType) -> DataFrame:
+def _by_join(source: DataFrame, windows: DataFrame, schema: StructType, item_type: pa.DataType) -> DataFrame:
     """The same for a benchmark of any size: hashes of document windows meet benchmark windows in a shuffle.
 
     A document row goes out with its distinct window hashes; only windows that
@@ -164,7 +171,7 @@ def _by_join(source: DataFrame, windows: DataFrame, window: int, schema: str, it
     sizes = [row["size"] for row in windows.select("size").distinct().collect()]  # at most ``window`` numbers
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             for row, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 hashes = Words([blob or b""], ALNUM_SEPARATED).hashes()
                 found = [shingles(hashes, n).view(np.int64) for n in sizes if n <= len(hashes)]
@@ -181,7 +188,7 @@ def _by_join(source: DataFrame, windows: DataFrame, window: int, schema: str, it
         for item, k, n, words in zip(*(right.column(c).to_pylist() for c in ("item", "key", "size", "words"))):
             held[(k, n, words)].add(item)
         listed = [(*k, sorted(x for x in found if x is not None)) for k, found in held.items()]
-        rows = left.select(["id", "text"]).combine_chunks().to_batches()
+        rows = left.drop(["row"]).combine_chunks().to_batches()
         return pa.Table.from_batches(list(_scan(listed, item_type)(iter(rows))))
 
     return numbered.groupBy("row").cogroup(met.groupBy("row")).applyInArrow(compare, schema)

@@ -22,12 +22,15 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
+from tidyloom.llm.words import sliced
+
 TIERS = (256, 512, 1024, 2048)
 END = 1
 #: Tokens of a step group, tokens that wait in a task before the longest are packed, distinct words whose ids a task remembers.
-STEP_TOKENS, BUFFER_TOKENS, CACHED_WORDS = 32 * 2048, 1 << 20, 600_000
+STEP_TOKENS, BUFFER_TOKENS, CACHED_WORDS = 32 * 2048, 1 << 20, 150_000
 
 # How the byte-level step writes each byte: printable ones as themselves, the others from 256 on.
 _PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -51,24 +54,27 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {"": b""}
-        self.letters: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}  # what was known before the last clearing: common words come back from it
         self.marks = {mark: self._whole(mark) for mark in (".", ",")}
 
     def _whole(self, word: str) -> bytes:
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _new(self, word: str) -> bytes:
-        if word in self.known:
-            return self.known[word]
+        found = self.known.get(word) or self.before.get(word)
+        if found is not None:
+            self.known[word] = found
+            return found
         mark = self.marks.get(word[-1])
         stem = word if mark is None else word[:-1]
         if stem.isalpha() and max(stem) <= "\u00ff":
             stem = stem.lower()
-            found = self.letters.get(stem)
+            found = self.known.get(stem) or self.before.get(stem)
             if found is None:
                 unit = stem if stem.isascii() else "".join(map(_AS_CHARACTER.__getitem__, stem.encode()))
-                found = self.letters[stem] = b"".join(token.id.to_bytes(4, "little") for token in self.model.tokenize(unit))
-            found += mark or b""
+                found = self.known[stem] = b"".join([token.id.to_bytes(4, "little") for token in self.model.tokenize(unit)])
+            if mark is not None:
+                found += mark
         else:
             found = self._whole(word)
         self.known[word] = found
@@ -76,12 +82,12 @@ class Encoder:
 
     def ids(self, text: str) -> bytes:
         words = text.replace("\n", " ").split(" ")
-        if len(self.known) + len(self.letters) > CACHED_WORDS:
-            self.known, self.letters = {"": b""}, {}
+        if len(self.known) > CACHED_WORDS:
+            self.known, self.before = {"": b""}, self.known
         found = list(map(self.known.get, words))
         if None in found:
-            for i in [i for i, ids in enumerate(found) if ids is None]:
-                found[i] = self._new(words[i])
+            new = self._new
+            found = [ids if ids is not None else new(word) for ids, word in zip(found, words)]
         return b"".join(found)
 
 
@@ -166,7 +172,7 @@ def _packed(path: str, tiers: tuple[int, ...], step_tokens: int, buffer_tokens:
                 names=["id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "tier", "step_id"],
             )
 
-        for batch in batches:
+        for batch in sliced(batches):
             for document, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = encoder.ids(text or "") + end
                 packer.add((document, len(ids) // 4), ids)
@@ -201,8 +207,6 @@ def packed(
     are each packed; a null id is kept; an empty table gives no sequence.
     Other columns are ignored.
     """
-    from pyspark.sql.pandas.types import to_arrow_type
-
     source = documents.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     kind = source.schema["id"].dataType
     names = ("start", "length", "ids", "doc_tokens", "sequence_id", "offset", "tier", "step_id")
