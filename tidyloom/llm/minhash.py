@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidyloom.llm.store import bounded_broadcast, connected, saved
-from tidyloom.llm.words import BLANK_SEPARATED, Words, chunks, mix, shingles
+from tidyloom.llm.words import BLANK_SEPARATED, Words, chunks, mix, shingles, sliced
 
 _PLACES = 1 << 20
 BANDS, ROWS = 24, 4
@@ -46,7 +46,7 @@ class Circulant:
 def _signatures(size: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         circle = Circulant(bands, rows)
-        for batch in batches:
+        for batch in sliced(batches):
             blobs = [b or b"" for b in batch.column(1).to_pylist()]
             counts, digests, found = [], [], []
             for lo, hi in chunks(blobs):
@@ -65,13 +65,29 @@ def _signatures(size: int, bands: int, rows: int):
     return run
 
 
+def _grams(size: int):
+    """The distinct shingles of each text, by hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            blobs = [b or b"" for b in batch.column(1).to_pylist()]
+            for lo, hi in chunks(blobs):
+                words = Words(blobs[lo:hi], BLANK_SEPARATED)
+                hashes = words.hashes()
+                found = [np.unique(shingles(hashes[words.ranges[i] : words.ranges[i + 1]], size)) for i in range(hi - lo)]
+                owner = np.repeat(np.arange(lo, hi), [len(f) for f in found])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), pa.array(np.concatenate(found).view(np.int64))], names=["node", "gram"])
+
+    return run
+
+
 def _confirmed(size: int, per_cent: int):
     def grams(blob: bytes) -> set:
         words = blob.translate(BLANK_SEPARATED).split()
         return set(zip(*(words[i:] for i in range(min(size, len(words))))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             known: dict = {}
             kept = []
             a, b, left, right = (batch.column(i).to_pylist() for i in range(4))
@@ -86,6 +102,53 @@ def _confirmed(size: int, per_cent: int):
     return run
 
 
+def _hubs(members: DataFrame, bucket: str, count: int) -> DataFrame:
+    """The first ``count`` members of each bucket."""
+    number = F.row_number().over(Window.partitionBy(bucket).orderBy(F.col("n") - F.col("most"), "node"))
+    hubs = members.withColumn("number", number).where(F.col("number") <= count)
+    return saved(hubs.select(bucket, *(F.col(c).alias(f"hub_{c}") for c in ("node", "n", "most", "group"))), "hubs")
+
+
+def _pairs(members: DataFrame, hubs: DataFrame, bucket: str, per_cent: int) -> DataFrame:
+    """Hubs and members of other components that have room for a link: ``most`` shingles of either can be shared."""
+    both = F.least("most", "hub_most")
+    room = 100 * both >= per_cent * (F.col("n") + F.col("hub_n") - both)
+    pairs = members.join(hubs, bucket).where((F.col("group") != F.col("hub_group")) & room)
+    return saved(pairs.select(F.least("hub_node", "node").alias("a"), F.greatest("hub_node", "node").alias("b")).distinct(), "pairs")
+
+
+def _linked(pairs: DataFrame, texts: DataFrame, kind: str, size: int, per_cent: int) -> DataFrame:
+    sides = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("left")), "a")
+    sides = sides.join(texts.select(F.col("id").alias("b"), F.col("text").alias("right")), "b").select("a", "b", "left", "right")
+    return sides.mapInArrow(_confirmed(size, per_cent), f"a {kind}, b {kind}")
+
+
+def _regrouped(members: DataFrame, groups: DataFrame) -> DataFrame:
+    return members.drop("group").join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
+
+
+def _mixed(members: DataFrame, bucket: str, per_cent: int) -> DataFrame:
+    """Members of buckets with several components, without those that have no room for a link with any other."""
+    mixed = members.groupBy(bucket).agg(F.min("group").alias("low"), F.max("group").alias("high"), F.min("n").alias("least_n")).where("low < high")
+    found = members.join(saved(mixed.select(bucket, "least_n"), "mixed"), bucket)
+    smallest_union = F.col("n") + F.greatest("least_n", "most") - F.col("most")
+    return found.where(100 * F.col("most") >= per_cent * smallest_union).drop("least_n")
+
+
+def _prefixes(nodes: DataFrame, texts: DataFrame, kind: str, size: int, per_cent: int) -> DataFrame:
+    """The rarest shingles of each node, so many that two similar sets have one of them in common.
+
+    ``most``: of two sets whose first common shingle this is, so many can be in both.
+    """
+    grams = saved(texts.join(nodes.select("id"), "id").mapInArrow(_grams(size), f"node {kind}, gram long"), "grams")
+    counts = saved(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1"), "counts")
+    place = F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("texts", F.lit(1)), "gram"))
+    ordered = grams.join(counts, "gram", "left").withColumn("place", place)
+    ordered = ordered.join(nodes.withColumnRenamed("id", "node"), "node")
+    needed = F.col("n") - F.ceil(F.col("n") * per_cent / 100) + 1
+    return ordered.where((F.col("place") <= needed) & F.col("texts").isNotNull()).select("gram", "node", "n", "group", (F.col("n") - F.col("place") + 1).cast("long").alias("most"))
+
+
 def near_duplicates(
     documents: DataFrame,
     id_column: str = "doc_id",
@@ -105,12 +168,14 @@ def near_duplicates(
 
     1. Each text gives its set's size and digest, and its bands. Rows with one
        set are a class, stood for by its smallest id.
-    2. Classes that share a band are compared with the band's hub, its smallest
-       member, on full sets; links are joined to components; then hubs are
-       drawn again, four times as many each round, from bands whose members
-       are still in several components. Pairs that are already connected need
-       no comparison, so a group of near copies costs about one comparison for
-       each member and band, and every other pair of a band is still compared.
+    2. Classes of a band are compared with the band's hub, its smallest member,
+       on full sets, and links are joined to components.
+    3. Classes of bands that still have several components are ordered by prefixes:
+       two sets of the wanted similarity share one of their rarest shingles.
+       Such a shingle is a bucket; its members are compared with 16 hubs, then
+       1,024 and so on, until no bucket has members in several components. Pairs that are
+       connected already need no comparison, so groups of near copies stay cheap;
+       every other pair that can be linked is compared.
 
     Defined cases: a null, empty or blank text has no shingles and links with
     nothing; rows with a null id get the numbers of their text, a null component
@@ -127,35 +192,31 @@ def near_duplicates(
     listed = nodes.select("node", "n", F.explode("bands").alias("band")).distinct()
     members = saved(listed, "bands")
     crowded = members.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("band")
-    members = saved(members.join(saved(crowded, "crowded"), "band").withColumn("group", F.col("node")), "members")
+    members = saved(members.join(saved(crowded, "crowded"), "band").withColumns({"group": F.col("node"), "most": F.col("n")}), "members")
     wanted = saved(members.select(F.col("node").alias("id")).distinct(), "wanted")
     texts = source.join(bounded_broadcast(wanted, wanted.count(), broadcast_ids), "id").groupBy("id").agg(F.min("text").alias("text"))
-    links, texts, hubs_drawn = None, saved(texts, "texts"), 1
+    texts = saved(texts, "texts")
+    pairs = _pairs(members, _hubs(members, "band", 1), "band", per_cent)
+    links = saved(_linked(pairs, texts, kind, shingle_words, per_cent), "links")
+    groups = saved(connected(links, "a", "b").withColumnRenamed("component", "group"), "groups")
+    rest = saved(_regrouped(members, groups), "rest")
+    open_nodes = _mixed(rest, "band", per_cent).select(F.col("node").alias("id"), "n", "group").distinct()
+    members = saved(_prefixes(saved(open_nodes, "open"), texts, kind, shingle_words, per_cent), "prefixes")
+    members = saved(_mixed(members, "gram", per_cent), "members")
+    hubs_drawn = 16
     while not members.isEmpty():
-        # Members by a hash of their ids, so that hubs of one band are no neighbours.
-        place = Window.partitionBy("band").orderBy(F.when(F.lit(hubs_drawn == 1), F.lit(0)).otherwise(F.xxhash64("node")), "node")
-        hubs = members.withColumn("place", F.row_number().over(place)).where(F.col("place") <= hubs_drawn)
-        hubs = saved(hubs.select("band", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("group").alias("hub_group")), "hubs")
-        pairs = members.join(hubs, "band").where(
-            (F.col("group") != F.col("hub_group")) & (100 * F.least("n", "hub_n") >= per_cent * F.greatest("n", "hub_n"))
-        )
-        pairs = saved(pairs.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
-        sides = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("left")), "a")
-        sides = sides.join(texts.select(F.col("id").alias("b"), F.col("text").alias("right")), "b").select("a", "b", "left", "right")
-        found = sides.mapInArrow(_confirmed(shingle_words, per_cent), f"a {kind}, b {kind}")
-        links = saved(found if links is None else links.unionByName(found), "links")
-        groups = saved(connected(links, "a", "b"), "groups")
-        rest = members.join(hubs.select("band", F.col("hub").alias("node")), ["band", "node"], "left_anti").drop("group")
-        rest = rest.join(groups.withColumnRenamed("component", "group"), "node", "left").withColumn("group", F.coalesce("group", "node"))
-        rest = saved(rest, "rest")
-        mixed = rest.groupBy("band").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("band")
-        members = saved(rest.join(saved(mixed, "mixed"), "band"), "members")
-        hubs_drawn *= 4
-    if links is not None:
-        groups = groups.withColumnRenamed("component", "component_id")
-        classes = saved(classes.join(groups, "node", "left").withColumn("component_id", F.coalesce("component_id", "node")), "classes")
-    else:
-        classes = classes.withColumn("component_id", F.col("node"))
+        hubs = _hubs(members, "gram", hubs_drawn)
+        pairs = _pairs(members, hubs, "gram", per_cent)
+        found = saved(_linked(pairs, texts, kind, shingle_words, per_cent), "found")
+        if not found.isEmpty():
+            links = saved(links.unionByName(found), "links")
+            groups = saved(connected(links, "a", "b").withColumnRenamed("component", "group"), "groups")
+        rest = members.join(hubs.select("gram", F.col("hub_node").alias("node")), ["gram", "node"], "left_anti")
+        rest = saved(_regrouped(rest, groups), "rest")
+        members = saved(_mixed(rest, "gram", per_cent), "members")
+        hubs_drawn *= 64
+    groups = groups.withColumnRenamed("group", "component_id")
+    classes = saved(classes.join(groups, "node", "left").withColumn("component_id", F.coalesce("component_id", "node")), "classes")
     grouped = full.join(classes, "digest").select("id", F.col("n").alias("n_shingles"), "component_id")
     alone = signed.where(F.col("digest").isNull() | F.col("id").isNull()).select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"))
     out = grouped.unionByName(alone)
