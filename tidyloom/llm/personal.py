@@ -188,8 +188,8 @@ def _features() -> Column:
 _SPAN = "array<struct<start:bigint,rank:int,kind:string,end:bigint,base:boolean,value:string,p:double>>"
 
 
-def personal_spans(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The id and ``spans`` for every row: an array of start, rank, kind, end, base, value and probability, by start and kind.
+def personal_spans(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", carry: str | None = None) -> DataFrame:
+    """The id, ``spans`` and the column ``carry`` for every row. Spans are an array of start, rank, kind, end, base, value and probability, by start and kind.
 
     Offsets count code points, the end is exclusive. Base spans are the
     leftmost matches that do not overlap within their kind and pass the kind's
@@ -203,7 +203,8 @@ def personal_spans(documents: DataFrame, id_column: str = "doc_id", text_column:
     spark = documents.sparkSession
     text = F.col(text_column)
     sign = _any([text.contains(s) for s in _SIGNS] + [text.rlike(f) for f in _SIGN_FORMS])
-    rows = documents.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"), F.when(sign, text).alias("text"))
+    carried = [F.col(carry).alias("carried")] if carry else []
+    rows = documents.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"), *carried, F.when(sign, text).alias("text"))
     rows = saved(rows, "texts")
     texts = rows.where(F.col("text").isNotNull()).select("row", "text")
     found = None
@@ -243,8 +244,8 @@ def personal_spans(documents: DataFrame, id_column: str = "doc_id", text_column:
     spans = spans.withColumn("free", F.col("base") | free).where("free")
     rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int")
     listed = spans.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", rank.alias("rank"), "kind", "end", "base", "value", "p"))).alias("spans"))
-    out = rows.select("row", "id").join(listed, "row", "left")
-    return out.select(F.col("id").alias(id_column), F.coalesce("spans", F.array().cast(_SPAN)).alias("spans"))
+    out = rows.drop("text").join(listed, "row", "left")
+    return out.select(F.col("id").alias(id_column), *(F.col("carried").alias(carry) for _ in carried), F.coalesce("spans", F.array().cast(_SPAN)).alias("spans"))
 
 
 def written(spans: Column) -> Column:
