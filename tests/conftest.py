@@ -6,7 +6,7 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
-from tidyloom.settings import ROWS_PER_TASK, SMALL_INPUT_BYTES, build_session  # noqa: E402
+from tidyloom.settings import ROWS_PER_TASK, build_session  # noqa: E402
 
 TABLES = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -32,10 +32,8 @@ def spark(tmp_path_factory):
 @pytest.fixture
 def split(spark):
     """Make every group larger than 3 rows count as too large for one task."""
-    spark.conf.set(SMALL_INPUT_BYTES, "0")
     spark.conf.set(ROWS_PER_TASK, "3")
     yield
-    spark.conf.unset(SMALL_INPUT_BYTES)
     spark.conf.unset(ROWS_PER_TASK)
 
 

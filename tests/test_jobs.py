@@ -5,6 +5,7 @@ import datetime
 from conftest import rows
 
 from tidyloom.plans import bank, calls, flights, games, retail, school, staff, survey
+from tidyloom.sources import readers
 
 
 def day(text):
@@ -199,7 +200,7 @@ def test_new_customers_and_annual_sales(spark):
     sheet = spark.createDataFrame([(1, 5, "Ethnicity", "x"), (1, 5, "Date of Birth", "1/2/1990"), (1, 5, "Account Type", "Gold"), (1, 2, "Ethnicity", "y")], "ID long, `Joining Day` int, Demagraphic string, Value string")
     assert rows(retail.new_customers({"March": sheet}), "person_id", "ethnicity", "born_on", "account_type", "joined_on") == [(1, "y", None, None, day("2023-03-02"))]
     years = {"2018": spark.createDataFrame([("Q1", "1.5M", "200K"), ("Q2", "2M", "1,100")], "` ` string, Sales string, Profits string")}
-    assert rows(retail.annual_sales(years)) == [(2018, 3_500_000, 201_100)]
+    assert rows(retail.annual_sales(readers.labelled_union(years, "sheet"))) == [(2018, 3_500_000, 201_100)]
 
 
 def test_loyalty(spark):
@@ -268,4 +269,4 @@ def test_seats_and_tickets(spark):
     assert rows(report["ticket_sale_detail"], "customer_id", "last_flew_on") == [(1, day("2023-01-01"))]
     assert rows(report["unbooked_flights"], "flight_number", "reported_on") == [("P2", day("2024-01-31"))]
     assert rows(report["unbooked_customers"], "customer_id") == [(2,)]
-    assert '"unbooked_customers":[{"customer_id":2}]' in flights.ticket_document(report).first().document
+    assert ("unbooked_customers", 1, '{"customer_id":2}') in rows(flights.ticket_document(report))

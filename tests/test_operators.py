@@ -9,16 +9,14 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidyloom.operators import groups, joins, ordered, ranks, reshape, scaffold
-from tidyloom.settings import ROWS_PER_TASK, SMALL_INPUT_BYTES
+from tidyloom.settings import ROWS_PER_TASK
 
 
 @pytest.fixture(params=["whole", "split"])
 def either(request, spark):
     if request.param == "split":
-        spark.conf.set(SMALL_INPUT_BYTES, "0")
         spark.conf.set(ROWS_PER_TASK, "3")
     yield request.param
-    spark.conf.unset(SMALL_INPUT_BYTES)
     spark.conf.unset(ROWS_PER_TASK)
 
 
@@ -283,3 +281,31 @@ def test_extremes_of_groups(spark):
     assert rows(groups.latest_of_group(frame, ["k"], ["t"])) == [("a", 3, "z")]
     assert rows(groups.earliest_of_group(frame, ["k"], ["t"])) == [("a", 1, "x")]
     assert rows(ranks.first_of_group(frame, ["k"], [F.col("v").desc()])) == [("a", 3, "z")]
+
+
+def test_sums_have_one_type(spark, either):
+    frame = spark.range(10).selectExpr("id", "cast(id as decimal(12,2)) as d")
+    found = ordered.running_sum(frame, [], [F.col("id").asc()], F.col("d"), "s")
+    assert found.schema["s"].dataType.simpleString() == "decimal(22,2)"
+    assert [float(r.s) for r in found.orderBy("id").collect()] == [sum(range(i + 1)) for i in range(10)]
+
+
+def test_quantiles_have_one_arithmetic(spark, either):
+    frame = spark.range(101).selectExpr("0 as k", "pow(id, 1.7) / 3 as x")
+    found = ranks.group_quantiles(frame, ["k"], "x", [0.1, 1 / 3, 0.77]).first().quantiles
+    assert found == frame.selectExpr(f"percentile(x, array(0.1d, {1 / 3}d, 0.77d)) as q").first().q
+
+
+def test_rows_made_by_explode_are_split(spark):
+    spark.conf.set(ROWS_PER_TASK, "1000")
+    try:
+        exploded = spark.range(1).select(F.explode(F.sequence(F.lit(1), F.lit(5000))).alias("x"))
+        found = ordered.row_index(exploded, [F.col("x").asc()], "i")
+        assert found.rdd.getNumPartitions() > 1 and found.where("i <> x").count() == 0
+    finally:
+        spark.conf.unset(ROWS_PER_TASK)
+
+
+def test_groups_of_a_text_with_control_characters(spark):
+    frame = spark.createDataFrame([("a\x01b-c",), ("none",)], "t string")
+    assert rows(reshape.split_groups(frame, "t", r"^(.+)-(.+)$", ["a", "b"])) == [(None, None), ("a\x01b", "c")]

@@ -6,7 +6,7 @@ from conftest import TABLES
 
 import __spark_entry__ as entry
 from tidyloom.queries import ORACLES, QUERIES
-from tidyloom.settings import ROWS_PER_TASK, SMALL_INPUT_BYTES
+from tidyloom.settings import ROWS_PER_TASK
 
 
 @pytest.fixture(scope="module")
@@ -29,18 +29,18 @@ SPLIT = """
     q_weekday_rank q_athletes q_global_rank q_rank_max q_monthly_rank q_ordinal q_sort_index q_running_balance q_ledger q_ffill q_pct_change
     q_running_diff q_rolling3 q_qcut6 q_qcut_quartile q_gpa q_price_stats q_likert q_pareto q_partition_stats q_performance q_daily_balance
     q_mean_gap_weekday q_top2pct q_next_workday q_next_report q_share_window q_statement q_reporting_calendar q_lesson_attendance
-    q_low_performers q_selected_applicants q_school_costs q_word_analysis q_flight_details q_cause_for_concern
+    q_low_performers q_selected_applicants q_school_costs q_word_analysis q_flight_details q_cause_for_concern q_lowest5 q_json_by_key
+    q_monthly_trades q_top5_group q_pct_over_ranked q_weekday_ranking q_track_team q_lowest_class q_travel_summary q_fill_blanks
+    q_day_end_balance q_account_summary q_bike_quarters q_pivot_count q_ticket_document q_weekday_documents
 """.split()
 
 
 @pytest.mark.parametrize("name", SPLIT)
 def test_split_groups_equal_twin(spark, connection, name):
-    spark.conf.set(SMALL_INPUT_BYTES, "0")
     spark.conf.set(ROWS_PER_TASK, "25")
     try:
         assert oracle.differences(QUERIES[name](spark, TABLES), ORACLES[name], connection) == []
     finally:
-        spark.conf.unset(SMALL_INPUT_BYTES)
         spark.conf.unset(ROWS_PER_TASK)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidyloom.functions import text
 from tidyloom.plans import trades
-from tidyloom.settings import DOCUMENT_ROWS, build_session, scratch_path
+from tidyloom.settings import build_session, scratch_path
 from tidyloom.sources import lookups, readers, sinks
 
 
@@ -93,19 +93,18 @@ def test_json_files(spark, tmp_path):
 
 def test_json_documents(spark):
     frame = spark.createDataFrame([("Mon", 1), ("Tue", 2), ("Mon", 3)], "day string, n int")
-    document = json.loads(sinks.json_bundle({"all": frame, "none": frame.limit(0)}).first().document)
-    assert document == {"all": [{"day": "Mon", "n": 1}, {"day": "Mon", "n": 3}, {"day": "Tue", "n": 2}], "none": []}
-    grouped = {r.day: json.loads(r.rows) for r in sinks.json_by_key(frame, "day", ["n"]).collect()}
-    assert grouped == {"Mon": [{"n": 1}, {"n": 3}], "Tue": [{"n": 2}]}
-
-
-def test_large_json_document_is_refused(spark):
-    spark.conf.set(DOCUMENT_ROWS, "2")
-    try:
-        with pytest.raises(ValueError, match="write JSON files"):
-            sinks.json_bundle({"rows": spark.range(3)})
-    finally:
-        spark.conf.unset(DOCUMENT_ROWS)
+    document = sinks.json_bundle({"all": frame, "none": frame.limit(0)})
+    assert rows(document) == [("all", 1, '{"day":"Mon","n":1}'), ("all", 2, '{"day":"Mon","n":3}'), ("all", 3, '{"day":"Tue","n":2}')]
+    grouped = rows(sinks.json_by_key(frame, "day", ["n"]))
+    assert grouped == [("Mon", 1, '{"n":1}'), ("Mon", 2, '{"n":3}'), ("Tue", 1, '{"n":2}')]
+
+
+def test_json_document_of_any_size(spark, tmp_path):
+    document = sinks.json_bundle({"rows": spark.range(200_000)})
+    assert document.count() == 200_000
+    sinks.write_json_document(document, str(tmp_path / "document"))
+    lines = [json.loads(line)["id"] for file in sorted((tmp_path / "document").glob("part-*")) for line in file.read_text().splitlines()]
+    assert lines == list(range(200_000))
 
 
 def test_scratch_is_in_the_shared_folder(spark):

@@ -17,21 +17,11 @@ def extract(column: Column | str, pattern: str, group: int = 1) -> Column:
     return F.nullif(F.regexp_extract(as_column(column), pattern, group), F.lit(""))
 
 
-# A control character that separates groups between two steps of ``group_pieces``.
-_GROUP_MARK = "\x01"
-
-
 def group_pieces(column: Column | str, pattern: str, groups: int) -> Column:
-    """The groups of the first match as an array, found in one pass; another number of pieces means no match.
-
-    The text is rewritten to its groups with a mark between them and split at
-    the mark; one ``regexp_extract`` for each group would match once for each.
-    """
-    if groups == 1:
-        return F.array(extract(column, pattern))
-    whole = f"(?s:^.*?)(?:{pattern})(?s:.*$)"
-    marked = F.regexp_replace(as_column(column), whole, _GROUP_MARK.join(f"${i}" for i in range(1, groups + 1)))
-    return F.split(marked, _GROUP_MARK, -1)
+    """The groups of the first match as an array; null without a match."""
+    column = as_column(column)
+    found = F.array(*[F.regexp_extract(column, pattern, i) for i in range(1, groups + 1)])
+    return F.when(column.rlike(pattern), found)
 
 
 def extract_all(column: Column | str, pattern: str) -> Column:

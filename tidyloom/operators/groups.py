@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidyloom.operators.hot import has_large_group, renamed_keys, same_keys
+from tidyloom.operators.hot import renamed_keys, same_keys
 
 
 def zero_sum(value: Column | str) -> Column:
@@ -27,13 +27,10 @@ def count_by(df: DataFrame, *keys: str | Column, name: str = "count") -> DataFra
 def with_group_stats(df: DataFrame, keys: Sequence[str], stats: Mapping[str, Column]) -> DataFrame:
     """Add aggregates of each row's group to the row; ``stats`` are plain aggregates.
 
-    With every group small a window does it in one shuffle. With a hot group
-    the aggregate is taken first (combined on the map side) and joined back, so
-    that no task has to hold the group; a group of null keys is matched too.
+    The aggregate is taken first (combined on the map side) and joined back, so
+    no task has to hold a group, whatever its size; a group of null keys is
+    matched too. A few groups are broadcast by Spark itself.
     """
-    if not has_large_group(df, keys):
-        window = Window.partitionBy(*keys)
-        return df.withColumns({name: stat.over(window) for name, stat in stats.items()})
     summed = df.groupBy(*renamed_keys(keys)).agg(*[stat.alias(name) for name, stat in stats.items()])
     if not keys:
         row = summed.select(F.struct(*stats).alias("_row")).scalar()

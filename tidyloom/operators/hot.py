@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidyloom.settings import ROWS_PER_TASK, is_small_input, limit_of
+from tidyloom.settings import ROWS_PER_TASK, limit_of, stored
 
 
 def same_keys(keys: Sequence[str], prefix: str = "_k") -> Column:
@@ -22,11 +22,6 @@ def renamed_keys(keys: Sequence[str], prefix: str = "_k") -> list[Column]:
     return [F.col(f"`{key}`").alias(f"{prefix}{i}") for i, key in enumerate(keys)]
 
 
-# Ranges that the rows of hot groups are cut into at most: beyond that a range
-# grows, as a shuffle with many more partitions would cost more than longer sorts.
-_MOST_RANGES = 20_000
-
-
 @dataclass(frozen=True)
 class HotGroups:
     """Keys of the oversized groups, with the number of tasks their rows deserve."""
@@ -39,33 +34,27 @@ def find_hot_groups(df: DataFrame, keys: Sequence[str]) -> HotGroups | None:
     """Groups with more than ``rowsPerTask`` rows, or None when there are none.
 
     Counting is combined on the map side, so a hot key costs no more than
-    another. What comes to the driver are only keys over the limit, of which
-    there are at most (rows / limit); they are then broadcast.
+    another. The keys found, at most (rows / limit) of them, stay a frame; only
+    their number and their rows' number come to the driver.
     """
-    spark = df.sparkSession
-    if is_small_input(df):
-        return None
-    limit = limit_of(spark, ROWS_PER_TASK)
+    limit = limit_of(df.sparkSession, ROWS_PER_TASK)
     if not keys:
         rows = df.count()
         return HotGroups(None, _ranges(rows, limit)) if rows > limit else None
     counted = df.groupBy(*renamed_keys(keys)).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > limit)
-    found = counted.collect()
-    if not found:
+    rows = counted.agg(F.sum("_rows")).first()[0]
+    if not rows:
         return None
-    rows = sum(row["_rows"] for row in found)
-    return HotGroups(spark.createDataFrame(found, counted.schema).drop("_rows"), _ranges(rows, limit))
+    return HotGroups(stored(counted.drop("_rows")), _ranges(rows, limit))
 
 
 def _ranges(rows: int, limit: int) -> int:
-    return min(_MOST_RANGES, max(2, -(-rows // limit)))
+    return max(2, -(-rows // limit))
 
 
-def has_large_group(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> bool:
-    """Whether any group has more than ``limit`` (else ``rowsPerTask``) rows; only one number comes to the driver."""
-    if is_small_input(df):
-        return False
-    limit = limit or limit_of(df.sparkSession, ROWS_PER_TASK)
+def has_large_group(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether any group has more than ``rowsPerTask`` rows; only one number comes to the driver."""
+    limit = limit_of(df.sparkSession, ROWS_PER_TASK)
     if not keys:
         return df.count() > limit
     counted = df.groupBy(*renamed_keys(keys)).agg(F.count(F.lit(1)).alias("_rows"))
@@ -76,8 +65,4 @@ def split_hot(df: DataFrame, keys: Sequence[str], hot: HotGroups) -> tuple[DataF
     """The rows outside the hot groups (None for a whole-table group) and those inside."""
     if hot.frame is None:
         return None, df
-    keys_frame = F.broadcast(hot.frame)
-    return (
-        df.join(keys_frame, same_keys(keys), "left_anti"),
-        df.join(keys_frame, same_keys(keys), "left_semi"),
-    )
+    return df.join(hot.frame, same_keys(keys), "left_anti"), df.join(hot.frame, same_keys(keys), "left_semi")

@@ -38,7 +38,9 @@ def ordered_columns(
     ``order`` must be a full order (end it with a unique key), so that the
     answer is the same on every run.
 
-    * ``running_sum``: sum of the rows up to and with this one
+    * ``running_sum``: sum of the rows up to and with this one, in the type of a
+      plain sum. Exact types give the same sums however rows are split; sums of
+      doubles may differ in the last digits, as additions are grouped differently
     * ``row_number``: 1-based position
     * ``previous``: value in the row before
     * ``last_seen``: latest non-null value up to and with this row
@@ -113,12 +115,13 @@ def _in_ranges(df: DataFrame, keys, order, wanted: _Wanted, hot: HotGroups) -> D
         .select(*[f"_k{i}" for i in range(len(keys))], "_c", *carried)
     )
     same = F.col("_chunk") == F.col("_c")
-    joined = pieces.join(F.broadcast(carry), same_keys(keys) & same if keys else same, "left")
+    joined = pieces.join(carry, same_keys(keys) & same if keys else same, "left")
 
     result = {}
     for i, name in enumerate(wanted.running_sum):
         total, rest = F.col(f"_s{i}"), F.col(f"_s{i}_before")
-        result[name] = F.coalesce(total + rest, total, rest)
+        # The type of a plain running sum: adding two decimals would widen it.
+        result[name] = F.coalesce(total + rest, total, rest).cast(pieces.schema[f"_s{i}"].dataType)
     if wanted.row_number:
         result[wanted.row_number] = F.col("_n") + F.coalesce("_n_before", F.lit(0))
     for i, name in enumerate(wanted.previous):

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from tidyloom.operators.hot import find_hot_groups, has_large_group, renamed_keys, same_keys, split_hot
 from tidyloom.operators.ordered import ordered_columns
-from tidyloom.settings import ROWS_PER_TASK, limit_of
 
 
 def _direction(column: str, descending: bool) -> Column:
@@ -59,17 +58,12 @@ def ordinal_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column], na
 def best_of_group(df: DataFrame, keys: Sequence[str], value: str, n: int, name: str = "rank", *, descending: bool = False) -> DataFrame:
     """Rows ranked ``n`` or better in their group, ties kept.
 
-    The filter sits on the rank, so Spark drops worse rows before the shuffle
-    and a group sends only its best rows of each input split. Very many ties
-    for the best ranks would still meet in one task; with a hot group the rank
-    is therefore given to the best ``n`` distinct values and joined back.
+    The rank is given to the best ``n`` distinct values and joined back: very
+    many ties for a rank are counted on the map side and never meet in one
+    task. Of other values a split sends its best ``n`` for each group.
     """
     known = df.where(F.col(value).isNotNull())
     order = F.col(value).desc() if descending else F.col(value).asc()
-    if not has_large_group(known, keys):
-        window = Window.partitionBy(*keys).orderBy(order)
-        best = known.withColumn(name, F.rank().over(window)).where(F.col(name) <= n)
-        return best.withColumn(name, F.col(name).cast("long"))
     counts = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_same"))
     # At most n values of a group are left before its counts are summed up.
     top = first_of_group(counts, keys, [order], n)
@@ -85,21 +79,16 @@ def first_of_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     return df.withColumn("_position", F.row_number().over(window)).where(F.col("_position") <= n).drop("_position")
 
 
-# ``percentile`` keeps the distinct values of up to 128 groups in one task.
-_PERCENTILE_ROWS = 100_000
-
-
 def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float], name: str = "quantiles") -> DataFrame:
     """Exact quantiles, linear between neighbours, as one array for each group.
 
     ``percentile`` keeps the distinct values of a group in memory. With groups
-    over 100,000 rows (or ``rowsPerTask``, if less) values are counted instead,
-    the counts summed up in order, and the values at the wanted positions
-    picked by conditional minimum.
+    over ``rowsPerTask`` values are counted instead, the counts summed up in
+    order, and the values at the wanted positions picked by conditional
+    minimum; both weigh the two neighbours in the same way.
     """
     rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_x"))
-    limit = min(_PERCENTILE_ROWS, limit_of(df.sparkSession, ROWS_PER_TASK))
-    find = _percentiles_by_position if has_large_group(rows, keys, limit) else _percentiles
+    find = _percentiles_by_position if has_large_group(rows, keys) else _percentiles
     return find(rows, keys, probabilities, name)
 
 
@@ -121,9 +110,12 @@ def _percentiles_by_position(rows, keys, probabilities, name) -> DataFrame:
         picks += [
             F.min(F.when(F.col("_upto") > F.floor(position), F.col("_x"))).alias(f"_lo{i}"),
             F.min(F.when(F.col("_upto") > F.ceil(position), F.col("_x"))).alias(f"_hi{i}"),
+            F.max(F.ceil(position) - position).alias(f"_u{i}"),
             F.max(position - F.floor(position)).alias(f"_w{i}"),
         ]
-    between = [F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_w{i}") for i in range(len(probabilities))]
+    # The arithmetic of ``percentile``, so that a group's size never shows in the result.
+    lo, hi = (lambda i: F.col(f"_lo{i}")), (lambda i: F.col(f"_hi{i}"))
+    between = [F.when(lo(i) == hi(i), lo(i)).otherwise(F.col(f"_u{i}") * lo(i) + F.col(f"_w{i}") * hi(i)) for i in range(len(probabilities))]
     return sized.groupBy(*keys).agg(*picks).select(*keys, F.array(*between).alias(name))
 
 

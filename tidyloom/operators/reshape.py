@@ -51,7 +51,7 @@ def split_groups(df: DataFrame, column: str, pattern: str, names: Sequence[str])
     # One row for each row: the explode keeps the optimizer from copying the
     # regex into every filter and join condition on a group.
     matched = df.withColumn("_groups", F.explode(F.array(text.group_pieces(F.col(f"`{column}`"), pattern, len(names)))))
-    group = lambda i: F.when(F.size("_groups") == len(names), F.nullif(F.get("_groups", F.lit(i)), F.lit("")))
+    group = lambda i: F.nullif(F.get("_groups", F.lit(i)), F.lit(""))
     return matched.select(*[group(i).alias(name) for i, name in enumerate(names)], *kept)
 
 

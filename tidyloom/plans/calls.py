@@ -84,4 +84,4 @@ def agent_performance(metrics: DataFrame, agents: DataFrame, leaders: DataFrame,
         F.round(amounts.ratio("total_duration", "num_calls_answered"), 1).alias("mean_call_duration"),
         predicates.three_state(mood >= 0, mood < 0).alias("had_positive_call_sentiment"),
         predicates.three_state(missed < limit, missed >= limit).alias("did_meet_call_not_answered_rate_threshold"),
-    ).orderBy("agent_id", "month_number")
+    )

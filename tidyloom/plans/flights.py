@@ -97,5 +97,5 @@ def ticket_report(flights: DataFrame, customers: DataFrame, sales: DataFrame, re
 
 
 def ticket_document(report: dict[str, DataFrame]) -> DataFrame:
-    """A small report as one JSON text; ``sinks.write_json_tables`` is the form for any size."""
+    """The report as one document of JSON rows, in order by table and position."""
     return sinks.json_bundle(report)

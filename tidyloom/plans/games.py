@@ -62,4 +62,4 @@ def evolution_gains(stats: DataFrame, evolutions: DataFrame) -> DataFrame:
     return joined.select(
         "stage_1", "stage_2", "stage_3", "pokedex_number", "gen_introduced", "initial_combat_power", "final_combat_power",
         change.alias("prop_change_combat_power"),
-    ).orderBy("prop_change_combat_power")
+    )

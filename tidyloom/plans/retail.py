@@ -153,27 +153,24 @@ def new_customers(sheets: Mapping[str, DataFrame], year: int = 2023) -> DataFram
     return readers.stack(parts)
 
 
-def annual_sales(sheets: Mapping[str, DataFrame]) -> DataFrame:
-    """Sales and profits of each year from sheets of quarters with amounts as text (``1.2M``)."""
-    parts = []
-    for year, sheet in sheets.items():
-        typed = sheet.select(
-            F.lit(int(year)).cast("long").alias("year"),
-            amounts.parse_grouped_amount("Sales").alias("sales"),
-            amounts.parse_grouped_amount("Profits").alias("profits"),
-        )
-        parts.append(typed)
-    return readers.stack(parts).groupBy("year").agg(groups.zero_sum("sales").alias("sales"), groups.zero_sum("profits").alias("profits"))
+def annual_sales(sheets: DataFrame, label: str = "sheet") -> DataFrame:
+    """Sales and profits of each year from stacked sheets of quarters, labelled by year, with amounts as text (``1.2M``)."""
+    typed = sheets.select(
+        F.col(label).cast("long").alias("year"),
+        amounts.parse_grouped_amount("Sales").alias("sales"),
+        amounts.parse_grouped_amount("Profits").alias("profits"),
+    )
+    return typed.groupBy("year").agg(groups.zero_sum("sales").alias("sales"), groups.zero_sum("profits").alias("profits"))
 
 
 def weekday_ranking(spending: DataFrame, customers: DataFrame) -> DataFrame:
-    """Purchases ranked by value within their weekday, in weekday order."""
+    """Purchases ranked by value within their weekday."""
     joined = spending.join(customers, ["first_name", "last_name"])
     dated = joined.withColumns({"weekday": dates.weekday_name("purchased_on"), "_number": dates.weekday_number("purchased_on")})
     ranked = ranks.ranked(dated, ["weekday"], "sale_value", descending=True)
-    return ranked.orderBy("_number", "rank").drop("first_name", "last_name", "purchased_on", "_number")
+    return ranked.drop("first_name", "last_name", "purchased_on", "_number")
 
 
 def weekday_documents(ranked: DataFrame) -> DataFrame:
-    """A small ranking as one JSON list for each weekday; ``sinks.write_json_by_key`` is the form for any size."""
+    """The ranking as JSON rows in order for each weekday."""
     return sinks.json_by_key(ranked, "weekday", ["rank", "receipt_number"])

@@ -111,7 +111,7 @@ def demographic_summary(snapshots: DataFrame, employees: DataFrame) -> DataFrame
     attributes = ["nationality", "gender", "employee_generation_descr", "age_range_descr", "tenure_years"]
     people = employees.select("employee_id", "nationality", "gender", "employee_generation_descr")
     ids = ["distribution_center", "last_day_of_month"]
-    return demographics(snapshots.join(people, "employee_id"), ids, attributes).orderBy(*ids, "demographic_type", "demographic_detail")
+    return demographics(snapshots.join(people, "employee_id"), ids, attributes)
 
 
 def latest_salaries(raw: DataFrame, position: str = "position") -> DataFrame:

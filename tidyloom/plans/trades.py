@@ -65,7 +65,7 @@ def monthly_trades(trades: DataFrame, n: int = 5) -> DataFrame:
     classed = trades.withColumns({"market_cap_category": cap, "purchase_price_category": price})
     keys = ["file_date", "market_cap_category", "purchase_price_category"]
     best = ranks.best_of_group(classed, keys, "purchase_price", n)
-    return best.drop("first_name", "last_name", "trade_id", "id").orderBy(*keys, "rank")
+    return best.drop("first_name", "last_name", "trade_id", "id")
 
 
 def read_partner_files(spark: SparkSession, pattern: str, schema: str) -> DataFrame:

@@ -157,7 +157,7 @@ HOLIDAY_SHEET = [
 
 
 @query("""
-    WITH days AS (SELECT CAST(UNNEST(generate_series(DATE '1994-12-31', DATE '2001-12-31', INTERVAL 1 DAY)) AS DATE) AS day),
+    WITH days AS (SELECT CAST(UNNEST(generate_series((SELECT MIN(CAST(o_orderdate AS DATE)) FROM orders), (SELECT MAX(CAST(o_orderdate AS DATE)) + 30 FROM orders), INTERVAL 1 DAY)) AS DATE) AS day),
     closed(day) AS (VALUES (DATE '1995-01-01'), (DATE '1995-12-25'), (DATE '1995-12-26'), (DATE '1996-01-01'), (DATE '1996-12-25'), (DATE '1997-01-01'), (DATE '1997-12-25')),
     work AS (SELECT day FROM days WHERE isodow(day) <= 5 AND day NOT IN (SELECT day FROM closed)),
     rep AS (SELECT d.day AS joined_on, MIN(w.day) AS reported_on FROM days d JOIN work w ON w.day >= d.day GROUP BY 1),
@@ -177,7 +177,9 @@ def q_reporting_calendar(spark, folder):
     )
     sheet = lookups.inline_table(spark, HOLIDAY_SHEET, "position int, Year int, Date string, `Bank holiday` string")
     holidays = F.broadcast(bank.clean_holidays(sheet))
-    return bank.new_customers_by_reporting_day(holidays, uk, roi, datetime.date(1994, 12, 31), datetime.date(2001, 12, 31))
+    first, last = orders.agg(F.min("day"), F.max("day")).first()
+    # Thirty days more, so that the last day has a next reporting day and that one a following one.
+    return bank.new_customers_by_reporting_day(holidays, uk, roi, first, last + datetime.timedelta(days=30))
 
 
 @query("""
@@ -246,7 +248,9 @@ def q_monthly_trades(spark, folder):
 """)
 def q_partner_trade(spark, folder):
     orders = table(spark, folder, "orders").join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    names, years = ["Trade (US$ Mil)-Top 5 Export Partner", "Partner share(%)-Top 5 Export Partner"], range(1995, 2002)
+    names = ["Trade (US$ Mil)-Top 5 Export Partner", "Partner share(%)-Top 5 Export Partner"]
+    # A column for each year, as the files have: the years are those of the data.
+    years = sorted(r["y"] for r in orders.select(F.year("o_orderdate").alias("y")).distinct().collect())
     in_years = lambda test: [F.nullif(F.count_if((F.year("o_orderdate") == y) & test), F.lit(0)).cast("string").alias(str(y)) for y in years]
     raw = None
     for indicator, test in zip(names, [F.lit(True), F.col("o_orderstatus") == "F"]):

@@ -67,8 +67,8 @@ def q_annual_sales(spark, folder):
         "y", F.concat(F.lit("Q"), F.col("q").cast("string")).alias(" "),
         F.concat(F.floor(F.col("v") / 1000).cast("string"), F.lit("K")).alias("Sales"), F.concat(F.col("n").cast("string"), F.lit("K")).alias("Profits"),
     )
-    # One sheet for each year of the calendar; years without orders are empty sheets.
-    return retail.annual_sales({str(year): written.where(F.col("y") == year).drop("y") for year in range(1995, 2002)})
+    # The years come from the data: all sheets in one frame, each row with its sheet's name.
+    return retail.annual_sales(written.withColumn("sheet", F.col("y").cast("string")).drop("y"))
 
 
 @query("""
@@ -185,12 +185,30 @@ def q_unbooked_flights(spark, folder):
 
 
 @query("""
-    SELECT CAST(to_json({'by_class': (SELECT list({'flight_number': p, 'tickets': n} ORDER BY p) FROM (SELECT o_orderpriority AS p, COUNT(*) AS n FROM orders WHERE o_totalprice < 300000 GROUP BY 1)),
-        'unbooked': (SELECT list({'flight_number': p, 'flights': n} ORDER BY p) FROM (SELECT p, COUNT(*) AS n FROM
-            (SELECT o_orderpriority AS p, CAST(o_orderdate AS DATE) AS d FROM orders GROUP BY ALL HAVING MIN(o_totalprice) >= 300000) GROUP BY 1))}) AS VARCHAR) AS document
+    WITH detail AS (SELECT DATE '2023-12-31' AS last_flew_on, o_custkey AS customer_id, 'London' AS flies_from, 'Perth' AS flies_to, CAST(o_orderdate AS DATE) AS flies_on, o_orderpriority AS flight_number, o_totalprice AS ticket_price
+                    FROM orders WHERE o_totalprice < 300000),
+    flown AS (SELECT 'London' AS flies_from, CAST(o_orderdate AS DATE) AS flies_on, 'Perth' AS flies_to, o_orderpriority AS flight_number, DATE '2024-01-31' AS reported_on FROM orders GROUP BY ALL HAVING MIN(o_totalprice) >= 300000),
+    idle AS (SELECT c_custkey AS customer_id, DATE '2023-12-31' AS last_flew_on FROM customer WHERE c_custkey NOT IN (SELECT customer_id FROM detail))
+    SELECT 'ticket_sale_detail' AS "table", ROW_NUMBER() OVER (ORDER BY customer_id, flies_from, flies_on, flies_to, flight_number, last_flew_on, ticket_price) AS position,
+        CAST(to_json({'customer_id': customer_id, 'flies_from': flies_from, 'flies_on': flies_on, 'flies_to': flies_to, 'flight_number': flight_number, 'last_flew_on': last_flew_on, 'ticket_price': ticket_price}) AS VARCHAR) AS json FROM detail
+    UNION ALL
+    SELECT 'unbooked_flights', ROW_NUMBER() OVER (ORDER BY flies_from, flies_on, flies_to, flight_number, reported_on),
+        CAST(to_json({'flies_from': flies_from, 'flies_on': flies_on, 'flies_to': flies_to, 'flight_number': flight_number, 'reported_on': reported_on}) AS VARCHAR) FROM flown
+    UNION ALL
+    SELECT 'unbooked_customers', ROW_NUMBER() OVER (ORDER BY customer_id, last_flew_on), CAST(to_json({'customer_id': customer_id, 'last_flew_on': last_flew_on}) AS VARCHAR) FROM idle
 """)
 def q_ticket_document(spark, folder):
     report = _tickets(spark, folder)
-    sold = groups.count_by(report["ticket_sale_detail"], "flight_number", name="tickets")
-    unbooked = groups.count_by(report["unbooked_flights"], "flight_number", name="flights")
-    return flights.ticket_document({"by_class": sold, "unbooked": unbooked})
+    return flights.ticket_document({name: part.select(*sorted(part.columns)) for name, part in report.items()})
+
+
+@query("""
+    WITH r AS (SELECT o_orderkey AS receipt_number, 'x' AS gender, o_orderstatus = 'F' AS is_online, o_totalprice AS sale_value, c_custkey AS customer_id, dayname(o_orderdate) AS weekday,
+                      RANK() OVER (PARTITION BY dayname(o_orderdate) ORDER BY o_totalprice DESC) AS rank
+               FROM orders JOIN customer ON o_custkey = c_custkey)
+    SELECT weekday, ROW_NUMBER() OVER (PARTITION BY weekday ORDER BY rank, receipt_number) AS position,
+        CAST(to_json({'rank': rank, 'receipt_number': receipt_number, 'customer_id': customer_id, 'sale_value': sale_value}) AS VARCHAR) AS json FROM r
+""")
+def q_weekday_documents(spark, folder):
+    ranking = q_weekday_ranking(spark, folder).select("weekday", "rank", "receipt_number", "customer_id", "sale_value")
+    return retail.weekday_documents(ranking)

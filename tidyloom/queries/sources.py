@@ -147,10 +147,9 @@ def q_calendar(spark, folder):
 @query("""
     WITH by_status AS (SELECT o_orderstatus, CAST(SUM(ROUND(o_totalprice * 100)) AS BIGINT) AS total_cents FROM orders GROUP BY 1),
          by_segment AS (SELECT c_mktsegment, COUNT(*) AS orders FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1)
-    SELECT CAST(to_json({
-        'by_status': (SELECT list({'o_orderstatus': o_orderstatus, 'total_cents': total_cents} ORDER BY o_orderstatus) FROM by_status),
-        'by_segment': (SELECT list({'c_mktsegment': c_mktsegment, 'orders': orders} ORDER BY c_mktsegment) FROM by_segment)
-    }) AS VARCHAR) AS document
+    SELECT 'by_status' AS "table", ROW_NUMBER() OVER (ORDER BY o_orderstatus) AS position, CAST(to_json({'o_orderstatus': o_orderstatus, 'total_cents': total_cents}) AS VARCHAR) AS json FROM by_status
+    UNION ALL
+    SELECT 'by_segment', ROW_NUMBER() OVER (ORDER BY c_mktsegment), CAST(to_json({'c_mktsegment': c_mktsegment, 'orders': orders}) AS VARCHAR) FROM by_segment
 """)
 def q_json_bundle(spark, folder):
     orders = table(spark, folder, "orders")
@@ -164,8 +163,8 @@ def q_json_bundle(spark, folder):
 
 @query("""
     WITH r AS (SELECT dayname(ts) AS weekday, event_id, user_id, RANK() OVER (PARTITION BY dayname(ts) ORDER BY value DESC) AS rank FROM events)
-    SELECT weekday, CAST(to_json(list({'rank': rank, 'event_id': event_id, 'user_id': user_id} ORDER BY rank, event_id)) AS VARCHAR) AS rows
-    FROM r WHERE rank <= 3 GROUP BY weekday
+    SELECT weekday, ROW_NUMBER() OVER (PARTITION BY weekday ORDER BY rank, event_id) AS position, CAST(to_json({'rank': rank, 'event_id': event_id, 'user_id': user_id}) AS VARCHAR) AS json
+    FROM r WHERE rank <= 3
 """)
 def q_json_by_key(spark, folder):
     events = table(spark, folder, "events").select(dates.weekday_name("ts").alias("weekday"), "event_id", "user_id", "value")

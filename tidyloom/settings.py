@@ -1,13 +1,8 @@
-"""Session set-up and the size limits that decide between two exact plans.
+"""Session set-up, the shared folder, and the size from which a group is split.
 
-Every limit is a Spark SQL setting, so a job can change it without code:
-
-* ``spark.tidyloom.rowsPerTask`` - a group with more rows than this is split
-  over several tasks instead of being sorted in one.
-* ``spark.tidyloom.smallInputBytes`` - when Catalyst's size estimate of an
-  input is at or under this, no group in it can be too large for one task, and
-  the pass that counts group sizes is saved.
-* ``spark.tidyloom.documentRows`` - rows that may be put into one JSON text.
+``spark.tidyloom.rowsPerTask``, a Spark SQL setting, is the number of rows from
+which a group is spread over several tasks instead of being sorted in one. Both
+plans give the same rows of the same types.
 """
 
 from __future__ import annotations
@@ -18,14 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 ROWS_PER_TASK = "spark.tidyloom.rowsPerTask"
-SMALL_INPUT_BYTES = "spark.tidyloom.smallInputBytes"
-DOCUMENT_ROWS = "spark.tidyloom.documentRows"
-
-DEFAULTS = {
-    ROWS_PER_TASK: 2_000_000,
-    SMALL_INPUT_BYTES: 16 * 1024 * 1024,
-    DOCUMENT_ROWS: 100_000,
-}
+DEFAULTS = {ROWS_PER_TASK: 2_000_000}
 
 
 def build_session(app_name: str = "tidyloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -51,20 +39,6 @@ def limit_of(spark: SparkSession, key: str) -> int:
     return int(spark.conf.get(key, str(DEFAULTS[key])))
 
 
-def plan_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a frame, or None where it is out of reach."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
-    except Exception:  # a client without the JVM plan: count instead
-        return None
-
-
-def is_small_input(df: DataFrame) -> bool:
-    size = plan_bytes(df)
-    return size is not None and size <= limit_of(df.sparkSession, SMALL_INPUT_BYTES)
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 

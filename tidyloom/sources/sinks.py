@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidyloom.settings import DOCUMENT_ROWS, limit_of, stored
+from tidyloom.operators.ordered import ordered_columns, row_index
 
 
 def write_json_lines(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -25,35 +25,29 @@ def write_json_tables(tables: Mapping[str, DataFrame], path: str, mode: str = "e
         write_json_lines(table, f"{path.rstrip('/')}/{name}", mode)
 
 
-def _small_enough(df: DataFrame, what: str) -> DataFrame:
-    """The result, worked out once and stored, after a check of its size."""
-    limit = limit_of(df.sparkSession, DOCUMENT_ROWS)
-    result = stored(df)
-    if result.count() > limit:
-        raise ValueError(f"{what} has more than {limit} rows, too many for one JSON text: write JSON files instead")
-    return result
+def json_bundle(tables: Mapping[str, DataFrame], label: str = "table") -> DataFrame:
+    """Several results as one document of rows: table, position in it, and the row as a JSON object.
 
-
-def json_bundle(tables: Mapping[str, DataFrame], name: str = "document") -> DataFrame:
-    """One row with one JSON object that holds each small result as a list of objects.
-
-    Lists are sorted by their columns from left to right. A table too large for
-    one text is refused; ``write_json_tables`` writes it whole.
+    Rows are in the order of their columns from left to right. Written in the order
+    of table and position (``write_json_document``) they are the document, whatever its size.
     """
     pieces = None
-    for label, table in tables.items():
-        rows = _small_enough(table, label).agg(F.array_sort(F.collect_list(F.struct(*table.columns))).alias("_rows")).select("_rows").scalar()
-        pieces = [*(pieces or []), rows.alias(label)]
-    spark = next(iter(tables.values())).sparkSession
-    return spark.range(1).select(F.to_json(F.struct(*pieces)).alias(name))
+    for name, table in tables.items():
+        columns = [F.col(f"`{c}`") for c in table.columns]
+        placed = row_index(table, [c.asc() for c in columns], "_position")
+        piece = placed.select(F.lit(name).alias(label), F.col("_position").alias("position"), F.to_json(F.struct(*columns)).alias("json"))
+        pieces = piece if pieces is None else pieces.unionByName(piece)
+    return pieces
 
 
-def json_by_key(df: DataFrame, key: str, order: Sequence[str], name: str = "rows") -> DataFrame:
-    """One row for each key with its rows as a JSON list, sorted by ``order``.
+def json_by_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """For each key its rows as JSON objects, with their position in the order of ``order`` and the other columns."""
+    columns = [*order, *(c for c in df.columns if c not in order and c != key)]
+    placed = ordered_columns(df, [key], [F.col(f"`{c}`").asc() for c in columns], row_number="_position")
+    return placed.select(key, F.col("_position").alias("position"), F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns])).alias("json"))
 
-    For results of bounded size; ``write_json_by_key`` is the form without a bound.
-    """
-    result = _small_enough(df, "the result")
-    rest = [c for c in df.columns if c not in order and c != key]
-    ordered = F.array_sort(F.collect_list(F.struct(*order, *rest)))
-    return result.groupBy(key).agg(F.to_json(ordered).alias(name))
+
+def write_json_document(document: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Lines of JSON in the order of the document's first two columns; the files in name order hold them in order."""
+    first, second = document.columns[:2]
+    document.repartitionByRange(first, second).sortWithinPartitions(first, second).select("json").write.mode(mode).text(path)
