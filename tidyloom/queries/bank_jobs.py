@@ -65,7 +65,7 @@ def q_variance_to_target(spark, folder):
 
 @query("""
     SELECT o_orderkey AS transaction_id, 'GB' || d || s || CAST(200000 + o_custkey % 10000 AS VARCHAR) || CAST(o_custkey AS VARCHAR) AS iban
-    FROM orders JOIN (VALUES ('1-URGENT', '01', 'URGE'), ('2-HIGH', '12', 'HIGH'), ('5-LOW', '55', 'LOWW')) w(b, d, s) ON o_orderpriority = b
+    FROM orders JOIN (VALUES ('1-URGENT', '01', 'URGE'), ('2-HIGH', '12', 'HIGH'), ('3-MEDIUM', '23', 'MEDI'), ('4-NOT SPECIFIED', '34', 'NOTS'), ('5-LOW', '55', 'LOWW')) w(b, d, s) ON o_orderpriority = b
 """)
 def q_account_codes(spark, folder):
     sort_code = F.concat_ws("-", F.lit("20"), F.lpad(F.floor(F.col("o_custkey") % 10000 / 100).cast("string"), 2, "0"), F.lpad((F.col("o_custkey") % 100).cast("string"), 2, "0"))
@@ -73,7 +73,7 @@ def q_account_codes(spark, folder):
         F.col("o_orderkey").alias("Transaction ID"), F.col("o_custkey").alias("Account Number"), sort_code.alias("Sort Code"), F.col("o_orderpriority").alias("Bank")
     )
     swift = lookups.inline_table(
-        spark, [("1-URGENT", "URGE", "01"), ("2-HIGH", "HIGH", "12"), ("5-LOW", "LOWW", "55")], "Bank string, `SWIFT code` string, `Check Digits` string"
+        spark, [("1-URGENT", "URGE", "01"), ("2-HIGH", "HIGH", "12"), ("3-MEDIUM", "MEDI", "23"), ("4-NOT SPECIFIED", "NOTS", "34"), ("5-LOW", "LOWW", "55")], "Bank string, `SWIFT code` string, `Check Digits` string"
     )
     return bank.account_codes(transactions, F.broadcast(swift))
 

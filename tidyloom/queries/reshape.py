@@ -56,15 +56,14 @@ def q_pivot_count(spark, folder):
 
 
 @query("""
-    WITH m AS (SELECT user_id, median(value) FILTER (WHERE event_type = 'view') AS a, median(value) FILTER (WHERE event_type = 'click') AS b FROM events
-               WHERE event_type IN ('view', 'click') GROUP BY 1),
+    WITH m AS (SELECT user_id, median(value) FILTER (WHERE event_type = 'view') AS a, median(value) FILTER (WHERE event_type <> 'view') AS b FROM events GROUP BY 1),
     c AS (SELECT CASE WHEN a - b BETWEEN -1 AND 1 THEN 'Neutral' WHEN a - b >= 2 THEN 'Mobile App Superfan' WHEN a - b BETWEEN 1 AND 2 THEN 'Mobile App Fan'
                       WHEN a - b <= -2 THEN 'Online Interface Superfan' WHEN a - b BETWEEN -2 AND -1 THEN 'Online Interface Fan' END AS category FROM m)
     SELECT category, COUNT(*) AS num_responses, 100 * COUNT(*) / SUM(COUNT(*)) OVER () AS pct_responses FROM c GROUP BY 1
 """)
 def q_likert(spark, folder):
-    events = table(spark, folder, "events").where(F.col("event_type").isin("view", "click"))
-    platform = predicates.replace_values("event_type", {"view": "Mobile App", "click": "Online Interface"})
+    events = table(spark, folder, "events")
+    platform = F.when(F.col("event_type") == "view", "Mobile App").otherwise("Online Interface")
     return survey.preference_shares(events.select(F.col("user_id").alias("customer_id"), platform.alias("platform"), F.col("value").alias("rating")))
 
 
