@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from tidyloom.operators.ordered import ordered_columns
 
-# Pieces a band table is cut into at least, so that a row meets few bands besides its own.
-_LEAST_PIECES = 1_000
-
-
 def prefixed(df: DataFrame, prefix: str, keep: Sequence[str] = ()) -> DataFrame:
     """Rename columns for one role of a table that is joined more than once."""
     return df.select(*[F.col(f"`{c}`").alias(c if c in keep else f"{prefix}{c}") for c in df.columns])
@@ -66,20 +62,52 @@ def band_join(df: DataFrame, bands: DataFrame, value: Column, low: str, high: st
     """Join rows to the bands that hold a value, both ends included.
 
     The number line is cut in equal pieces, about as many as there are bands
-    (1,000 at least). Bands are listed under each piece they touch, and a row
-    meets only the bands of its own piece: an equi-join, which Spark broadcasts
-    or sorts by the size of the band table, in place of all pairs.
+    (1,024 at least), and pieces are halves of pieces twice as wide, and so on.
+    A band is listed under the few widest pieces that make it up, two for each width
+    at most, so overlapping and open bands take no more room than others. A row
+    meets the bands of its own piece of each width that is in use: an equi-join,
+    which Spark broadcasts or sorts by the size of the band table, in place of
+    all pairs.
     """
     edges = bands.agg(F.min(low).cast("double").alias("start"), F.max(high).cast("double").alias("end"), F.count(F.lit(1)).alias("n")).first()
     if edges["n"] == 0 or edges["start"] is None or edges["end"] is None:
         return df.join(bands, F.lit(False), "inner")
-    width = max((edges["end"] - edges["start"]) / max(_LEAST_PIECES, edges["n"]), 1e-9)
+    depth = max(10, (edges["n"] - 1).bit_length())
+    width = max((edges["end"] - edges["start"]) / 2**depth, 1e-9)
     piece = lambda column: F.floor((column - F.lit(edges["start"])) / F.lit(width)).cast("long")
-    # A row outside all bands has no piece; bands that end before they begin hold nothing.
-    listed = bands.where(F.col(low) <= F.col(high)).withColumn("_piece", F.explode(F.sequence(piece(F.col(low)), piece(F.col(high)))))
+    # Bands that end before they begin hold nothing.
+    listed = bands.where(F.col(low) <= F.col(high)).withColumn("_at", F.explode(_widest_pieces(piece(F.col(low)), piece(F.col(high)), depth + 1)))
+    listed = listed.select("*", F.col("_at.level").alias("_level"), F.col("_at.piece").alias("_piece")).drop("_at")
+    levels = sorted(row["_level"] for row in listed.select("_level").distinct().collect())  # at most depth + 2 numbers
+    if not levels:
+        return df.join(bands, F.lit(False), "inner")
+    # A row outside all bands has no piece.
     rows = df.withColumn("_value", value).where(F.col("_value").between(edges["start"], edges["end"]))
-    joined = rows.withColumn("_piece", piece(F.col("_value"))).join(listed, "_piece")
-    return joined.where(F.col("_value").between(F.col(low), F.col(high))).drop("_piece", "_value")
+    own = piece(F.col("_value"))
+    places = [F.struct(F.lit(level).alias("level"), F.shiftright(own, level).alias("piece")) for level in levels]
+    rows = rows.withColumn("_at", F.explode(F.array(*places)))
+    rows = rows.select("*", F.col("_at.level").alias("_level"), F.col("_at.piece").alias("_piece")).drop("_at")
+    joined = rows.join(listed, ["_level", "_piece"])
+    return joined.where(F.col("_value").between(F.col(low), F.col(high))).drop("_level", "_piece", "_value")
+
+
+def _widest_pieces(first: Column, last: Column, depth: int) -> Column:
+    """The pieces, as level (how often it was doubled) and number, that make up a run of the narrowest ones."""
+    node = "array<struct<level:int,piece:bigint>>"
+    start = F.struct(first.alias("a"), last.alias("b"), F.array().cast(node).alias("nodes"))
+
+    def step(state: Column, level: Column) -> Column:
+        a, b = state["a"], state["b"]
+        take_a = (a <= b) & (a % 2 == 1)
+        take_b = (a <= b) & (b % 2 == 0) & ~(take_a & (a == b))
+        one = lambda number: F.array(F.struct(level.alias("level"), number.alias("piece")))
+        nodes = F.concat(state["nodes"], F.when(take_a, one(a)).otherwise(F.array().cast(node)), F.when(take_b, one(b)).otherwise(F.array().cast(node)))
+        up_a, up_b = a + F.when(take_a, 1).otherwise(0), b - F.when(take_b, 1).otherwise(0)
+        # An empty run stays empty: halving must not let its ends meet again.
+        up_b = F.when(up_a > up_b, F.lit(-1).cast("long")).otherwise(up_b)
+        return F.struct(F.shiftright(up_a, 1).alias("a"), F.shiftright(up_b, 1).alias("b"), nodes.alias("nodes"))
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(depth)), start, step, lambda state: state["nodes"])
 
 
 def next_at_or_after(

@@ -61,11 +61,6 @@ def key_grid(keys: DataFrame, values: DataFrame) -> DataFrame:
     )
 
 
-def literal_grid(keys: DataFrame, name: str, values: Sequence[Any]) -> DataFrame:
-    """Every key with every one of a given list of values: a projection, no join."""
-    return keys.withColumn(name, F.explode(F.array(*[F.lit(value) for value in values])))
-
-
 def fill_grid(grid: DataFrame, facts: DataFrame, keys: Sequence[str], defaults: Mapping[str, Any]) -> DataFrame:
     """Left join observed facts to the expected grid and fill the holes."""
     joined = grid.join(facts, list(keys), "left")
