@@ -33,7 +33,7 @@ from tidyloom.llm.store import saved
 from tidyloom.llm.words import mix, running_hash
 
 WINDOW, ANCHOR = 100, 32
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 #: Occurrences of an anchor from which its windows are compared one by one, so that no task holds them all.
 HOT_ANCHOR = 2000
 
@@ -163,7 +163,8 @@ def anchors(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
         place = (least & np.uint64(_PIECE - 1)).astype(np.int64) + begin
         first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
         last = np.concatenate((first[1:], [count])) - 1
-        out.append((hashes[place[first]], place[first], first + begin, last + begin))
+        # Least hashes are small numbers: they are mixed again, so that they spread over all parts.
+        out.append((mix(hashes[place[first]]), place[first], first + begin, last + begin))
     return tuple(np.concatenate(columns) for columns in zip(*out))
 
 
@@ -204,6 +205,13 @@ def _told(hot: int):
     return run
 
 
+def _among(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which keys are in a sorted list."""
+    if not len(known):
+        return np.zeros(len(keys), dtype=bool)
+    return known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys
+
+
 #: A stretch of text around an anchor: all its windows, from ``start`` on; or one window of a hot anchor; or a stretch that is covered.
 _STRETCH = (("kind", pa.int32()), ("key", pa.int64()), ("second", pa.int64()), ("id", None), ("start", pa.int64()), ("anchor", pa.int64()), ("stretch", pa.binary()))
 _COVERED, _STRETCHES, _WINDOWS = 0, 1, 2
@@ -219,8 +227,8 @@ def _stretches(id_type: pa.DataType):
         order = sorted(zip(docs.column("id").to_pylist(), docs.column("text").to_pylist()), key=lambda d: d[0])
         for doc, blob in order:
             keys, places, firsts, lasts = anchors(blob)
-            kept = np.flatnonzero(np.isin(keys, repeated))
-            is_hot = np.isin(keys[kept], hot)
+            kept = np.flatnonzero(_among(keys, repeated))
+            is_hot = _among(keys[kept], hot)
             for i, burning in zip(kept.tolist(), is_hot.tolist()):
                 first, last = int(firsts[i]), int(lasts[i])
                 stretch = blob[first : last + WINDOW]
