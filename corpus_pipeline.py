@@ -49,9 +49,11 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by its kind."""
     found = personal.personal_spans(_with_row(docs), carry="row")
-    text = personal.masked(F.col("row.text"), F.col("spans"))
+    row = F.col("row")
+    text = personal.masked(row.getField("text"), F.col("spans"))
     changed = {"text": text, "n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {"text": text}
-    return found.select(*(changed.get(name, F.col(f"row.`{name}`")).alias(name) for name in docs.columns))
+    # Inside a struct, a column's name cannot stand for another column of the same selection.
+    return found.select(F.struct(*(changed.get(name, row.getField(name)).alias(name) for name in docs.columns)).alias("row")).select("row.*")
 
 
 def in_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
