@@ -29,7 +29,7 @@ def ordered_columns(
     *,
     running_sum: Mapping[str, Column] | None = None,
     row_number: str | None = None,
-    previous: Mapping[str, Column] | None = None,
+    previous: Mapping[str, Column | tuple[Column, int]] | None = None,
     last_seen: Mapping[str, Column] | None = None,
     hot: HotGroups | None | object = _FIND,
 ) -> DataFrame:
@@ -42,7 +42,7 @@ def ordered_columns(
       plain sum. Exact types give the same sums however rows are split; sums of
       doubles may differ in the last digits, as additions are grouped differently
     * ``row_number``: 1-based position
-    * ``previous``: value in the row before
+    * ``previous``: value in the row before, or with a number the value so many rows before
     * ``last_seen``: latest non-null value up to and with this row
 
     ``hot`` is the result of ``find_hot_groups`` where the caller has it already.
@@ -62,7 +62,8 @@ def ordered_columns(
 class _Wanted:
     def __init__(self, running_sum, row_number, previous, last_seen):
         self.running_sum, self.row_number = running_sum, row_number
-        self.previous, self.last_seen = previous, last_seen
+        self.previous = {name: value if isinstance(value, tuple) else (value, 1) for name, value in previous.items()}
+        self.last_seen = last_seen
 
 
 def _in_one_task_per_group(df, keys, order, wanted: _Wanted) -> DataFrame:
@@ -71,7 +72,7 @@ def _in_one_task_per_group(df, keys, order, wanted: _Wanted) -> DataFrame:
     columns = {name: F.sum(value).over(so_far) for name, value in wanted.running_sum.items()}
     if wanted.row_number:
         columns[wanted.row_number] = F.row_number().over(window).cast("long")
-    columns |= {name: F.lag(value).over(window) for name, value in wanted.previous.items()}
+    columns |= {name: F.lag(value, back).over(window) for name, (value, back) in wanted.previous.items()}
     columns |= {name: F.last(value, ignorenulls=True).over(so_far) for name, value in wanted.last_seen.items()}
     return df.withColumns(columns)
 
@@ -85,8 +86,10 @@ def _in_ranges(df: DataFrame, keys, order, wanted: _Wanted, hot: HotGroups) -> D
     local = {"_n": F.row_number().over(window).cast("long"), "_end": F.lead(F.lit(1)).over(window).isNull()}
     for i, value in enumerate(wanted.running_sum.values()):
         local[f"_s{i}"] = F.sum(value).over(so_far)
-    for i, value in enumerate(wanted.previous.values()):
-        local[f"_v{i}"], local[f"_p{i}"] = value, F.lag(value).over(window)
+    for i, (value, back) in enumerate(wanted.previous.values()):
+        # The last values up to here, in order; a struct, as a list leaves nulls out.
+        local[f"_v{i}"] = F.collect_list(F.struct(value.alias("v"))).over(window.rowsBetween(1 - back, 0))
+        local[f"_p{i}"] = F.lag(value, back).over(window)
     for i, value in enumerate(wanted.last_seen.values()):
         local[f"_l{i}"] = F.last(value, ignorenulls=True).over(so_far)
     # Range borders come from a sample, so the range number must be written
@@ -103,9 +106,11 @@ def _in_ranges(df: DataFrame, keys, order, wanted: _Wanted, hot: HotGroups) -> D
     for i in range(len(wanted.running_sum)):
         kept.append(f"_s{i}")
         carried[f"_s{i}_before"] = F.sum(f"_s{i}").over(before)
-    for i in range(len(wanted.previous)):
+    for i, (_, back) in enumerate(wanted.previous.values()):
         kept.append(f"_v{i}")
-        carried[f"_v{i}_before"] = F.lag(f"_v{i}").over(earlier)
+        # A range has one row at least, so the last ``back`` ranges hold the last ``back`` values.
+        tails = F.flatten(F.collect_list(f"_v{i}").over(earlier.rowsBetween(-back, -1)))
+        carried[f"_v{i}_before"] = F.slice(tails, F.greatest(F.size(tails) - back + 1, F.lit(1)), F.lit(back))
     for i in range(len(wanted.last_seen)):
         kept.append(f"_l{i}")
         carried[f"_l{i}_before"] = F.last(f"_l{i}", ignorenulls=True).over(before)
@@ -124,8 +129,11 @@ def _in_ranges(df: DataFrame, keys, order, wanted: _Wanted, hot: HotGroups) -> D
         result[name] = F.coalesce(total + rest, total, rest).cast(pieces.schema[f"_s{i}"].dataType)
     if wanted.row_number:
         result[wanted.row_number] = F.col("_n") + F.coalesce("_n_before", F.lit(0))
-    for i, name in enumerate(wanted.previous):
-        result[name] = F.when(F.col("_n") == 1, F.col(f"_v{i}_before")).otherwise(F.col(f"_p{i}"))
+    for i, (name, (_, back)) in enumerate(wanted.previous.items()):
+        tail = F.col(f"_v{i}_before")
+        # Row n of a range looks (back - n + 1) values back into what lies before the range.
+        found = F.get(tail, (F.size(tail) - back + F.col("_n") - 1).cast("int"))["v"]
+        result[name] = F.when(F.col("_n") <= back, found).otherwise(F.col(f"_p{i}"))
     for i, name in enumerate(wanted.last_seen):
         result[name] = F.coalesce(f"_l{i}", f"_l{i}_before")
     kept_names = [name for name in names if name not in result]
@@ -162,12 +170,11 @@ def percent_change(df, keys, order, value: Column, name: str, digits: int = 1) -
 def rolling_mean(df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: Column, name: str, size: int) -> DataFrame:
     """Mean of this row and the ``size - 1`` before it; null until there are that many.
 
-    Written as a chain of previous values, so that it follows the same split as
-    the other operators: no frame has to reach over a range border by itself.
+    The values before are looked up in one pass, so that it follows the same
+    split as the other operators: no frame has to reach over a range border by itself.
     """
-    frame, terms, hot = df.withColumn("_t0", value), [F.col("_t0")], find_hot_groups(df, keys)
-    for i in range(1, size):
-        frame = ordered_columns(frame, keys, order, previous={f"_t{i}": F.col(f"_t{i - 1}")}, hot=hot)
-        terms.append(F.col(f"_t{i}"))
+    back = {f"_t{i}": (value, i) for i in range(1, size)}
+    frame = ordered_columns(df.withColumn("_t0", value), keys, order, previous=back)
+    terms = [F.col(f"_t{i}") for i in range(size)]
     total = sum(terms[1:], terms[0])
     return frame.withColumn(name, total / F.lit(size)).drop(*[f"_t{i}" for i in range(size)])
