@@ -29,13 +29,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tidyloom.llm.interpolation import _from_planes, _planes, _table
-from tidyloom.llm.store import saved
+from tidyloom.llm.store import bounded_broadcast, saved
 from tidyloom.llm.words import mix, running_hash
 
 WINDOW, ANCHOR = 100, 32
 BLOCK_BYTES = 8 << 20
 #: Occurrences of an anchor from which its windows are compared one by one, so that no task holds them all.
 HOT_ANCHOR = 2000
+#: Ids of copies, or of documents with a repeat, that are broadcast at most; more are joined by shuffle, texts included.
+BROADCAST_IDS = 2_000_000
 
 
 def lyndon_groups(text: bytes) -> tuple[list[list[int]], list[int]]:
@@ -205,6 +207,17 @@ def _told(hot: int):
     return run
 
 
+def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The same places in as few ranges as can be, ascending."""
+    out: list[tuple[int, int]] = []
+    for start, stop in sorted(ranges):
+        if out and start <= out[-1][1]:
+            out[-1] = out[-1][0], max(out[-1][1], stop)
+        else:
+            out.append((start, stop))
+    return out
+
+
 def _among(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
     """Which keys are in a sorted list."""
     if not len(known):
@@ -226,6 +239,7 @@ def _stretches(id_type: pa.DataType):
         windows: dict[bytes, tuple] = {}
         order = sorted(zip(docs.column("id").to_pylist(), docs.column("text").to_pylist()), key=lambda d: d[0])
         for doc, blob in order:
+            ranges: list[tuple[int, int]] = []
             keys, places, firsts, lasts = anchors(blob)
             kept = np.flatnonzero(_among(keys, repeated))
             is_hot = _among(keys[kept], hot)
@@ -234,7 +248,7 @@ def _stretches(id_type: pa.DataType):
                 stretch = blob[first : last + WINDOW]
                 name = (stretch, int(places[i]) - first)
                 if name in seen:  # documents come in order: an equal stretch was earlier
-                    rows.append((_COVERED, 0, 0, doc, first, last + WINDOW, None))
+                    ranges.append((first, last + WINDOW))
                     continue
                 seen[name] = (doc, first)
                 if not burning:
@@ -243,9 +257,10 @@ def _stretches(id_type: pa.DataType):
                 for at in range(first, last + 1):
                     window = blob[at : at + WINDOW]
                     if window in windows:
-                        rows.append((_COVERED, 0, 0, doc, at, at + WINDOW, None))
+                        ranges.append((at, at + WINDOW))
                     else:
                         windows[window] = (doc, at)
+            rows += [(_COVERED, 0, 0, doc, start, stop, None) for start, stop in _merged(ranges)]
         for window, (doc, at) in windows.items():
             a, b = np.frombuffer(hashlib.blake2b(window, digest_size=16).digest(), dtype=np.int64).tolist()
             rows.append((_WINDOWS, a, b, doc, at, 0, None))
@@ -316,6 +331,10 @@ def _compared(id_type: pa.DataType):
                     flush()
         if strings:
             flush()
+        by_doc = defaultdict(list)
+        for doc, start, stop in rows:
+            by_doc[doc].append((start, stop))
+        rows = [(doc, *span) for doc, ranges in by_doc.items() for span in _merged(ranges)]
         return _table(rows, ("id", "start", "stop"), (id_type, pa.int64(), pa.int64()))
 
     return run
@@ -330,12 +349,7 @@ def _cut(id_type: pa.DataType):
             ranges[doc].append((start, stop))
         rows = []
         for doc, blob in zip(docs.column("id").to_pylist(), docs.column("text").to_pylist()):
-            spans, kept, at = [], [], 0
-            for start, stop in sorted(ranges.get(doc, ())):
-                if spans and start <= spans[-1]["end"]:
-                    spans[-1]["end"] = max(spans[-1]["end"], stop)
-                else:
-                    spans.append({"start": start, "end": stop})
+            spans, kept, at = [{"start": start, "end": stop} for start, stop in _merged(ranges.get(doc, []))], [], 0
             for span in spans:
                 kept.append(blob[at : span["start"]])
                 at = span["end"]
@@ -347,7 +361,7 @@ def _cut(id_type: pa.DataType):
 
 
 def without_repeats(
-    documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", block_bytes: int = BLOCK_BYTES, hot_anchor: int = HOT_ANCHOR
+    documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", block_bytes: int = BLOCK_BYTES, hot_anchor: int = HOT_ANCHOR, broadcast_ids: int = BROADCAST_IDS
 ) -> DataFrame:
     """The id, ``n_bytes``, ``spans`` (removed byte ranges, ascending and apart) and ``kept`` (remaining bytes) for every row.
 
@@ -377,6 +391,7 @@ def without_repeats(
     digests = saved(long.select("id", F.sha2("text", 256).alias("digest")), "digests")
     firsts = saved(digests.groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1"), "firsts")
     copies = saved(digests.join(firsts, "digest").where(F.col("id") > F.col("first")).select("id").distinct(), "copies")
+    copies = bounded_broadcast(copies, copies.count(), broadcast_ids)
     docs = long.join(copies, "id", "left_anti").select(block, "id", "text")
     asked = docs.groupBy("block").applyInArrow(_asked(blocks), "block long, part long, keys binary, counts binary")
     told = saved(asked.groupBy("part").applyInArrow(_told(hot_anchor), "block long, part long, repeated binary, hot binary"), "told")
@@ -390,6 +405,7 @@ def without_repeats(
     by_key = windows.join(least, ["key", "second"]).where(F.struct("id", "start") > F.col("least")).select("id", "start", (F.col("start") + WINDOW).alias("stop"))
     covered = saved(covered.unionByName(by_array).unionByName(by_key), "covered")
     touched = saved(covered.select("id").distinct(), "touched")
+    touched = bounded_broadcast(touched, touched.count(), broadcast_ids)
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.octet_length("text").cast("long").alias("end")))
     shape = f"id {name}, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"
     cut = docs.join(touched, "id").select("block", "id", "text").groupBy("block").cogroup(covered.withColumn("block", block).groupBy("block"))
@@ -397,6 +413,6 @@ def without_repeats(
     size = F.octet_length("text").cast("long").alias("n_bytes")
     none = F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans")
     gone = long.join(copies, "id", "left_semi").select("id", size, whole.alias("spans"), F.lit(b"").alias("kept"))
-    same = long.join(copies.unionByName(touched), "id", "left_anti").select("id", size, none, F.col("text").alias("kept"))
+    same = long.join(copies, "id", "left_anti").join(touched, "id", "left_anti").select("id", size, none, F.col("text").alias("kept"))
     short = source.where(F.col("id").isNull() | (F.octet_length("text") < WINDOW)).select("id", size, none, F.col("text").alias("kept"))
     return cut.unionByName(gone).unionByName(same).unionByName(short).withColumnRenamed("id", id_column)
