@@ -76,6 +76,16 @@ def test_counts_do_not_depend_on_blocks(spark, texts):
     assert all(math.isclose(one[d]["base_score"], many[d]["base_score"]) and one[d]["n_known"] == many[d]["n_known"] for d in one)
 
 
+def test_scores_do_not_depend_on_blocks(spark, texts):
+    frame = spark.createDataFrame(list(texts.items())[:60], "doc_id long, text string")
+    one, *others = (
+        {r["doc_id"]: r["score"] for r in interpolation.interpolated_scores(frame, F.col("doc_id") % 3 != 0, block_bytes=size).collect()}
+        for size in (1 << 30, 60_000, 20_000, 3_000)
+    )
+    assert len(one) == 60
+    assert all(math.isclose(one[d], other[d], rel_tol=1e-12) for other in others for d in one)
+
+
 def test_mixture_weights_find_the_better_estimate():
     # Bucket 3: the bigram estimate (1/2) always beats the word estimate (1/1024).
     key = np.array([(3 * 1001 + 4) * 1001 + 40])

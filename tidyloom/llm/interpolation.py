@@ -10,11 +10,14 @@ sends the hashes of its distinct words and bigrams, with their counts in
 training documents, sorted and cut into parts; each part adds up what all blocks
 have sent and answers every block with the totals in the order of its question.
 So an answer needs no keys, a frequent word is one entry for each block, and
-no table of n-grams is ever sent to all tasks.
+no table of n-grams is ever sent to all tasks. With its answers each text is
+written once as the counts of its tokens; weights and scores are read from those
+without a further shuffle.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from math import ceil
 
 import numpy as np
@@ -24,12 +27,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tidyloom.llm.store import saved
-from tidyloom.llm.words import BLANK_SEPARATED, Words, chunks, mix
+from tidyloom.llm.words import BLANK_SEPARATED, Words, chunks, mix, sliced
 
 #: Text bytes of a block, about; larger blocks send fewer hashes and need more memory.
 BLOCK_BYTES = 8 << 20
-#: One block in so many teaches the weights.
-HELD_BLOCKS = 7
 _END, _BEGIN = np.uint64(0x1B873593CC9E2D51), np.uint64(0x85EBCA6BC2B2AE35)
 _PAIR = np.uint64(0xD6E8FEB86659FD93)
 _BUCKETS = 48
@@ -116,25 +117,53 @@ def _answers(key: tuple, sent: pa.Table) -> pa.Table:
     return _table(rows, ("block", "kind", "part", "totals", "tokens", "types"), (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64()))
 
 
-class _Counted:
-    """A block's tokens with their counts in the whole training corpus."""
+def _narrow(counts: np.ndarray) -> bytes:
+    """The numbers byte by byte, in as few bytes each as the largest needs: 1, 2, 4 or 8."""
+    return _planes(counts, f"<u{next(w for w in (1, 2, 4, 8) if w == 8 or int(counts.max()) >> 8 * w == 0)}")
+
+
+def _matched(hashes: np.ndarray, answered: list[bytes]) -> np.ndarray:
+    keys, back = np.unique(hashes, return_inverse=True)
+    totals = np.concatenate([_from_planes(raw, "<u8") for raw in answered]) if answered else np.empty(0, np.uint64)
+    if len(totals) != len(keys):
+        raise RuntimeError(f"{len(totals)} answers to {len(keys)} questions: a block was not the same when it was read again")
+    return totals.astype(np.int64)[back]
+
 
-    def __init__(self, docs: pa.Table, answers: pa.Table):
-        tokens, pairs, self.begins = _tokens([b or b"" for b in docs.column("text").to_pylist()])
+def _counted(id_type: pa.DataType):
+    """Each text of a block as the counts of its tokens in the whole training corpus; every text has its end at least."""
+
+    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        tokens, pairs, begins = _tokens([b or b"" for b in docs.column("text").to_pylist()])
         found = sorted(zip(answers.column("kind").to_pylist(), answers.column("part").to_pylist(), answers.column("totals").to_pylist()))
-        self.word, self.pair = (self._counts(hashes, [raw for k, _, raw in found if k == kind]) for kind, hashes in ((WORD, tokens), (PAIR, pairs)))
-        # A context is counted as a word; the begin of a text as the end of one.
-        self.context = np.concatenate(([0], self.word[:-1])) if len(self.word) else self.word
-        ends = self.word[tokens == _END]
-        self.context[self.begins[:-1]] = ends[0] if len(ends) else 0
+        word, pair = (_matched(hashes, [raw for k, _, raw in found if k == kind]) for kind, hashes in ((WORD, tokens), (PAIR, pairs)))
+        texts = list(zip(begins[:-1].tolist(), begins[1:].tolist()))
+        return pa.table(
+            {
+                "id": docs.column("id").combine_chunks() if docs.num_rows else pa.array([], id_type),
+                "train": docs.column("train").combine_chunks() if docs.num_rows else pa.array([], pa.bool_()),
+                "n_tokens": pa.array(np.diff(begins), pa.int64()),
+                "words": pa.array([_narrow(word[lo:hi]) for lo, hi in texts], pa.binary()),
+                "pairs": pa.array([_narrow(pair[lo:hi]) for lo, hi in texts], pa.binary()),
+            }
+        )
 
-    @staticmethod
-    def _counts(hashes: np.ndarray, answered: list[bytes]) -> np.ndarray:
-        keys, back = np.unique(hashes, return_inverse=True)
-        totals = np.concatenate([_from_planes(raw, "<u8") for raw in answered]) if answered else np.empty(0, np.uint64)
-        if len(totals) != len(keys):
-            raise RuntimeError(f"{len(totals)} answers to {len(keys)} questions: a block was not the same when it was read again")
-        return totals.astype(np.int64)[back]
+    return run
+
+
+class _Counted:
+    """Counts of the words, bigrams and contexts of texts, and where each text's tokens begin (one more at the end)."""
+
+    def __init__(self, texts: pa.RecordBatch):
+        sizes = texts.column("n_tokens").to_numpy()
+        self.begins = np.concatenate(([0], np.cumsum(sizes)))
+        self.word, self.pair = (
+            np.concatenate([_from_planes(raw, f"<u{len(raw) // n}").astype(np.int64) for raw, n in zip(texts.column(name).to_pylist(), sizes.tolist())])
+            for name in ("words", "pairs")
+        )
+        # A context is counted as a word; the begin of a text as the end of one.
+        self.context = np.concatenate(([0], self.word[:-1]))
+        self.context[self.begins[:-1]] = self.word[self.begins[1:] - 1]
 
 
 def _bucket(context: np.ndarray) -> np.ndarray:
@@ -145,16 +174,23 @@ def _bucket(context: np.ndarray) -> np.ndarray:
 def _observed(total: int):
     """How often each bucket met each pair of estimates in training texts, on a logarithmic grid, the scored occurrence deleted."""
 
-    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        c = _Counted(docs, answers)
-        train = np.repeat(docs.column("train").to_numpy(), np.diff(c.begins)) if docs.num_rows else np.zeros(0, dtype=bool)
-        context, pair, word = (x[train] - 1 for x in (c.context, c.pair, c.word))
-        grid = []
-        for estimate in (pair / np.maximum(context, 1), word / max(total - 1, 1)):
-            steps = np.rint(_GRID * np.log2(np.where(estimate > 0, estimate, 1)))
-            grid.append(np.where(estimate > 0, np.minimum(-steps, 999), 1000).astype(np.int64))
-        keys, counts = np.unique((_bucket(context).astype(np.int64) * 1001 + grid[0]) * 1001 + grid[1], return_counts=True)
-        return pa.table({"key": pa.array(keys, pa.int64()), "n": pa.array(counts, pa.int64())})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        for batch in sliced(batches):
+            if not batch.num_rows:
+                continue
+            c = _Counted(batch)
+            context, pair, word = c.context - 1, c.pair - 1, c.word - 1
+            grid = []
+            for estimate in (pair / np.maximum(context, 1), word / max(total - 1, 1)):
+                steps = np.rint(_GRID * np.log2(np.where(estimate > 0, estimate, 1)))
+                grid.append(np.where(estimate > 0, np.minimum(-steps, 999), 1000).astype(np.int64))
+            new, n = np.unique((_bucket(context).astype(np.int64) * 1001 + grid[0]) * 1001 + grid[1], return_counts=True)
+            keys, back = np.unique(np.concatenate((keys, new)), return_inverse=True)
+            sums = np.zeros(len(keys), dtype=np.int64)
+            np.add.at(sums, back, np.concatenate((counts, n)))
+            counts = sums
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(counts, pa.int64())], names=["key", "n"])
 
     return run
 
@@ -174,22 +210,18 @@ def mixture_weights(keys: np.ndarray, counts: np.ndarray, types: int, rounds: in
     return weights / weights.sum(axis=1, keepdims=True)
 
 
-def _scores(total: int, types: int, weights: np.ndarray, id_type: pa.DataType):
-    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        c = _Counted(docs, answers)
-        mixed = weights[_bucket(c.context)]
-        p = mixed[:, 0] * (c.pair / np.maximum(c.context, 1)) + mixed[:, 1] * (c.word / max(total, 1)) + mixed[:, 2] / (types + 1)
-        sums = lambda x: np.add.reduceat(x, c.begins[:-1]) if len(x) else np.zeros(0)
-        base = np.log10((c.word + 1) / (total + types + 1))
-        return pa.table(
-            {
-                "id": docs.column("id").combine_chunks() if docs.num_rows else pa.array([], id_type),
-                "n_tokens": pa.array(np.diff(c.begins), pa.int64()),
-                "n_known": pa.array(sums((c.word > 0).astype(np.int64)).astype(np.int64), pa.int64()),
-                "base_score": pa.array(sums(base), pa.float64()),
-                "score": pa.array(sums(np.log10(p)), pa.float64()),
-            }
-        )
+def _scores(total: int, types: int, weights: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            if not batch.num_rows:
+                continue
+            c = _Counted(batch)
+            mixed = weights[_bucket(c.context)]
+            p = mixed[:, 0] * (c.pair / np.maximum(c.context, 1)) + mixed[:, 1] * (c.word / max(total, 1)) + mixed[:, 2] / (types + 1)
+            base = np.log10((c.word + 1) / (total + types + 1))
+            known, base, score = (np.add.reduceat(x, c.begins[:-1]) for x in ((c.word > 0).astype(np.int64), base, np.log10(p)))
+            columns = [batch.column("id"), batch.column("n_tokens"), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "n_tokens", "n_known", "base_score", "score"])
 
     return run
 
@@ -200,8 +232,8 @@ def interpolated_scores(
     """The id, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score`` for every row.
 
     ``train`` marks the rows that are learned from. Counts are taken from all of
-    them. The weights are learned on the training rows of every HELD_BLOCKS-th block, a
-    hash of id and text, with each scored occurrence deleted from its counts.
+    them. So are the weights, with each scored occurrence deleted from its counts;
+    no score depends on how texts are dealt over blocks.
     Tokens are words between white space, A-Z in lower case, and one end for
     each text. ``base_score`` sums log10((c + 1) / (N + V + 1)), ``score`` the
     mixture's log10 probabilities.
@@ -227,12 +259,12 @@ def interpolated_scores(
     answers = saved(answers, "answers")
     tokens, types = answers.where(f"block = -1 and kind = {WORD}").agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first()
     asked = answers.where("block >= 0").select("block", "kind", "part", "totals")
-    held = F.col("block") % HELD_BLOCKS == 0
-    seen = docs.where(held).select("block", "text", "train").groupBy("block").cogroup(asked.where(held).groupBy("block"))
-    seen = seen.applyInArrow(_observed(tokens), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()  # a bounded grid
+    counted = docs.groupBy("block").cogroup(asked.groupBy("block"))
+    name = kind.simpleString()
+    counted = saved(counted.applyInArrow(_counted(to_arrow_type(kind)), f"id {name}, train boolean, n_tokens long, words binary, pairs binary"), "counted")
+    seen = counted.where("train").select("n_tokens", "words", "pairs").mapInArrow(_observed(tokens), "key long, n long")
+    seen = seen.groupBy("key").agg(F.sum("n").alias("n")).toArrow().sort_by("key")  # a bounded grid; one order, so that sums of doubles are the same each time
     weights = mixture_weights(seen.column("key").to_numpy(), seen.column("n").to_numpy().astype(float), types)
-    found = docs.select("block", "id", "text").groupBy("block").cogroup(asked.groupBy("block"))
-    found = found.applyInArrow(
-        _scores(tokens, types, weights, to_arrow_type(kind)), f"id {kind.simpleString()}, n_tokens long, n_known long, base_score double, score double"
-    )
+    found = counted.select("id", "n_tokens", "words", "pairs")
+    found = found.mapInArrow(_scores(tokens, types, weights), f"id {name}, n_tokens long, n_known long, base_score double, score double")
     return found.select(F.col("id").alias(id_column), "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")
