@@ -170,11 +170,16 @@ def anchors(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     return tuple(np.concatenate(columns) for columns in zip(*out))
 
 
+def _documents(docs: pa.Table) -> list[tuple]:
+    """Id and text of each document of a block, in order: rows with both in common are one document and do not repeat each other."""
+    return sorted(set(zip(docs.column("id").to_pylist(), docs.column("text").to_pylist())))
+
+
 def _asked(parts: int):
     """The anchors of a block: hash, and occurrences in the block, for each part."""
 
     def run(key: tuple, docs: pa.Table) -> pa.Table:
-        found = [anchors(b)[0] for b in docs.column("text").to_pylist()]
+        found = [anchors(b)[0] for _, b in _documents(docs)]
         keys, counts = np.unique(np.concatenate(found), return_counts=True) if found else (np.empty(0, np.uint64), np.empty(0, np.int64))
         part = ((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
         cuts = np.flatnonzero(np.diff(part)) + 1
@@ -237,8 +242,7 @@ def _stretches(id_type: pa.DataType):
         seen: dict[tuple, tuple] = {}
         rows: list[tuple] = []
         windows: dict[bytes, tuple] = {}
-        order = sorted(zip(docs.column("id").to_pylist(), docs.column("text").to_pylist()), key=lambda d: d[0])
-        for doc, blob in order:
+        for doc, blob in _documents(docs):
             ranges: list[tuple[int, int]] = []
             keys, places, firsts, lasts = anchors(blob)
             kept = np.flatnonzero(_among(keys, repeated))
