@@ -8,6 +8,8 @@ stems say, and by nothing where neither class knows it. The difference of the
 two log-likelihoods is a sum over words; a text is judged by that sum for each
 word of its length, by its strongest word and by the number of strong words, put
 on one scale by a logistic curve fitted to labelled texts the models have not seen.
+There each row stands for as many labelled rows of its class as the sample left
+out, so a score means the same at every size.
 """
 
 from __future__ import annotations
@@ -138,18 +140,21 @@ def _described(ratios: np.ndarray) -> list[float]:
 
 
 class Curve:
-    """Logistic curve over standardised features, by Newton steps with a small ridge."""
+    """Logistic curve over standardised features, by Newton steps with a small ridge; ``stands`` is how many rows each stands for."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, ridge: float = 1.0):
+    def __init__(self, x: np.ndarray, y: np.ndarray, ridge: float = 1.0, stands: np.ndarray | None = None):
         self.mean, self.scale, self.weights = np.zeros(_FEATURES), np.ones(_FEATURES), np.zeros(_FEATURES + 1)
         if not len(y):
             return
-        self.mean, self.scale = x.mean(0), x.std(0) + 1e-9
+        # Of mean 1, so that the ridge weighs the same against few and many left out.
+        share = np.ones(len(y)) if stands is None else stands / stands.mean()
+        self.mean = np.average(x, axis=0, weights=share)
+        self.scale = np.sqrt(np.average((x - self.mean) ** 2, axis=0, weights=share)) + 1e-9
         z = np.column_stack([np.ones(len(y)), (x - self.mean) / self.scale])
         for _ in range(50):
             p = 1 / (1 + np.exp(-np.clip(z @ self.weights, -35, 35)))
-            pull = z.T @ (y - p) - ridge * self.weights
-            step = np.linalg.solve(z.T @ (z * (p * (1 - p))[:, None]) + ridge * np.eye(_FEATURES + 1), pull)
+            pull = z.T @ (share * (y - p)) - ridge * self.weights
+            step = np.linalg.solve(z.T @ (z * (share * p * (1 - p))[:, None]) + ridge * np.eye(_FEATURES + 1), pull)
             self.weights = self.weights + step
             if np.abs(step).max() < 1e-8:
                 break
@@ -165,6 +170,7 @@ class Curve:
 def fitted(documents: DataFrame, labels: DataFrame, train: Column, id_column: str, text_column: str, label_column: str, max_labelled: int) -> tuple[Evidence, Curve]:
     """Models and curve from at most ``max_labelled`` labelled rows, four fifths for the models, the rest for the curve."""
     marks = labels.where(train & F.col(label_column).isin(0, 1)).groupBy(F.col(id_column).alias("id")).agg(F.max(F.col(label_column).cast("int")).alias("y"))
+    marks = saved(marks, "marks")
     # By a hash of the id; more ids are drawn than rows are used, as some have no text that fits.
     order = F.xxhash64(F.col("id").cast("string"), F.lit("fit"))
     drawn = [marks.where(F.col("y") == y).orderBy(order, "id").limit(max_labelled) for y in (0, 1)]
@@ -173,13 +179,17 @@ def fitted(documents: DataFrame, labels: DataFrame, train: Column, id_column: st
     texts = texts.where(F.octet_length("text") <= MAX_LABELLED_BYTES).join(F.broadcast(wanted), "id")
     halves = [texts.where(F.col("y") == y).orderBy(order, "id", "text").limit(max_labelled // 2) for y in (0, 1)]
     sample = saved(halves[0].unionByName(halves[1]).withColumn("fold", F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("fold")), F.lit(5))), "sample")
+    # Labelled training rows of each class in all data, for each row of the sample.
+    every = documents.where(train).groupBy(F.col(id_column).alias("id")).agg(F.count(F.lit(1)).alias("n")).join(marks, "id").groupBy("y").agg(F.sum("n"))
+    every, drawn_rows = dict(map(tuple, every.collect())), dict(map(tuple, sample.groupBy("y").count().collect()))
     counts = sample.where("fold > 0").mapInArrow(_counted, "word binary, toxic long, ordinary long")
     counts = counts.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")).toArrow()
     evidence = Evidence(counts.column("word").to_pylist(), counts.column("toxic").to_numpy().astype(float), counts.column("ordinary").to_numpy().astype(float))
     # The sample is of bounded rows and bytes, and so is what comes to the driver.
     seen = sample.where("fold = 0").select(F.col("y").cast("int").alias("id"), "text").mapInArrow(_features(evidence), "id int, x array<double>").toArrow()
     x = np.array(seen.column("x").to_pylist(), dtype=float).reshape(-1, _FEATURES)
-    return evidence, Curve(x, seen.column("id").to_numpy().astype(float))
+    y = seen.column("id").to_numpy().astype(float)
+    return evidence, Curve(x, y, stands=np.array([every[int(label)] / drawn_rows[int(label)] for label in y]))
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,7 +219,8 @@ def toxicity(
 
     ``train`` is a condition on the id column: labels of other rows are never
     read. The classifier is fitted on at most ``max_labelled`` labelled rows,
-    half of each class, with texts of at most MAX_LABELLED_BYTES bytes; every
+    half of each class, with texts of at most MAX_LABELLED_BYTES bytes; in the
+    curve both classes weigh as they do among all labelled training rows. Every
     whole text is scored.
 
     Defined cases: null, empty and blank texts have no evidence and get the score of
