@@ -17,8 +17,14 @@ from pyspark.sql import functions as F
 from tidyloom.llm.store import connected, saved
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_LINK = r"(?is)<link\b(?=[^>]{0,2000}?\brel\s*=\s*[\"']?canonical\b)[^>]{0,2000}?\bhref\s*=\s*[\"']?([^\"'\s>]++)"
-_REFRESH = r"(?is)<meta\b(?=[^>]{0,2000}?\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]{0,2000}?\burl\s*=\s*[\"']?([^\"'\s>]++)"
+_MARKED = r"(?i)canonical|http-equiv"
+_TAG = r"(?i)<(?:link|meta)\b[^>]*+"
+# Of a tag: whether it names the canonical address or a refresh, and the address. A value ends at its quote, or else at a blank.
+_CANONICAL = r"(?is)^<link\b.*?(?<![\w-])rel\s*+=\s*+(?:\"(?:[^\"]*\s)?canonical[\s\"]|'(?:[^']*\s)?canonical[\s']|canonical(?![^\s/]))"
+_HREF = r"(?is)(?<![\w-])href\s*+=\s*+(\"[^\"]*+|'[^']*+|[^\s\"'>]++)"
+_REFRESH = r"(?is)^<meta\b.*?(?<![\w-])http-equiv\s*+=\s*+[\"']?\s*+refresh\b"
+_URL = r"(?is)(?<![\w-])url\s*+=\s*+[\"']?\s*+([^\"'\s>]++)"
+_SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*:"
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -37,7 +43,44 @@ def address(url: Column) -> Column:
     """What stands for an address in edges: host, path and query; scheme and fragment do not matter."""
     host, path = host_and_path(url)
     query = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^[^?#]*(\?[^#]*)?", 1)
-    return F.when(host != "", F.concat(host, F.when(path == "", F.lit("/")).otherwise(path), query))
+    path = F.when(path == "", F.lit("/")).when(path.rlike(r"/\.\.?(?:/|$)"), _undotted(path)).otherwise(path)
+    return F.when(host != "", F.concat(host, path, query))
+
+
+def _undotted(path: Column) -> Column:
+    """The path without its steps ``.`` and ``..``."""
+    steps = F.split(path, "/")
+    up = lambda kept: F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))
+    kept = F.aggregate(
+        F.slice(steps, 2, F.size(steps)),
+        F.array().cast("array<string>"),
+        lambda kept, step: F.when(step == ".", kept).when(step == "..", up(kept)).otherwise(F.concat(kept, F.array(step))),
+    )
+    closed = F.when(path.rlike(r"/\.\.?$"), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    return F.concat(F.lit("/"), F.array_join(closed, "/"))
+
+
+def _targets(html: Column) -> Column:
+    """All addresses that canonical links and refreshes of a page name, as written but for the escape of ``&``."""
+    tags = F.regexp_extract_all(html, F.lit(_TAG), F.lit(0))
+    links = F.transform(F.filter(tags, lambda tag: tag.rlike(_CANONICAL)), lambda tag: F.regexp_extract(tag, _HREF, 1))
+    refreshes = F.transform(F.filter(tags, lambda tag: tag.rlike(_REFRESH)), lambda tag: F.regexp_extract(tag, _URL, 1))
+    plain = lambda t: F.regexp_replace(F.regexp_replace(t, r"^[\s\"']+|\s+$", ""), "(?i)&(?:amp|#0*38|#x0*26);", "&")
+    return F.when(html.rlike(_MARKED), F.transform(F.concat(links, refreshes), plain))
+
+
+def _resolved(target: Column, host: Column, path: Column) -> Column:
+    """The target as an absolute address, read on a page of the host and path; null where it is none."""
+    page = F.concat(F.lit("http://"), host)
+    whole = F.when(path == "", F.lit("/")).otherwise(path)
+    return (
+        F.when(target.rlike(_SCHEME + "//"), target)
+        .when(target.rlike(_SCHEME) | target.startswith("#"), F.lit(None).cast("string"))  # mailto: and the like; the page itself
+        .when(target.startswith("//"), F.concat(F.lit("http:"), target))
+        .when(target.startswith("/"), F.concat(page, target))
+        .when(target.startswith("?"), F.concat(page, whole, target))
+        .otherwise(F.concat(page, F.regexp_replace(whole, "[^/]*$", ""), target))
+    )
 
 
 def judged(
@@ -57,7 +100,8 @@ def judged(
 
     Defined cases: a null address, or one without ``://``, has an empty host and
     path, no rule and no alias and is allowed; null or empty html has no edge;
-    relative link targets belong to the page's host; repeated rows are each
+    relative link targets are resolved against the page's address; every canonical
+    link and refresh of a page is an edge; repeated rows are each
     judged; an empty table gives no row. Other columns are ignored.
     """
     url, html = F.col(url_column), F.col(html_column)
@@ -68,15 +112,11 @@ def judged(
         fits = _fits(F.col("host"), F.col("path"), rule_host, rule_path)
         rule = F.when(fits, rule_host + rule_path).otherwise(rule)
         verdict = F.when(fits, decision).otherwise(verdict)
-    marked = html.contains("canonical") | html.contains("CANONICAL") | html.rlike("(?i)http-equiv")
-    targets = F.when(marked, F.array(F.regexp_extract(html, _LINK, 1), F.regexp_extract(html, _REFRESH, 1)))
-    rows = pages.select(F.col(id_column).alias("id"), url.alias("url"), host.alias("host"), path.alias("path"), address(url).alias("node"), targets.alias("targets"))
+    rows = pages.select(F.col(id_column).alias("id"), url.alias("url"), host.alias("host"), path.alias("path"), address(url).alias("node"), _targets(html).alias("targets"))
     rows = saved(rows.withColumns({"rule": rule, "own": verdict}), "pages")
-    target = F.when(F.col("t").startswith("/") & ~F.col("t").startswith("//"), F.concat(F.lit("http://"), F.col("host"), F.col("t"))).when(
-        F.col("t").startswith("//"), F.concat(F.lit("http:"), F.col("t"))
-    ).otherwise(F.col("t"))
-    edges = rows.where("node is not null").select("node", "host", F.explode("targets").alias("t")).where("t <> ''")
-    edges = edges.select(F.col("node").alias("a"), address(target).alias("b"))
+    edges = rows.where("node is not null").select("node", "host", "path", F.explode("targets").alias("t")).where("t <> ''")
+    edges = saved(edges.select(F.col("node").alias("a"), _resolved(F.col("t"), F.col("host"), F.col("path")).alias("t")), "targets")
+    edges = edges.select("a", address(F.col("t")).alias("b"))
     if redirects is not None:
         edges = edges.unionByName(redirects.select(address(F.col("source")).alias("a"), address(F.col("target")).alias("b")))
     groups = saved(connected(edges, "a", "b"), "aliases")
