@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidyloom.llm.conversation_repair import damaged, repaired_conversations
 from tidyloom.llm.decontaminate import contamination
 from tidyloom.llm.interpolation import interpolated_scores
 from tidyloom.llm.minhash import near_duplicates
@@ -14,8 +15,10 @@ from tidyloom.llm.personal import KINDS, personal_spans, written
 from tidyloom.llm.quotes import linked_conversations
 from tidyloom.llm.redirects import judged
 from tidyloom.llm.registry import ORACLES, QUERIES, query
+from tidyloom.llm.spellings import spelling_variants
 from tidyloom.llm.store import table
 from tidyloom.llm.suffixes import without_repeats
+from tidyloom.llm.token_counts import token_counts
 from tidyloom.llm.toxicity import toxicity
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -188,3 +191,24 @@ PAGE_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block",
 def op10_redirects(spark: SparkSession, folder: str) -> DataFrame:
     """Every page's verdict; the given pages name no canonical address, so the SQL has no aliases to follow."""
     return judged(table(spark, folder, "pages"), PAGE_RULES)
+
+
+@query()
+def op11_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """The cheapest repair of every conversation, after the damage."""
+    return repaired_conversations(table(spark, folder, "conversations"), damaged)
+
+
+@query()
+def op12_spellings(spark: SparkSession, folder: str) -> DataFrame:
+    """Every frequent word of all texts with its likely spelling."""
+    return spelling_variants(table(spark, folder, "documents"), damage_every=97)
+
+
+@query()
+def op13_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every text."""
+    import public_tokenizers
+
+    counted = token_counts(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"), "n_widened")
