@@ -101,7 +101,7 @@ def linked_conversations(
     columns = ["row", "conv", "turn", "passage", "level", "size", "p_conv", "p_turn"]
     found = saved(found.select(*columns, F.lit(0).alias("far")).unionByName(elsewhere.select(*columns, F.lit(1).alias("far"))), "found")
     best = found.groupBy("conv", "turn").agg(F.min(F.struct("level", "far", (-F.col("size")).alias("size"), "p_conv", "p_turn")).alias("best"))
-    before = difference_to_previous(nodes, ["conv"], [F.col("turn").asc()], F.col("turn"), "step")
+    before = difference_to_previous(nodes, ["conv"], [F.col("turn")], F.col("turn"), "step")
     before = saved(before.select("conv", "turn", (F.col("turn") - F.col("step")).alias("previous")), "before")
     parents = before.join(best, ["conv", "turn"], "left").select(
         "conv",
