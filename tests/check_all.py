@@ -18,8 +18,8 @@ if __name__ == "__main__":
     names = arguments[1:] or list(QUERIES)
     settings = {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"}
     settings["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="tidyloom-check-")
-    if "--split" in sys.argv:  # force the plans for groups that do not fit one task
-        settings |= {"spark.tidyloom.rowsPerTask": "40"}
+    if "--split" in sys.argv:  # very many borders
+        settings |= {"spark.tidyloom.bordersPerPartition": "400"}
     if "--zone" in sys.argv:  # results must not depend on the session's time zone
         settings["spark.sql.session.timeZone"] = "America/New_York"
     spark = build_session(master="local[8]", **settings)

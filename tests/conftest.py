@@ -6,7 +6,7 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
-from tidyloom.settings import ROWS_PER_TASK, build_session  # noqa: E402
+from tidyloom.settings import BORDERS_PER_PARTITION, build_session  # noqa: E402
 
 TABLES = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -31,10 +31,10 @@ def spark(tmp_path_factory):
 
 @pytest.fixture
 def split(spark):
-    """Make every group larger than 3 rows count as too large for one task."""
-    spark.conf.set(ROWS_PER_TASK, "3")
+    """Draw more borders than small tables have rows."""
+    spark.conf.set(BORDERS_PER_PARTITION, "200")
     yield
-    spark.conf.unset(ROWS_PER_TASK)
+    spark.conf.unset(BORDERS_PER_PARTITION)
 
 
 def rows(frame, *columns):

@@ -9,16 +9,16 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidyloom.operators import groups, joins, ordered, ranks, reshape, scaffold
-from tidyloom.operators.hot import find_hot_groups
-from tidyloom.settings import ROWS_PER_TASK
+from tidyloom.operators.ranges import Ranges, down
+from tidyloom.settings import BORDERS_PER_PARTITION
 
 
-@pytest.fixture(params=["whole", "split"])
+@pytest.fixture(params=["0", "16", "200"])
 def either(request, spark):
-    if request.param == "split":
-        spark.conf.set(ROWS_PER_TASK, "3")
+    """One border in all, a few, or more than there are rows."""
+    spark.conf.set(BORDERS_PER_PARTITION, request.param)
     yield request.param
-    spark.conf.unset(ROWS_PER_TASK)
+    spark.conf.unset(BORDERS_PER_PARTITION)
 
 
 @pytest.fixture(scope="module")
@@ -43,7 +43,7 @@ def by_key(data):
 
 def test_ordered_columns(frame, data, either):
     found = ordered.ordered_columns(
-        frame, ["k"], [F.col("id").desc()], running_sum={"s": F.col("x")}, row_number="n", previous={"p": F.col("x")}, last_seen={"l": F.col("x")}
+        frame, ["k"], [down("id")], running_sum={"s": F.col("x")}, row_number="n", previous={"p": F.col("x")}, last_seen={"l": F.col("x")}
     )
     expected = []
     for key, members in by_key(data).items():
@@ -57,9 +57,9 @@ def test_ordered_columns(frame, data, either):
 
 
 def test_whole_table_index_and_sum(frame, data, either):
-    found = ordered.ordered_columns(frame, [], [F.col("id").asc()], running_sum={"s": F.col("id")}, row_number="n")
+    found = ordered.ordered_columns(frame, [], [F.col("id")], running_sum={"s": F.col("id")}, row_number="n")
     assert sorted((r.id, r.n, r.s) for r in found.collect()) == [(i, i + 1, i * (i + 1) // 2) for i in range(len(data))]
-    assert sorted(r.n for r in ordered.row_index(frame, [F.col("id").asc()], "n", start=10).collect()) == list(range(10, 10 + len(data)))
+    assert sorted(r.n for r in ordered.row_index(frame, [F.col("id")], "n", start=10).collect()) == list(range(10, 10 + len(data)))
 
 
 @pytest.mark.parametrize("ties", ["min", "max"])
@@ -137,7 +137,7 @@ def test_whole_table_stats(frame, data, either):
 
 def test_rolling_mean_and_changes(spark, either):
     frame = spark.createDataFrame([(i, 10.0 * (i % 4)) for i in range(8)], "i int, x double")
-    order = [F.col("i").asc()]
+    order = [F.col("i")]
     rolled = {r.i: r.m for r in ordered.rolling_mean(frame, [], order, F.col("x"), "m", 3).collect()}
     assert rolled[0] is None and rolled[1] is None and rolled[2] == 10.0 and rolled[5] == pytest.approx(40 / 3)
     change = {r.i: r.c for r in ordered.percent_change(frame, [], order, F.col("x"), "c").collect()}
@@ -286,7 +286,7 @@ def test_extremes_of_groups(spark):
 
 def test_sums_have_one_type(spark, either):
     frame = spark.range(10).selectExpr("id", "cast(id as decimal(12,2)) as d")
-    found = ordered.running_sum(frame, [], [F.col("id").asc()], F.col("d"), "s")
+    found = ordered.running_sum(frame, [], [F.col("id")], F.col("d"), "s")
     assert found.schema["s"].dataType.simpleString() == "decimal(22,2)"
     assert [float(r.s) for r in found.orderBy("id").collect()] == [sum(range(i + 1)) for i in range(10)]
 
@@ -298,13 +298,69 @@ def test_quantiles_have_one_arithmetic(spark, either):
 
 
 def test_rows_made_by_explode_are_split(spark):
-    spark.conf.set(ROWS_PER_TASK, "1000")
+    exploded = spark.range(1).select(F.explode(F.sequence(F.lit(1), F.lit(5000))).alias("x"))
+    assert ordered.row_index(exploded, [F.col("x")], "i").where("i <> x").count() == 0
+    sizes = [r["count"] for r in Ranges(exploded, [], [F.col("x")]).place(exploded).groupBy("_range").count().collect()]
+    assert len(sizes) == 33 and max(sizes) < 5000 / 4
+
+
+def test_mixed_orders_with_nulls(spark, either):
+    draw = random.Random(11)
+    data = [(i, draw.choice([None, 1.5, float("nan"), -2.0]), draw.choice([None, "", "a", "b"]), i % 3 or None) for i in range(90)]
+    frame = spark.createDataFrame(data, "id long, x double, t string, k long")
+    found = ordered.ordered_columns(
+        frame, ["k"], [down("x"), F.col("t"), down("id")], row_number="n", previous={"p": F.col("id"), "p4": (F.col("t"), 4)}, last_seen={"l": F.col("t")}
+    )
+    window = "OVER (PARTITION BY k ORDER BY x DESC, t, id DESC{})"
+    frame.createOrReplaceTempView("mixed_orders")
+    plain = spark.sql(
+        f"""SELECT *, CAST(row_number() {window.format('')} AS BIGINT) AS n, lag(id) {window.format('')} AS p, lag(t, 4) {window.format('')} AS p4,
+            last(t, true) {window.format(' ROWS UNBOUNDED PRECEDING')} AS l FROM mixed_orders"""
+    )
+    assert sorted(map(str, found.select(plain.columns).collect())) == sorted(map(str, plain.collect()))
+
+
+def test_no_job_before_the_action_and_the_same_doubles(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "plans alone")
+    frame = spark.range(3000).selectExpr("id", "id % 7 as k", "pow(id, 1.37) / 7 as x")
     try:
-        exploded = spark.range(1).select(F.explode(F.sequence(F.lit(1), F.lit(5000))).alias("x"))
-        found = ordered.row_index(exploded, [F.col("x").asc()], "i")
-        assert find_hot_groups(exploded, []).chunks == 5 and found.where("i <> x").count() == 0
+        built = [
+            ordered.running_sum(frame, [], [F.col("id")], F.col("x"), "s"),
+            ordered.rolling_mean(frame, ["k"], [F.col("id")], F.col("x"), "m", 30),
+            ranks.ranked(frame, ["k"], "x"),
+            ranks.quantile_bins(frame, ["k"], "x", 4, list("abcd"), "q"),
+            joins.with_next(frame, "id", "after"),
+        ]
+        assert not tracker.getJobIdsForGroup("building")
     finally:
-        spark.conf.unset(ROWS_PER_TASK)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert [f.count() for f in built] == [3000] * 5
+    # However the rows lie in files or tasks, borders and sums are the same.
+    sums = [sorted(map(tuple, ordered.running_sum(frame.repartition(n), [], [F.col("id")], F.col("x"), "s").select("id", "s").collect())) for n in (1, 7)]
+    assert sums[0] == sums[1]
+
+
+def test_rolling_mean_hands_on_the_last_rows_of_a_range(spark):
+    frame = ordered.rolling_mean(spark.range(500).withColumn("x", F.col("id") * 2), [], [F.col("id")], F.col("x"), "m", 30)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    # Lists are made of the last rows of ranges alone; no window over the rows of a range collects any.
+    windows = [line for line in plan.splitlines() if " Window [" in line or "+- Window [" in line]
+    assert windows and not [line for line in windows if "_range" in line and "collect_list" in line]
+    assert {r["id"]: r["m"] for r in frame.where("id > 497 or id = 28").collect()} == {28: None, 498: 967.0, 499: 969.0}
+
+
+@pytest.mark.parametrize("ties", ["min", "max"])
+def test_a_value_of_most_rows_is_spread(spark, ties):
+    frame = spark.range(0, 20_000, 1, 8).selectExpr("if(id % 10 > 0, 5, if(id % 100 = 0, null, id)) as x")
+    found = ranks.ranked(frame, [], "x", ties=ties)
+    small = frame.where("x < 5").count()
+    assert [tuple(r) for r in found.where("x = 5").select("rank").distinct().collect()] == [(small + (1 if ties == "min" else 18_000),)]
+    assert found.where("x is null and rank is null").count() == 200
+    assert found.agg(F.max("rank")).first()[0] == frame.where("x is not null").count()
+    # Of the common value and of the nulls, each source partition makes a group of its own.
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SPARK_PARTITION_ID" in plan and any("rank(" in line or "count(" in line for line in plan.splitlines() if "Window [" in line and "_spread" in line)
 
 
 def test_groups_of_a_text_with_control_characters(spark):

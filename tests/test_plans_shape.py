@@ -39,7 +39,7 @@ def test_split_running_total_has_no_single_task_window(spark, split):
 
     from tidyloom.operators.ordered import running_sum
 
-    frame = running_sum(spark.range(1000).withColumn("x", F.col("id")), [], [F.col("id").asc()], F.col("x"), "total")
+    frame = running_sum(spark.range(1000).withColumn("x", F.col("id")), [], [F.col("id")], F.col("x"), "total")
     plan = plan_of(frame)
     # The one window left works on one row for each range, not on the table.
     assert "SinglePartition" not in plan.split("BroadcastExchange")[0]

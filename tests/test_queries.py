@@ -1,4 +1,4 @@
-"""Every query against its SQL twin, in the usual plan and with all larger groups split."""
+"""Every query against its SQL twin, with the usual number of borders and with very many."""
 
 import oracle
 import pytest
@@ -6,7 +6,7 @@ from conftest import TABLES
 
 import __spark_entry__ as entry
 from tidyloom.queries import ORACLES, QUERIES
-from tidyloom.settings import ROWS_PER_TASK
+from tidyloom.settings import BORDERS_PER_PARTITION
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +24,7 @@ def test_query_equals_twin(spark, connection, name):
     assert oracle.differences(QUERIES[name](spark, TABLES), ORACLES[name], connection) == []
 
 
-# Queries whose operators have another plan for groups that are too large for one task.
+# Queries whose operators work on groups by ranges.
 SPLIT = """
     q_weekday_rank q_athletes q_global_rank q_rank_max q_monthly_rank q_ordinal q_sort_index q_running_balance q_ledger q_ffill q_pct_change
     q_running_diff q_rolling3 q_qcut6 q_qcut_quartile q_gpa q_price_stats q_likert q_pareto q_partition_stats q_performance q_daily_balance
@@ -37,11 +37,11 @@ SPLIT = """
 
 @pytest.mark.parametrize("name", SPLIT)
 def test_split_groups_equal_twin(spark, connection, name):
-    spark.conf.set(ROWS_PER_TASK, "25")
+    spark.conf.set(BORDERS_PER_PARTITION, "400")
     try:
         assert oracle.differences(QUERIES[name](spark, TABLES), ORACLES[name], connection) == []
     finally:
-        spark.conf.unset(ROWS_PER_TASK)
+        spark.conf.unset(BORDERS_PER_PARTITION)
 
 
 def test_entry_runs(spark):

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidyloom.operators.hot import renamed_keys, same_keys
+from tidyloom.operators.ranges import renamed_keys, same_keys
 
 
 def zero_sum(value: Column | str) -> Column:

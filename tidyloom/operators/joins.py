@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidyloom.operators.ordered import ordered_columns
+from tidyloom.operators.ranges import down
 
 def prefixed(df: DataFrame, prefix: str, keep: Sequence[str] = ()) -> DataFrame:
     """Rename columns for one role of a table that is joined more than once."""
@@ -123,14 +124,14 @@ def next_at_or_after(
     together = left.withColumn("_is_day", F.lit(True)).unionByName(right.withColumn("_is_day", F.lit(False)), allowMissingColumns=True)
     # Latest first; on one date the candidate comes before the rows that use it.
     # The hash only tells equal dates apart, so that a date with very many rows can be split.
-    order = [F.col("_at").desc(), F.col("_is_day").asc(), F.xxhash64(*days.columns).asc()]
+    order = [down("_at"), F.col("_is_day"), F.xxhash64(*days.columns)]
     found = ordered_columns(together, by, order, last_seen={name: F.col("_here")})
     return found.where("_is_day AND " + f"`{name}` IS NOT NULL").drop("_at", "_here", "_is_day")
 
 
 def with_next(df: DataFrame, date: str, name: str, by: Sequence[str] = ()) -> DataFrame:
     """The next date of the same table, null for the last. Dates must be distinct within ``by``."""
-    return ordered_columns(df, by, [F.col(date).desc()], previous={name: F.col(date)})
+    return ordered_columns(df, by, [down(date)], previous={name: F.col(date)})
 
 
 def reporting_detail(days: DataFrame, date: str) -> DataFrame:

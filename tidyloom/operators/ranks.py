@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidyloom.operators.hot import find_hot_groups, has_large_group, renamed_keys, same_keys, split_hot
 from tidyloom.operators.ordered import ordered_columns
+from tidyloom.operators.ranges import POINT, Order, Ranges, down, renamed_keys, same_keys
 
 
 def _direction(column: str, descending: bool) -> Column:
@@ -19,38 +19,36 @@ def _direction(column: str, descending: bool) -> Column:
 def ranked(df: DataFrame, keys: Sequence[str], value: str, name: str = "rank", *, ties: str = "min", descending: bool = False) -> DataFrame:
     """Rank a value inside its group; ties take the lowest (``min``) or highest (``max``) rank.
 
-    A null value gets a null rank. Hot groups are ranked over their distinct
-    values: rows are counted per value on the map side, the counts are summed
-    up in order, and the rank of each value is joined back.
+    A null value gets a null rank. A rank is the number of rows before the row's
+    range and its rank inside it. Borders are drawn from the counted values, so
+    a frequent value is a border; the rows that have it, and rows without a
+    value, need no order and stay spread over tasks.
     """
     if ties not in ("min", "max"):
         raise ValueError("ties must be 'min' or 'max'; use ordinal_rank for a rank without ties")
-    hot = find_hot_groups(df, keys)
-    if hot is None:
-        return _rank_in_group(df, keys, value, name, ties, descending)
-    cold_rows, hot_rows = split_hot(df, keys, hot)
-    by_value = _rank_by_value(hot_rows, keys, value, name, ties, descending)
-    if cold_rows is None:
-        return by_value
-    return _rank_in_group(cold_rows, keys, value, name, ties, descending).unionByName(by_value)
-
-
-def _rank_in_group(df, keys, value, name, ties, descending) -> DataFrame:
-    window = Window.partitionBy(*keys).orderBy(_direction(value, descending))
+    column = F.col(f"`{value}`")
+    known = df.where(column.isNotNull()).select(*[F.col(f"`{key}`") for key in dict.fromkeys([*keys, value])])
+    counts = known.groupBy(*known.columns).agg(F.count(F.lit(1)).alias("_same"))
+    ranges = Ranges(counts, keys, [down(column) if descending else column], F.col("_same"))
+    # Even: between two borders; odd: at a border; -1: no value.
+    step = F.when(column.isNull(), -1).when(ranges.at_border(), 2 * F.col("_range") - 1).otherwise(2 * F.col("_range"))
+    rows = ranges.place(df).withColumn("_step", step).drop("_range", *POINT)
+    rows = rows.withColumn("_spread", F.when(F.abs(F.col("_step")) % 2 == 1, F.spark_partition_id()).otherwise(0))
+    window = Window.partitionBy(*[F.col(f"`{key}`") for key in keys], "_step", "_spread").orderBy(_direction(value, descending))
     # The default frame of an ordered window takes all ties of a row with it.
-    rank = F.rank().over(window) if ties == "min" else F.count(value).over(window)
-    return df.withColumn(name, F.when(F.col(value).isNotNull(), rank.cast("long")))
-
-
-def _rank_by_value(df, keys, value, name, ties, descending) -> DataFrame:
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_same"))
-    running = ordered_columns(counts, keys, [_direction(value, descending)], running_sum={"_upto": F.col("_same")})
-    rank = F.col("_upto") if ties == "max" else F.col("_upto") - F.col("_same") + 1
-    ranks = running.select(*renamed_keys([*keys, value]), rank.alias(name))
-    return df.join(ranks, same_keys([*keys, value]), "left").drop(*[f"_k{i}" for i in range(len(keys) + 1)])
-
-
-def ordinal_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "rank") -> DataFrame:
+    rows = rows.withColumn("_local", F.rank().over(window) if ties == "min" else F.count(column).over(window))
+    crossing = ranges.crossing(ranges.place(counts)).withColumn("_step", step)
+    steps = crossing.groupBy(*renamed_keys(keys), F.col("_step").alias("_c")).agg(F.sum("_same").alias("_here"))
+    before = Window.partitionBy(*[f"_k{i}" for i in range(len(keys))]).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+    carry = steps.withColumn("_before", F.coalesce(F.sum("_here").over(before), F.lit(0)))
+    joined = ranges.join_carry(rows, carry, "_step")
+    tied = F.lit(1) if ties == "min" else F.col("_here")
+    rank = F.coalesce("_before", F.lit(0)) + F.when(F.col("_step") % 2 == 1, tied).otherwise(F.col("_local"))
+    ranked_rows = joined.withColumn(name, F.when(column.isNotNull(), rank.cast("long")))
+    return ranked_rows.drop("_step", "_spread", "_local", "_here", "_before")
+
+
+def ordinal_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Order], name: str = "rank") -> DataFrame:
     """Positions 1, 2, 3 ... without ties; ``order`` must be a full order."""
     return ordered_columns(df, keys, order, row_number=name)
 
@@ -79,32 +77,33 @@ def first_of_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     return df.withColumn("_position", F.row_number().over(window)).where(F.col("_position") <= n).drop("_position")
 
 
-def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float], name: str = "quantiles") -> DataFrame:
+def group_quantiles(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    probabilities: Sequence[float],
+    name: str = "quantiles",
+    stats: Mapping[str, Callable[[Column, Column], Column]] | None = None,
+) -> DataFrame:
     """Exact quantiles, linear between neighbours, as one array for each group.
 
-    ``percentile`` keeps the distinct values of a group in memory. With groups
-    over ``rowsPerTask`` values are counted instead, the counts summed up in
-    order, and the values at the wanted positions picked by conditional
-    minimum; both weigh the two neighbours in the same way.
+    Values are counted, the counts summed up in order by ranges, and the values
+    at the wanted positions picked by conditional minimum: no task holds a
+    group's values. ``stats`` adds aggregates, each made from the value and how
+    often it occurs in the group, so that one read of the source serves all; with
+    them a group without a value stays, with nulls.
     """
-    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_x"))
-    find = _percentiles_by_position if has_large_group(rows, keys) else _percentiles
-    return find(rows, keys, probabilities, name)
-
-
-def _percentiles(rows, keys, probabilities, name) -> DataFrame:
-    return rows.groupBy(*keys).agg(F.percentile("_x", F.array(*[F.lit(float(p)) for p in probabilities])).alias(name))
-
-
-def _percentiles_by_position(rows, keys, probabilities, name) -> DataFrame:
-    counts = rows.groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_same"))
-    running = ordered_columns(counts, keys, [F.col("_x").asc()], running_sum={"_upto": F.col("_same")})
-    sizes = rows.groupBy(*renamed_keys(keys)).agg(F.count(F.lit(1)).alias("_size"))
+    rows = df.select(*keys, F.col(value).cast("double").alias("_x"))
+    counts = (rows if stats else rows.where(F.col("_x").isNotNull())).groupBy(*keys, "_x").agg(F.count("_x").alias("_same"))
+    # The running count of a value's last row, and the size of its group.
+    # The weight is 1, yet made from the count: so the borders come from the same shuffle as the rest.
+    running = ordered_columns(counts, keys, [F.col("_x")], running_sum={"_upto": F.col("_same")}, weight=F.when(F.col("_same") >= 0, 1))
+    sizes = counts.groupBy(*renamed_keys(keys)).agg(F.sum("_same").alias("_size"))
     if keys:
         sized = running.join(sizes, same_keys(keys))
     else:
         sized = running.withColumn("_size", sizes.select("_size").scalar())
-    picks = []
+    picks = [make(F.col("_x"), F.col("_same")).alias(stat) for stat, make in (stats or {}).items()]
     for i, p in enumerate(probabilities):
         position = F.lit(float(p)) * (F.col("_size") - 1)
         picks += [
@@ -113,10 +112,10 @@ def _percentiles_by_position(rows, keys, probabilities, name) -> DataFrame:
             F.max(F.ceil(position) - position).alias(f"_u{i}"),
             F.max(position - F.floor(position)).alias(f"_w{i}"),
         ]
-    # The arithmetic of ``percentile``, so that a group's size never shows in the result.
+    # The arithmetic of ``percentile``.
     lo, hi = (lambda i: F.col(f"_lo{i}")), (lambda i: F.col(f"_hi{i}"))
     between = [F.when(lo(i) == hi(i), lo(i)).otherwise(F.col(f"_u{i}") * lo(i) + F.col(f"_w{i}") * hi(i)) for i in range(len(probabilities))]
-    return sized.groupBy(*keys).agg(*picks).select(*keys, F.array(*between).alias(name))
+    return sized.groupBy(*keys).agg(*picks).select(*keys, F.array(*between).alias(name), *(stats or {}))
 
 
 def quantile_bins(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidyloom.functions import dates, predicates, text
 from tidyloom.operators import groups, joins, ordered, ranks, reshape, scaffold
+from tidyloom.operators.ranges import down
 from tidyloom.settings import stored
 
 # Column headers of the inputs and their clean names.
@@ -139,7 +140,7 @@ def statement(accounts: DataFrame, payments: DataFrame, paths: DataFrame, month:
         "account_number", F.col("balance_taken_on").alias("transaction_created_on"), F.col("balance").alias("transaction_value")
     )
     lines = opening.unionByName(flows, allowMissingColumns=True)
-    order = [F.col("transaction_created_on").asc(), F.col("transaction_value").desc(), F.col("transaction_id").asc_nulls_first()]
+    order = [F.col("transaction_created_on"), down("transaction_value"), F.col("transaction_id")]
     balanced = ordered.ordered_columns(
         lines, ["account_number"], order, running_sum={"running_balance": F.col("transaction_value")}, row_number="line"
     ).drop("transaction_id")
@@ -159,7 +160,7 @@ def daily_balance(lines: DataFrame, account: str, day: str, movement: str, order
     observed = stored(lines.groupBy(account, day).agg(groups.zero_sum(movement).alias("total_movement"), last))
     grid = scaffold.key_grid(observed.select(account).distinct(), scaffold.dense_dates(observed, day, day))
     filled = scaffold.fill_grid(grid, observed, [account, day], {"total_movement": 0})
-    return ordered.forward_fill(filled, [account], [F.col(day).asc()], "daily_end_balance")
+    return ordered.forward_fill(filled, [account], [F.col(day)], "daily_end_balance")
 
 
 def account_summary(lines: DataFrame, accounts: DataFrame, on: datetime.date) -> DataFrame:
@@ -188,7 +189,7 @@ def clean_holidays(raw: DataFrame, position: str = "position") -> DataFrame:
 
     ``position`` is the row's place in the sheet, which a frame does not keep by itself.
     """
-    filled = ordered.forward_fill(raw, [], [F.col(position).asc()], "Year").dropna(subset=["Year", "Date", "Bank holiday"])
+    filled = ordered.forward_fill(raw, [], [F.col(position)], "Year").dropna(subset=["Year", "Date", "Bank holiday"])
     written = F.concat("Date", F.lit("-"), F.col("Year").cast("int").cast("string"))
     return filled.select(dates.parse_date(written, "day_long_month").alias("bank_holiday_date"), F.col("Bank holiday").alias("bank_holiday_name"))
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from tidyloom.functions import dates, predicates
 from tidyloom.operators import groups, joins, ordered, ranks, reshape
-from tidyloom.operators.hot import renamed_keys, same_keys
 from tidyloom.sources import readers, sinks
 
 # Layout of the detail text, headers, and the classes that were mixed up.
@@ -43,7 +42,7 @@ def split_details(raw: DataFrame) -> DataFrame:
 def numbered(flights: DataFrame) -> DataFrame:
     """A running id over the whole table, in order of date, flight and the other columns."""
     order = ["flew_on", "flight_number", *[c for c in flights.columns if c not in ("flew_on", "flight_number")]]
-    return ordered.row_index(flights, [F.col(f"`{c}`").asc() for c in order], "flight_detail_id")
+    return ordered.row_index(flights, [F.col(f"`{c}`") for c in order], "flight_detail_id")
 
 
 def correct_classes(flights: DataFrame) -> DataFrame:
@@ -54,13 +53,13 @@ def price_statistics(flights: DataFrame) -> DataFrame:
     """Lowest, median, mean and highest price by class, flow card and quarter."""
     keys = ["seat_class", "has_flow_card", "calendar_quarter"]
     priced = flights.select("seat_class", "has_flow_card", F.quarter("flew_on").alias("calendar_quarter"), "price")
-    medians = ranks.group_quantiles(priced, keys, "price", [0.5]).select(*renamed_keys(keys), F.col("quantiles")[0].alias("median_price"))
-    others = priced.groupBy(*keys).agg(
-        F.min("price").alias("minimum_price"), F.avg("price").alias("mean_price"), F.max("price").alias("maximum_price")
-    )
-    return others.join(medians, same_keys(keys), "left").select(
-        *keys, "minimum_price", "median_price", "mean_price", "maximum_price"
-    )
+    stats = {
+        "minimum_price": lambda price, times: F.min(price),
+        "mean_price": lambda price, times: F.try_divide(F.sum(price * times), F.sum(times)),
+        "maximum_price": lambda price, times: F.max(price),
+    }
+    found = ranks.group_quantiles(priced, keys, "price", [0.5], stats=stats)
+    return found.select(*keys, "minimum_price", F.col("quantiles")[0].alias("median_price"), "mean_price", "maximum_price")
 
 
 def clean_targets(sheets: Sequence[DataFrame], year: int) -> DataFrame:

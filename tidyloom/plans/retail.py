@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidyloom.functions import amounts, dates, predicates, text
 from tidyloom.operators import groups, ordered, ranks, reshape, scaffold
+from tidyloom.operators.ranges import down
 from tidyloom.settings import stored
 from tidyloom.sources import readers, sinks
 
@@ -47,7 +48,7 @@ def customers_up_to_share(sales: DataFrame, keys: Sequence[str], share: float =
     ``sales`` make the sums, and so the cut, exact.
     """
     spend = sales.groupBy(*keys).agg(F.sum("sales").alias("customer_sales"))
-    order = [F.col("customer_sales").desc(), *[F.col(key).asc() for key in keys]]
+    order = [down("customer_sales"), *[F.col(key) for key in keys]]
     running = ordered.running_sum(spend, [], order, F.col("customer_sales"), "_running")
     # The same aggregate as above: Spark runs its shuffle once for both.
     total = spend.agg(F.sum("customer_sales").alias("total")).select("total").scalar()
@@ -100,7 +101,7 @@ def rolling_profit(sales: DataFrame, forecast_from: datetime.date, size: int = 3
     shops = scaffold.key_grid(facts.select("store").distinct(), facts.select("bike_type").distinct())
     defaults = {"monthly_sales": 0, "monthly_profit": 0}
     grid = scaffold.fill_grid(scaffold.key_grid(shops, months), facts.drop("_first"), keys, defaults)
-    return ordered.rolling_mean(grid, keys[:2], [F.col("month").asc()], F.col("monthly_profit"), "rolling_monthly_profit", size)
+    return ordered.rolling_mean(grid, keys[:2], [F.col("month")], F.col("monthly_profit"), "rolling_monthly_profit", size)
 
 
 def clean_bike_sales(sheets: Mapping[str, DataFrame]) -> DataFrame:
@@ -122,7 +123,7 @@ def fiscal_quarter_change(sales: DataFrame) -> DataFrame:
     """Volume of each shop and fiscal quarter, and its change in percent to the quarter before."""
     quarter = dates.fiscal_quarter("ordered_on").alias("fiscal_quarter")
     volumes = groups.total_by(sales, "store_location", quarter, value="volume_sold", name="volume_sold")
-    return ordered.percent_change(volumes, ["store_location"], [F.col("fiscal_quarter").asc()], F.col("volume_sold"), "pct_diff")
+    return ordered.percent_change(volumes, ["store_location"], [F.col("fiscal_quarter")], F.col("volume_sold"), "pct_diff")
 
 
 def project_profit(entries: DataFrame, project: str, kind: str, value: str) -> DataFrame:
@@ -135,7 +136,7 @@ def top_share_by_moving_average(
     terms: DataFrame, keys: Sequence[str], term: str, value: str, *, size: int = 3, share: float = 0.02
 ) -> DataFrame:
     """Rows whose moving average is within the top share of all moving averages."""
-    moving = ordered.rolling_mean(terms, keys, [F.col(term).asc()], F.col(value), "moving_average", size)
+    moving = ordered.rolling_mean(terms, keys, [F.col(term)], F.col(value), "moving_average", size)
     cut = ranks.group_quantiles(moving, [], "moving_average", [1 - share]).select(F.col("quantiles")[0].alias("cut")).select("cut").scalar()
     return moving.where(F.col("moving_average") >= cut)
 

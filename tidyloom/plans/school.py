@@ -327,7 +327,7 @@ def school_costs(sheets: Sequence[DataFrame], costs: Sequence[str] = ("Electrici
     )
     cells = [F.max(F.when(F.col("name") == c, F.col("value"))).alias("_".join(c.lower().split())) for c in costs]
     monthly = rows.groupBy("school_name", "date").agg(groups.zero_sum("value").alias("total_monthly_cost"), *cells)
-    indexed = ordered.row_index(monthly, [F.col("school_name").asc(), F.col("date").asc()], "sort_order")
+    indexed = ordered.row_index(monthly, [F.col("school_name"), F.col("date")], "sort_order")
     return indexed.select("sort_order", *monthly.columns)
 
 

@@ -241,7 +241,7 @@ def q_performance(spark, folder):
 def q_mean_gap_weekday(spark, folder):
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     events = table(spark, folder, "events").select("user_id", "event_id", "ts", micros.alias("at"))
-    spaced = ordered.difference_to_previous(events, ["user_id"], [F.col("ts").asc(), F.col("event_id").asc()], F.col("at"), "gap")
+    spaced = ordered.difference_to_previous(events, ["user_id"], [F.col("ts"), F.col("event_id")], F.col("at"), "gap")
     per_day = spaced.groupBy(F.to_date("ts").alias("day")).agg(F.sum("gap").alias("gap"), F.count("gap").alias("gaps"))
     means = per_day.groupBy(dates.weekday_name("day").alias("weekday")).agg((F.sum("gap") / F.sum("gaps") / 1_000_000).alias("mean_gap_seconds"))
     return ranks.ranked(means, [], "mean_gap_seconds", descending=True).withColumn("mean_gap_seconds", F.round("mean_gap_seconds", 3))

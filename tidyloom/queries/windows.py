@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidyloom.functions import amounts, dates, predicates
 from tidyloom.operators import groups, ordered, ranks, scaffold
+from tidyloom.operators.ranges import down
 from tidyloom.plans import bank, retail, school
 from tidyloom.queries.registry import moment, query, table
 
@@ -53,7 +54,7 @@ def q_rank_max(spark, folder):
 """)
 def q_ordinal(spark, folder):
     customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal", "c_name")
-    order = [F.col("c_acctbal").asc(), F.col("c_name").desc(), F.col("c_custkey").asc()]
+    order = [F.col("c_acctbal"), down("c_name"), F.col("c_custkey")]
     return ranks.ordinal_rank(customer, ["c_nationkey", "c_mktsegment"], order).drop("c_acctbal", "c_name")
 
 
@@ -84,7 +85,7 @@ def q_global_rank(spark, folder):
 """)
 def q_sort_index(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("ordered_on"), "o_totalprice")
-    return ordered.row_index(orders, [F.col("ordered_on").asc(), F.col("o_totalprice").desc(), F.col("o_orderkey").asc()], "sort_order")
+    return ordered.row_index(orders, [F.col("ordered_on"), down("o_totalprice"), F.col("o_orderkey")], "sort_order")
 
 
 @query("""
@@ -97,7 +98,7 @@ def q_running_balance(spark, folder):
     orders = table(spark, folder, "orders").select(
         "o_custkey", "o_orderkey", F.to_date("o_orderdate").alias("created_on"), amounts.cents("o_totalprice").alias("cents")
     )
-    order = [F.col("created_on").asc(), F.col("cents").desc(), F.col("o_orderkey").asc()]
+    order = [F.col("created_on"), down("cents"), F.col("o_orderkey")]
     return ordered.running_sum(orders, ["o_custkey"], order, F.col("cents"), "running_balance").where(F.month("created_on") == 2)
 
 
@@ -123,7 +124,7 @@ def q_ledger(spark, folder):
     opening = table(spark, folder, "customer").select(
         F.col("c_custkey").alias("account_number"), F.lit(datetime.date(1994, 12, 31)).alias("created_on"), amounts.cents("c_acctbal").alias("movement")
     )
-    order = [F.col("created_on").asc(), F.col("movement").desc(), F.col("transaction_id").asc_nulls_first()]
+    order = [F.col("created_on"), down("movement"), F.col("transaction_id")]
     return scaffold.ledger(opening, flows, "account_number", order, "movement")
 
 
@@ -138,7 +139,7 @@ def q_day_end_balance(spark, folder):
 
 def _event_statement(spark, folder):
     events = table(spark, folder, "events").select("user_id", "event_id", "ts", F.to_date("ts").alias("day"), amounts.cents("value").alias("movement"))
-    return ordered.running_sum(events, ["user_id"], [F.col("ts").asc(), F.col("event_id").asc()], F.col("movement"), "running_balance")
+    return ordered.running_sum(events, ["user_id"], [F.col("ts"), F.col("event_id")], F.col("movement"), "running_balance")
 
 
 @query("""
@@ -169,7 +170,7 @@ def q_after_first_day(spark, folder):
 """)
 def q_ffill(spark, folder):
     gaps = table(spark, folder, "events").select("event_id", "user_id", "ts", F.when(F.col("event_type") != "error", F.col("value")).alias("value"))
-    return ordered.forward_fill(gaps, ["user_id"], [F.col("ts").asc(), F.col("event_id").asc()], "value").drop("ts")
+    return ordered.forward_fill(gaps, ["user_id"], [F.col("ts"), F.col("event_id")], "value").drop("ts")
 
 
 @query("""
@@ -192,7 +193,7 @@ def q_running_diff(spark, folder):
     monthly = groups.count_by(
         table(spark, folder, "orders"), F.col("o_custkey").alias("customer"), dates.month_start("o_orderdate").alias("order_date"), name="quantity"
     )
-    return ordered.difference_to_previous(monthly, ["customer"], [F.col("order_date").asc()], F.col("quantity"), "running_diff")
+    return ordered.difference_to_previous(monthly, ["customer"], [F.col("order_date")], F.col("quantity"), "running_diff")
 
 
 @query("""

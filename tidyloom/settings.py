@@ -1,8 +1,8 @@
-"""Session set-up, the shared folder, and the size from which a group is split.
+"""Session set-up, the shared folder, and the number of borders that split an order.
 
-``spark.tidyloom.rowsPerTask``, a Spark SQL setting, is the number of rows from
-which a group is spread over several tasks instead of being sorted in one. Both
-plans give the same rows of the same types.
+``spark.tidyloom.bordersPerPartition``, a Spark SQL setting, is the number of
+borders of an order for each shuffle partition. Rows of a group between two
+borders are sorted in one task.
 """
 
 from __future__ import annotations
@@ -12,8 +12,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-ROWS_PER_TASK = "spark.tidyloom.rowsPerTask"
-DEFAULTS = {ROWS_PER_TASK: 2_000_000}
+BORDERS_PER_PARTITION = "spark.tidyloom.bordersPerPartition"
+DEFAULTS = {BORDERS_PER_PARTITION: 16}
 
 
 def build_session(app_name: str = "tidyloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -35,8 +35,11 @@ def build_session(app_name: str = "tidyloom", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
-def limit_of(spark: SparkSession, key: str) -> int:
-    return int(spark.conf.get(key, str(DEFAULTS[key])))
+def borders_of(spark: SparkSession) -> int:
+    """How many borders split the rows of one order; at most 2 ** 16, since each task holds them."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    each = int(spark.conf.get(BORDERS_PER_PARTITION, str(DEFAULTS[BORDERS_PER_PARTITION])))
+    return min(max(partitions * each, 1), 1 << 16)
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -34,7 +34,7 @@ def json_bundle(tables: Mapping[str, DataFrame], label: str = "table") -> DataFr
     pieces = None
     for name, table in tables.items():
         columns = [F.col(f"`{c}`") for c in table.columns]
-        placed = row_index(table, [c.asc() for c in columns], "_position")
+        placed = row_index(table, columns, "_position")
         piece = placed.select(F.lit(name).alias(label), F.col("_position").alias("position"), F.to_json(F.struct(*columns)).alias("json"))
         pieces = piece if pieces is None else pieces.unionByName(piece)
     return pieces
@@ -43,7 +43,7 @@ def json_bundle(tables: Mapping[str, DataFrame], label: str = "table") -> DataFr
 def json_by_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """For each key its rows as JSON objects, with their position in the order of ``order`` and the other columns."""
     columns = [*order, *(c for c in df.columns if c not in order and c != key)]
-    placed = ordered_columns(df, [key], [F.col(f"`{c}`").asc() for c in columns], row_number="_position")
+    placed = ordered_columns(df, [key], [F.col(f"`{c}`") for c in columns], row_number="_position")
     return placed.select(key, F.col("_position").alias("position"), F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns])).alias("json"))
 
 
