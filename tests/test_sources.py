@@ -116,3 +116,60 @@ def test_file_code(spark):
     frame = spark.createDataFrame([("en_GBR_AllProducts.csv",)], "f string")
     assert rows(frame.select(readers.file_code(F.col("f"), 3, 3))) == [("GBR",)]
     assert rows(frame.select(text.extract("f", r"(\d+)"))) == [(None,)]
+
+
+def test_inferred_types(spark, tmp_path):
+    lines = ["whole,part,day,flag,text,none,mixed", "1,1,2024-01-31,true,a,,1", "-20,2.5,2023-12-01,FALSE,2,,x", ",3e2,,,,,", "9007199254740993,4,2024-02-29,true,zz,,7"]
+    (tmp_path / "a.csv").write_text("\n".join(lines))
+    schema = readers.inferred_schema(spark, str(tmp_path))
+    assert [(f.name, f.dataType.simpleString()) for f in schema] == [
+        ("whole", "bigint"), ("part", "double"), ("day", "date"), ("flag", "boolean"), ("text", "string"), ("none", "string"), ("mixed", "string"),
+    ]
+    found = readers.read_csv(spark, str(tmp_path)).where("whole > 20").first()
+    assert (found["whole"], found["part"], found["flag"]) == (9007199254740993, 4.0, True)
+
+
+def test_a_late_value_widens_or_raises(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("n\n" + "\n".join(map(str, range(2000))) + "\nlate\n")
+    assert readers.read_csv(spark, str(tmp_path)).schema["n"].dataType.simpleString() == "string"
+    narrow = readers.inferred_schema(spark, str(tmp_path), share=0.01)
+    assert narrow["n"].dataType.simpleString() == "bigint"  # the late value was not drawn
+    with pytest.raises(Exception, match="late"):
+        readers.read_csv(spark, str(tmp_path), narrow).collect()
+
+
+def test_differently_headed_files(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('Store,"Sales"\nx,1\n"y, z",2\n')
+    (tmp_path / "b.csv").write_text("*Sales,Unknown,*Store\n3,q,w\n")
+    (tmp_path / "c.csv").write_text("Store\nv\n")
+    names = {"Store": "store", "*Store": "store", "Sales": "sales", "*Sales": "sales"}
+    found = readers.read_headed(spark, str(tmp_path), names, ["store", "sales", "model"])
+    assert rows(found, "store", "sales", "model") == [("v", None, None), ("w", "3", None), ("x", "1", None), ("y, z", "2", None)]
+    assert {r["file_path"][-5:] for r in found.collect()} == {"a.csv", "b.csv", "c.csv"}
+    (tmp_path / "d.csv").write_text("Store,*Store\n1,2\n")
+    with pytest.raises(Exception, match="two columns of one name"):
+        readers.read_headed(spark, str(tmp_path), names, ["store"]).collect()
+
+
+def test_one_scan_of_differently_headed_rows(spark):
+    from tidyloom.operators import reshape
+
+    frame = spark.createDataFrame([("Jan", ["1", "a"]), ("Feb", ["b", "2"]), ("Mar", ["3"])], "sheet string, cells array<string>")
+    headers = {"Jan": ["Sales", "Store"], "Feb": ["*Store", "*Sales"], "Mar": ["Sales"]}
+    names = {"Store": "store", "*Store": "store", "Sales": "sales", "*Sales": "sales"}
+    found = reshape.harmonize_rows(frame, "sheet", "cells", headers, names, ["store", "sales", "model"])
+    assert rows(found, "sheet", "store", "sales", "model") == [("Feb", "b", "2", None), ("Jan", "a", "1", None), ("Mar", None, "3", None)]
+    with pytest.raises(ValueError, match="Jan"):
+        reshape.harmonize_rows(frame, "sheet", "cells", {"Jan": ["Store", "*Store"]}, names, ["store"])
+
+
+def test_encoding_by_file(spark, tmp_path):
+    (tmp_path / "a.txt").write_bytes("né\nplain\n".encode())
+    (tmp_path / "b.txt").write_bytes("né, ü\nplain\n".encode("latin-1"))
+    found = readers.read_lines(spark, str(tmp_path))
+    assert rows(found, "encoding", "line", "n_replaced") == [("ISO-8859-1", "né, ü", 2), ("ISO-8859-1", "plain", 0), ("UTF-8", "né", 0), ("UTF-8", "plain", 0)]
+
+
+def test_labelled_rows(spark):
+    frame = spark.createDataFrame([("F", 1), ("O", 2), ("X", 3)], "code string, n int")
+    assert rows(readers.labelled_rows(frame, "sheet", {"Done": "F", "Open": "O"}, "code"), "sheet", "n") == [("Done", 1), ("Open", 2)]

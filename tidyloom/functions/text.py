@@ -18,10 +18,17 @@ def extract(column: Column | str, pattern: str, group: int = 1) -> Column:
 
 
 def group_pieces(column: Column | str, pattern: str, groups: int) -> Column:
-    """The groups of the first match as an array; null without a match."""
-    column = as_column(column)
-    found = F.array(*[F.regexp_extract(column, pattern, i) for i in range(1, groups + 1)])
-    return F.when(column.rlike(pattern), found)
+    """The groups of the first match as an array; null without a match.
+
+    One run of the pattern writes all groups with a mark before each, and the
+    marks part them. Only a text that holds the mark itself is read group by group.
+    """
+    column, mark = as_column(column), "\x01"
+    written = F.regexp_replace(column, f"(?s)^.*?(?-s:{pattern}).*$", "".join(f"{mark}${i}" for i in range(1, groups + 1)))
+    pieces = F.split(written, mark, -1)
+    one_by_one = F.array(*[F.regexp_extract(column, pattern, i) for i in range(1, groups + 1)])
+    found = F.when(F.size(pieces) == groups + 1, F.slice(pieces, 2, groups))
+    return F.when(column.contains(mark), F.when(column.rlike(pattern), one_by_one)).otherwise(found)
 
 
 def extract_all(column: Column | str, pattern: str) -> Column:

@@ -98,6 +98,29 @@ def harmonize(frames: Sequence[DataFrame], name_map: Mapping[str, str], columns:
     return stacked.select(*columns)
 
 
+def harmonize_rows(
+    df: DataFrame, label: str, cells: str, headers: Mapping[Any, Sequence[str]], name_map: Mapping[str, str], columns: Sequence[str]
+) -> DataFrame:
+    """Rows of differently headed parts under common names, in one scan.
+
+    ``cells`` is an array of a row's values, ``headers`` gives the spelled names of
+    each label's columns. Where ``harmonize`` projects each part and stacks them,
+    here the label picks the cell. The other columns stay.
+    """
+    places: dict[str, list[Column]] = {name: [] for name in columns}
+    for part, spelled in headers.items():
+        known = [name_map.get(name) for name in spelled]
+        for name in columns:
+            if known.count(name) > 1:
+                raise ValueError(f"two columns of {part!r} map to {name!r}")
+            if name in known:
+                places[name] += [F.lit(part), F.lit(known.index(name))]
+    kept = [F.col(f"`{c}`") for c in df.columns if c != cells]
+    pick = lambda name: F.get(cells, F.try_element_at(F.create_map(*places[name]), F.col(label)))
+    null = F.lit(None).cast(df.schema[cells].dataType.elementType)
+    return df.select(*[(pick(name) if places[name] else null).alias(name) for name in columns], *kept)
+
+
 def harmonize_by_rule(df: DataFrame, ids: Mapping[str, str], rule: Callable[[str], str | None], names: Sequence[str]) -> DataFrame:
     """Name each measure by a rule on its old name. ``ids`` maps the id columns to their new names.
 

@@ -31,31 +31,28 @@ def dense_dates(df: DataFrame, date: str, name: str, by: Sequence[str] = ()) ->
     return edges.where(F.col("_first").isNotNull()).select(*by, F.explode(F.sequence("_first", "_last")).alias(name))
 
 
-# Rows of the grid's second side that travel together as one array, and the
-# number of such blocks up to which they are sent to every task.
+# Rows of the grid's second side that travel together as one array.
 _BLOCK = 1_000
-_BROADCAST_BLOCKS = 20
 
 
 def key_grid(keys: DataFrame, values: DataFrame) -> DataFrame:
     """Every key with every value (agents by months, accounts by days).
 
-    The values are counted and packed in blocks of bounded size, the keys are
-    copied once for each block, and the two meet by block number: an equi-join.
-    Up to ``_BROADCAST_BLOCKS`` blocks are broadcast (usually there is one).
-    More are shuffled, with the keys of each block spread over many tasks.
+    The values are packed in blocks of bounded size, the keys are copied once for
+    each block, and the two meet by block number: an equi-join. The number of
+    blocks is a value that Spark finds while the query runs. Few blocks are repeated
+    for parts of the keys, so that the join is spread where Spark does not
+    broadcast it.
     """
-    blocks = max(1, -(-values.count() // _BLOCK))
-    packed = values.withColumn("_block", F.pmod(F.xxhash64(*values.columns), F.lit(blocks)))
-    packed = packed.groupBy("_block").agg(F.collect_list(F.struct(*values.columns)).alias("_values"))
-    copies = keys.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    if blocks <= _BROADCAST_BLOCKS:
-        joined = copies.join(F.broadcast(packed), "_block")
-    else:
-        spread = max(1, int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4 // blocks)
-        copies = copies.withColumn("_part", F.pmod(F.xxhash64(*keys.columns), F.lit(spread)))
-        packed = packed.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long"))))
-        joined = copies.join(packed, ["_block", "_part"])
+    blocks = values.agg(F.greatest(F.ceil(F.count(F.lit(1)) / _BLOCK), F.lit(1)).cast("long").alias("_n")).select("_n").scalar()
+    wanted = 4 * int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = lambda df: df.withColumns({"_blocks": blocks, "_parts": F.greatest(F.floor(F.lit(wanted) / blocks), F.lit(1))})
+    numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    packed = counted(values).withColumn("_block", F.pmod(F.xxhash64(*values.columns), "_blocks"))
+    packed = packed.groupBy("_block", "_parts").agg(F.collect_list(F.struct(*values.columns)).alias("_values"))
+    packed = packed.select("_block", "_values", numbers("_parts").alias("_part"))
+    copies = counted(keys).withColumn("_part", F.pmod(F.xxhash64(*keys.columns), "_parts")).withColumn("_block", numbers("_blocks"))
+    joined = copies.join(packed, ["_block", "_part"])
     return joined.withColumn("_value", F.explode("_values")).select(
         *keys.columns, *[F.col(f"_value.{c}").alias(c) for c in values.columns]
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +39,15 @@ def clean_metrics(sheets: Mapping[str, DataFrame], year: int) -> DataFrame:
     return readers.stack(parts, fill_missing=True)
 
 
+def clean_metric_rows(rows: DataFrame, headers: Mapping[str, Sequence[str]], year: int) -> DataFrame:
+    """The same from one frame, ``sheet``, ``agent_id`` and ``cells``, with the header of each sheet."""
+    names = {old: new for header in headers.values() for old in header if (new := metric_name(old))}
+    common = reshape.harmonize_rows(rows, "sheet", "cells", headers, names, METRICS)
+    label = F.concat(F.col("sheet"), F.lit(f"-{year}"))
+    number = F.month(dates.parse_date(F.concat(F.lit("01-"), label), "day_short_month"))
+    return common.withColumns({"collected_in": label, "month_number": number}).drop("sheet")
+
+
 def clean_agents(raw: DataFrame) -> DataFrame:
     """One row for each agent and leader; leaders are columns whose names hold a number."""
     long = reshape.melt(raw, ["id", "first_name", "last_name", "Location ID"], values_to="leader_id")

@@ -62,9 +62,9 @@ def price_statistics(flights: DataFrame) -> DataFrame:
     return found.select(*keys, "minimum_price", F.col("quantiles")[0].alias("median_price"), "mean_price", "maximum_price")
 
 
-def clean_targets(sheets: Sequence[DataFrame], year: int) -> DataFrame:
-    """Monthly targets of all sheets with the month as ``yyyy-MM`` and the class by name."""
-    starts_on = F.make_date(F.lit(year), F.col("Month").cast("int"), F.lit(1))
+def clean_targets(sheets: Sequence[DataFrame], year: int | str) -> DataFrame:
+    """Monthly targets of all sheets with the month as ``yyyy-MM`` and the class by name; ``year`` is a number, or a column of the sheets."""
+    starts_on = F.make_date(F.lit(year) if isinstance(year, int) else F.col(year).cast("int"), F.col("Month").cast("int"), F.lit(1))
     return readers.stack(sheets).select(
         predicates.replace_values("Class", CLASS_CODES).alias("seat_class"),
         dates.month_year(starts_on, "yyyy-MM").alias("target_month"),

@@ -104,19 +104,24 @@ def rolling_profit(sales: DataFrame, forecast_from: datetime.date, size: int = 3
     return ordered.rolling_mean(grid, keys[:2], [F.col("month")], F.col("monthly_profit"), "rolling_monthly_profit", size)
 
 
+_BIKE_NAMES = ["bike_type", "bike_model", "ordered_on", "volume_sold", "store_location"]
+
+
 def clean_bike_sales(sheets: Mapping[str, DataFrame]) -> DataFrame:
     """Sheets by month name under common column names; the date text gives day and year, the sheet the month."""
-    parts = []
-    for month, sheet in sheets.items():
-        columns = ["bike_type", "bike_model", "ordered_on", "volume_sold", "store_location"]
-        common = reshape.harmonize([sheet], BIKE_COLUMNS, columns)
-        day, year = text.extract("ordered_on", r"(\d+), (\d+)$", 1), text.extract("ordered_on", r"(\d+), (\d+)$", 2)
-        parts.append(
-            common.withColumns(
-                {"ordered_on": dates.date_from_month_text(day, F.lit(month), year), "volume_sold": F.col("volume_sold").cast("long")}
-            )
-        )
-    return readers.stack(parts)
+    parts = [reshape.harmonize([sheet], BIKE_COLUMNS, _BIKE_NAMES).withColumn("sheet", F.lit(month)) for month, sheet in sheets.items()]
+    return _dated_bikes(readers.stack(parts))
+
+
+def clean_bike_rows(rows: DataFrame, headers: Mapping[str, Sequence[str]]) -> DataFrame:
+    """The same from one frame, ``sheet`` and ``cells``, with the header of each sheet."""
+    return _dated_bikes(reshape.harmonize_rows(rows, "sheet", "cells", headers, BIKE_COLUMNS, _BIKE_NAMES))
+
+
+def _dated_bikes(rows: DataFrame) -> DataFrame:
+    day, year = text.extract("ordered_on", r"(\d+), (\d+)$", 1), text.extract("ordered_on", r"(\d+), (\d+)$", 2)
+    dated = {"ordered_on": dates.date_from_month_text(day, F.col("sheet"), year), "volume_sold": F.col("volume_sold").cast("long")}
+    return rows.withColumns(dated).drop("sheet")
 
 
 def fiscal_quarter_change(sales: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidyloom.functions import amounts, predicates, text
@@ -37,14 +37,15 @@ INDICATORS = {
     "Partner share(%)-Top 5 Export Partner": "pct_share_top5_export_partners",
     "Partner share(%)-Top 5 Import Partner": "pct_share_top5_import_partners",
 }
+# Names that stand for no single country.
 NO_REPORTER = ["World", "European Union", "Occ.Pal.Terr", "Other Asia, nes"]
 NO_PARTNER = ["World", "...", "Special Category"]
 
 
-def read_trades(spark: SparkSession, pattern: str, year: int = 2023) -> DataFrame:
-    """All trade files of a path pattern in one read; the number in a file's name is its month, none is January."""
-    raw = readers.read_csv(spark, pattern, TRADE_SCHEMA, null_marker="n/a")
-    return raw.withColumn("file_date", readers.file_month(readers.file_name(), r"MOCK_DATA-(\d+)", year))
+def read_trades(spark: SparkSession, pattern: str, year: int = 2023, *, folders_hold_labels: bool = False) -> DataFrame:
+    """All trade files of a path pattern in one read; the number in a file's name (or its folder's) is its month, none is January."""
+    raw = readers.read_csv(spark, pattern, TRADE_SCHEMA, null_marker="n/a", folders_hold_labels=folders_hold_labels)
+    return raw.withColumn("file_date", readers.file_month(readers.file_path(), r"MOCK_DATA-(\d+)", year))
 
 
 def clean_trades(raw: DataFrame) -> DataFrame:
@@ -54,24 +55,29 @@ def clean_trades(raw: DataFrame) -> DataFrame:
 
 def numbered_trades(trades: DataFrame) -> DataFrame:
     """A running trade id over all files, by month and the id inside the file."""
-    order = [F.col("file_date").asc(), F.col("id").asc(), F.col("ticker").asc(), F.col("purchase_price").asc()]
+    order = [F.col("file_date"), F.col("id"), F.col("ticker"), F.col("purchase_price")]
     return ordered.row_index(trades, order, "trade_id").drop("id")
 
 
 def monthly_trades(trades: DataFrame, n: int = 5) -> DataFrame:
-    """The ``n`` lowest prices, ties kept, of each month and pair of size classes."""
+    """The ``n`` lowest prices, ties kept, of each month and pair of size classes; ids and names of people are left out."""
+    # The size classes.
     cap = predicates.below("market_cap", [(100_000_000, "Small"), (1_000_000_000, "Medium"), (100_000_000_000, "Large")], "Huge")
     price = predicates.below("purchase_price", [(25_000, "Small"), (50_000, "Medium"), (75_000, "Large")], "Very Large")
     classed = trades.withColumns({"market_cap_category": cap, "purchase_price_category": price})
     keys = ["file_date", "market_cap_category", "purchase_price_category"]
     best = ranks.best_of_group(classed, keys, "purchase_price", n)
-    return best.drop("first_name", "last_name", "trade_id", "id")
+    wanted = [*(name for name in TRADE_NAMES.values() if name in trades.columns), *keys, "rank"]
+    return best.select(*wanted)
 
 
-def read_partner_files(spark: SparkSession, pattern: str, schema: str) -> DataFrame:
-    """Country files in one read; characters 4 to 6 of a file's name are the country code."""
-    raw = readers.read_csv(spark, pattern, schema)
-    return raw.withColumn("reporting_country_code", readers.file_code(readers.file_name(), 3, 3))
+def read_partner_files(spark: SparkSession, pattern: str, schema: str, *, name: Column | None = None) -> DataFrame:
+    """Country files in one read; characters 4 to 6 of a file's name are the country code.
+
+    ``name`` is for files that Spark has written: the label in their folder's name.
+    """
+    raw = readers.read_csv(spark, pattern, schema, folders_hold_labels=name is not None)
+    return raw.withColumn("reporting_country_code", readers.file_code(readers.file_name() if name is None else name, 3, 3))
 
 
 def clean_partner_trade(raw: DataFrame) -> DataFrame:

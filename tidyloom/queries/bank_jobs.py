@@ -6,11 +6,12 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from tidyloom.functions import amounts, predicates
+from tidyloom.functions import amounts, predicates, text
 from tidyloom.operators import groups
 from tidyloom.plans import bank, calls, trades
-from tidyloom.queries.registry import query, table
-from tidyloom.sources import lookups
+from tidyloom.queries.registry import ORACLES, query, table
+from tidyloom.settings import scratch_path
+from tidyloom.sources import lookups, readers
 
 
 def _transactions_raw(spark, folder):
@@ -48,7 +49,8 @@ def q_bank_totals_customer(spark, folder):
 
 
 @query(f"""
-    WITH {_BANK_SQL}, g(transaction_method, quarter, target) AS (VALUES ('Online', 1, 7200000000), ('Online', 2, 7400000000), ('In-Person', 1, 7500000000), ('In-Person', 2, 7600000000))
+    WITH {_BANK_SQL}, g(transaction_method, quarter, target) AS (VALUES ('Online', 1, 7200000000), ('Online', 2, 7400000000), ('Online', 3, 7100000000), ('Online', 4, 6900000000),
+        ('In-Person', 1, 7500000000), ('In-Person', 2, 7600000000), ('In-Person', 3, 7300000000), ('In-Person', 4, 7000000000))
     SELECT transaction_method, quarter, total_value, CAST(target AS BIGINT) AS target, total_value - target AS variance_to_target
     FROM (SELECT transaction_method, CAST(quarter(created_on) AS INTEGER) AS quarter, CAST(SUM(value) AS BIGINT) AS total_value FROM t WHERE bank = 'URGENT' GROUP BY ALL)
     JOIN g USING (transaction_method, quarter)
@@ -56,8 +58,8 @@ def q_bank_totals_customer(spark, folder):
 def q_variance_to_target(spark, folder):
     wide = lookups.inline_table(
         spark,
-        [("Online", 7_200_000_000, 7_400_000_000), ("In-Person", 7_500_000_000, 7_600_000_000)],
-        "`Online or In-Person` string, Q1 long, Q2 long",
+        [("Online", 7_200_000_000, 7_400_000_000, 7_100_000_000, 6_900_000_000), ("In-Person", 7_500_000_000, 7_600_000_000, 7_300_000_000, 7_000_000_000)],
+        "`Online or In-Person` string, Q1 long, Q2 long, Q3 long, Q4 long",
     )
     transactions = bank.clean_transactions(_transactions_raw(spark, folder))
     return bank.variance_to_target(transactions, bank.quarterly_targets(wide), "URGENT")
@@ -200,13 +202,9 @@ def q_agent_performance(spark, folder):
         ["Offered", "Not Answered", "Answered"],
         ["Calls Offered", "Not Answered Calls", "Answered Calls"],
     ]
-    sheets = {}
-    for number in range(1, 13):
-        names, month = spelled[number % 3], datetime.date(2021, number, 1).strftime("%b")
-        sheets[month] = orders.where(F.month("o_orderdate") == number).groupBy(F.col("o_custkey").alias("AgentID")).agg(
-            F.count(F.lit(1)).alias(names[0]), missed.alias(names[1]), F.count_if(status != "P").alias(names[2]),
-            F.sum(F.floor("o_totalprice")).alias("Total Duration"), mood.alias("Sentiment"),
-        )
+    headers = {datetime.date(2021, n, 1).strftime("%b"): [*spelled[n % 3], "Total Duration", "Sentiment"] for n in range(1, 13)}
+    cells = F.array(F.count(F.lit(1)), missed, F.count_if(status != "P"), F.sum(F.floor("o_totalprice")), mood)
+    rows = orders.groupBy(F.date_format("o_orderdate", "MMM").alias("sheet"), F.col("o_custkey").alias("agent_id")).agg(cells.alias("cells"))
     people = table(spark, folder, "customer").select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("first_name"), F.col("c_mktsegment").alias("last_name"), F.col("c_nationkey").alias("Location ID"),
         F.col("c_nationkey").alias("Leader 1"), F.lit(99).alias("Leader 2"),
@@ -214,7 +212,7 @@ def q_agent_performance(spark, folder):
     nation = table(spark, folder, "nation")
     leaders = nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("first_name"), F.lit("Lead").alias("last_name"))
     places = nation.select(F.col("n_nationkey").alias("Location ID"), F.col("n_name").alias("Location"))
-    return calls.agent_performance(calls.clean_metrics(sheets, 2021), calls.clean_agents(people), leaders, places)
+    return calls.agent_performance(calls.clean_metric_rows(rows, headers, 2021), calls.clean_agents(people), leaders, places)
 
 
 @query("""
@@ -238,33 +236,92 @@ def q_monthly_trades(spark, folder):
 
 
 @query("""
-    WITH v AS (SELECT c_nationkey AS k, o_orderpriority AS product, CAST(year(o_orderdate) AS SMALLINT) AS year, COUNT(*) AS n, COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS f
+    WITH v AS (SELECT c_nationkey AS k, o_orderpriority AS product, CAST(year(o_orderdate) AS SMALLINT) AS year, COUNT(*) AS n, COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS f,
+                      COUNT(*) FILTER (WHERE o_orderstatus = 'O') AS i, COUNT(*) FILTER (WHERE o_orderstatus = 'P') AS p
                FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL)
     SELECT year, 'NATION_' || k AS reporting_country_name, lpad(CAST(k AS VARCHAR), 3, 'N') AS reporting_country_code, k / 2.0::DOUBLE AS reporting_country_latitude, -k / 4.0::DOUBLE AS reporting_country_longitude,
            'NATION_' || (k + 1) AS partner_country_name, CASE WHEN k < 24 THEN lpad(CAST(k + 1 AS VARCHAR), 3, 'N') END AS partner_country_iso3_code,
            CASE WHEN k < 24 THEN (k + 1) / 2.0::DOUBLE END AS partner_country_latitude, CASE WHEN k < 24 THEN -(k + 1) / 4.0::DOUBLE END AS partner_country_longitude,
-           product AS product_category, 'Export' AS indicator_type, n::DOUBLE AS top5_export_partner_trade, NULLIF(f, 0)::DOUBLE AS pct_share_top5_export_partners
-    FROM v
+           product AS product_category, t AS indicator_type, CASE t WHEN 'Export' THEN n::DOUBLE END AS top5_export_partner_trade, CASE t WHEN 'Import' THEN NULLIF(i, 0)::DOUBLE END AS top5_import_partner_trade,
+           CASE t WHEN 'Export' THEN NULLIF(f, 0)::DOUBLE END AS pct_share_top5_export_partners, CASE t WHEN 'Import' THEN NULLIF(p, 0)::DOUBLE END AS pct_share_top5_import_partners
+    FROM v, (VALUES ('Export'), ('Import')) k(t) WHERE t = 'Export' OR i > 0 OR p > 0
 """)
 def q_partner_trade(spark, folder):
+    raw, places = _partner_rows(spark, folder)
+    return trades.partner_trade(trades.clean_partner_trade(raw), places)
+
+
+def _partner_rows(spark, folder):
+    """Rows of the country files, of all four indicators and all years, and the places of countries."""
     orders = table(spark, folder, "orders").join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    names = ["Trade (US$ Mil)-Top 5 Export Partner", "Partner share(%)-Top 5 Export Partner"]
+    status = F.col("o_orderstatus")
+    tests = dict(zip(trades.INDICATORS, [F.lit(True), status == "O", status == "F", status == "P"]))
     # A column for each year, as the files have: the years are those of the data.
     years = sorted(r["y"] for r in orders.select(F.year("o_orderdate").alias("y")).distinct().collect())
     in_years = lambda test: [F.nullif(F.count_if((F.year("o_orderdate") == y) & test), F.lit(0)).cast("string").alias(str(y)) for y in years]
-    raw = None
-    for indicator, test in zip(names, [F.lit(True), F.col("o_orderstatus") == "F"]):
-        counted = orders.groupBy("c_nationkey", "o_orderpriority").agg(*in_years(test))
-        part = counted.select(
-            F.concat(F.lit(" NATION_"), F.col("c_nationkey").cast("string")).alias("Reporter"),
-            F.concat(F.lit("NATION_"), (F.col("c_nationkey") + 1).cast("string")).alias("Partner"), F.col("o_orderpriority").alias("Product categories"),
-            F.lit("Export ").alias("Indicator Type"), F.lit(indicator).alias("Indicator"), *[str(y) for y in years],
-            F.lpad(F.col("c_nationkey").cast("string"), 3, "N").alias("reporting_country_code"),
-        )
-        raw = part if raw is None else raw.unionByName(part)
+    # One aggregate for the four indicators; each becomes a row with its years.
+    cells = [F.struct(F.lit(name).alias("indicator"), *in_years(test)).alias(f"_{i}") for i, (name, test) in enumerate(tests.items())]
+    counted = orders.groupBy("c_nationkey", "o_orderpriority").agg(*cells)
+    counted = counted.select("c_nationkey", "o_orderpriority", F.explode(F.array(*[f"_{i}" for i in range(len(tests))])).alias("_cell")).select("c_nationkey", "o_orderpriority", "_cell.*")
+    raw = counted.select(
+        F.concat(F.lit(" NATION_"), F.col("c_nationkey").cast("string")).alias("Reporter"),
+        F.concat(F.lit("NATION_"), (F.col("c_nationkey") + 1).cast("string")).alias("Partner"), F.col("o_orderpriority").alias("Product categories"),
+        F.when(F.col("indicator").contains("Export"), "Export ").otherwise(" Import").alias("Indicator Type"), F.col("indicator").alias("Indicator"), *[str(y) for y in years],
+        F.lpad(F.col("c_nationkey").cast("string"), 3, "N").alias("reporting_country_code"),
+    )
     key = F.col("n_nationkey")
     point = F.concat((key / 2).cast("string"), F.lit(","), (-key / 4).cast("string"))
     places = table(spark, folder, "nation").select(
         F.lpad(key.cast("string"), 3, "N").alias("ISO3 CODE"), F.col("n_name").alias("LABEL EN"), point.alias("geo_point_2d")
     )
-    return trades.partner_trade(trades.clean_partner_trade(raw), trades.clean_places(places), names)
+    return raw, trades.clean_places(places)
+
+
+@query(ORACLES["q_partner_trade"])
+def q_country_files(spark, folder):
+    raw, places = _partner_rows(spark, folder)
+    path = scratch_path(spark, "countries")
+    labelled = raw.withColumn("country", F.concat(F.lit("en_"), "reporting_country_code", F.lit("_At-a-Glance"))).drop("reporting_country_code")
+    labelled.hint("rebalance", "country").write.partitionBy("country").option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    schema = ", ".join(f"`{c}` string" for c in labelled.columns if c != "country")
+    files = trades.read_partner_files(spark, path, schema, name=text.extract(readers.file_path(), r"/country=([^/]+)/[^/]+$"))
+    return trades.partner_trade(trades.clean_partner_trade(files), places)
+
+
+_TRADE_FILES_SQL = """
+    n AS (SELECT *, ROW_NUMBER() OVER (ORDER BY file_date, id, ticker, purchase_price) AS trade_id FROM (
+        SELECT o_orderkey AS id, 'T' || o_custkey AS ticker, c_mktsegment AS sector, 'NYSE' AS market, c_name AS stock_name, make_date(2023, CAST(month(o_orderdate) AS INTEGER), 1) AS file_date,
+               CAST(floor(o_totalprice) AS BIGINT) * 1000 AS market_cap, CAST(floor(o_totalprice / 5) AS BIGINT) AS price, floor(o_totalprice / 5) AS purchase_price
+        FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice >= 5000))
+"""
+
+
+def _trade_files(spark, folder):
+    """Trades in a folder for each month, January's without a number, read back and numbered."""
+    joined = table(spark, folder, "orders").join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    month = F.month("o_orderdate")
+    rows = joined.select(
+        F.col("o_orderkey").alias("id"), F.lit("a").alias("first_name"), F.lit("b").alias("last_name"),
+        F.concat(F.lit("T"), F.col("o_custkey").cast("string")).alias("Ticker"), F.col("c_mktsegment").alias("Sector"), F.lit("NYSE").alias("Market"), F.col("c_name").alias("Stock Name"),
+        F.when(F.col("o_totalprice") >= 5000, F.concat(F.lit("$"), F.floor("o_totalprice").cast("string"), F.lit("K"))).otherwise("n/a").alias("Market Cap"),
+        F.concat(F.lit("$"), F.floor(F.col("o_totalprice") / 5).cast("string")).alias("Purchase Price"),
+        F.when(month == 1, "MOCK_DATA").otherwise(F.concat(F.lit("MOCK_DATA-"), month.cast("string"))).alias("batch"),
+    )
+    path = scratch_path(spark, "trades")
+    rows.hint("rebalance", "batch").write.partitionBy("batch").option("header", True).csv(path)
+    return trades.numbered_trades(trades.clean_trades(trades.read_trades(spark, path, folders_hold_labels=True)))
+
+
+@query(f"WITH {_TRADE_FILES_SQL} SELECT trade_id, file_date, ticker, sector, market, stock_name, market_cap, purchase_price FROM n")
+def q_trade_files(spark, folder):
+    return _trade_files(spark, folder).drop("first_name", "last_name")
+
+
+@query(f"""
+    WITH {_TRADE_FILES_SQL}, c AS (SELECT ticker, sector, market, stock_name, market_cap, purchase_price, file_date,
+        CASE WHEN market_cap < 100000000 THEN 'Small' WHEN market_cap < 1000000000 THEN 'Medium' WHEN market_cap < 100000000000 THEN 'Large' ELSE 'Huge' END AS market_cap_category,
+        CASE WHEN purchase_price < 25000 THEN 'Small' WHEN purchase_price < 50000 THEN 'Medium' WHEN purchase_price < 75000 THEN 'Large' ELSE 'Very Large' END AS purchase_price_category FROM n)
+    SELECT *, RANK() OVER (PARTITION BY file_date, market_cap_category, purchase_price_category ORDER BY purchase_price) AS rank FROM c QUALIFY rank <= 5
+""")
+def q_trade_files_lowest(spark, folder):
+    return trades.monthly_trades(_trade_files(spark, folder))

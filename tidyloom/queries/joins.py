@@ -99,22 +99,24 @@ def q_role_join(spark, folder):
 
 
 @query("""
-    SELECT p_partkey, p_name, DATE '2024-01-31' AS reported_on FROM part
-    WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_shipdate >= DATE '1995-01-01' AND l_shipdate < DATE '1996-01-01')
+    SELECT p_partkey, p_name, year, DATE '2024-01-31' AS reported_on FROM part, (SELECT DISTINCT CAST(year(l_shipdate) AS INTEGER) AS year FROM lineitem)
+    WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND year(l_shipdate) = year)
 """)
 def q_unbooked(spark, folder):
-    shipped = table(spark, folder, "lineitem").where(in_year("l_shipdate", 1995)).select(F.col("l_partkey").alias("p_partkey"))
-    unbooked = joins.not_in(table(spark, folder, "part").select("p_partkey", "p_name"), shipped, ["p_partkey"])
+    shipped = table(spark, folder, "lineitem").select(F.col("l_partkey").alias("p_partkey"), F.year("l_shipdate").alias("year"))
+    every = scaffold.key_grid(table(spark, folder, "part").select("p_partkey", "p_name"), shipped.select("year").distinct())
+    unbooked = joins.not_in(every, shipped, ["p_partkey", "year"])
     return unbooked.withColumn("reported_on", F.lit(datetime.date(2024, 1, 31)))
 
 
 @query("""
-    SELECT c_custkey, c_name FROM customer
-    WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderdate >= DATE '1997-01-01' AND o_orderdate < DATE '1998-01-01')
+    SELECT c_custkey, c_name, year FROM customer, (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year FROM orders)
+    WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND year(o_orderdate) = year)
 """)
 def q_unbooked_cust(spark, folder):
-    ordered = table(spark, folder, "orders").where(in_year("o_orderdate", 1997)).select(F.col("o_custkey").alias("c_custkey"))
-    return joins.not_in(table(spark, folder, "customer").select("c_custkey", "c_name"), ordered, ["c_custkey"])
+    ordered = table(spark, folder, "orders").select(F.col("o_custkey").alias("c_custkey"), F.year("o_orderdate").alias("year"))
+    every = scaffold.key_grid(table(spark, folder, "customer").select("c_custkey", "c_name"), ordered.select("year").distinct())
+    return joins.not_in(every, ordered, ["c_custkey", "year"])
 
 
 @query("""

@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from tidyloom.functions import amounts
-from tidyloom.operators import groups
+from tidyloom.operators import groups, scaffold
 from tidyloom.plans import flights, retail
 from tidyloom.queries.registry import query, table
 from tidyloom.sources import lookups
@@ -45,15 +45,10 @@ _BIKE_HEADERS = [["Store", "Bike Type", "Order Date", "Sales", "Model"], ["*Stor
     SELECT *, ROUND(100 * (volume_sold / LAG(volume_sold) OVER (PARTITION BY store_location ORDER BY fiscal_quarter) - 1), 1) AS pct_diff FROM s
 """)
 def q_bike_quarters(spark, folder):
-    orders = table(spark, folder, "orders")
-    sheets = {}
-    for number, month in enumerate(MONTHS, start=1):
-        store, kind, date, sales, model = _BIKE_HEADERS[number % 3]
-        sheets[month] = orders.where(F.month("o_orderdate") == number).select(
-            F.col("o_orderpriority").alias(store), F.col("o_orderstatus").alias(kind), F.date_format("o_orderdate", "EEEE, d, yyyy").alias(date),
-            F.floor("o_totalprice").cast("string").alias(sales), F.lit("m").alias(model),
-        )
-    return retail.fiscal_quarter_change(retail.clean_bike_sales(sheets))
+    cells = [F.col("o_orderpriority"), F.col("o_orderstatus"), F.date_format("o_orderdate", "EEEE, d, yyyy"), F.floor("o_totalprice").cast("string"), F.lit("m")]
+    rows = table(spark, folder, "orders").select(F.date_format("o_orderdate", "MMMM").alias("sheet"), F.array(*cells).alias("cells"))
+    headers = {month: _BIKE_HEADERS[number % 3] for number, month in enumerate(MONTHS, start=1)}
+    return retail.fiscal_quarter_change(retail.clean_bike_rows(rows, headers))
 
 
 @query("""
@@ -131,71 +126,75 @@ def q_flight_details(spark, folder):
 
 
 @query(f"""
-    WITH {_FLIGHTS_SQL}, target AS (SELECT c AS seat_class, strftime(make_date(1998, CAST(m AS INTEGER), 1), '%Y-%m') AS target_month, CAST(9000000 * m AS BIGINT) AS target_sales
-        FROM (VALUES ('Economy'), ('First Class')) x(c), generate_series(1, 12) g(m))
+    WITH {_FLIGHTS_SQL}, target AS (SELECT c AS seat_class, strftime(make_date(y, CAST(m AS INTEGER), 1), '%Y-%m') AS target_month, CAST(9000000 * m AS BIGINT) AS target_sales
+        FROM (VALUES ('Economy'), ('Premium Economy'), ('Business Class'), ('First Class')) x(c), generate_series(1, 12) g(m), (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS y FROM orders))
     SELECT seat_class, target_month, total_sales, target_sales, total_sales - target_sales AS difference_to_target
     FROM (SELECT seat_class, strftime(flew_on, '%Y-%m') AS target_month, SUM(price) AS total_sales FROM f GROUP BY ALL) JOIN target USING (seat_class, target_month)
 """)
 def q_sales_against_target(spark, folder):
-    sheets = [
-        lookups.inline_table(spark, [(month, code, 9_000_000 * month) for month in range(1, 13)], "Month int, Class string, Target long") for code in ("E", "FC")
-    ]
-    return flights.sales_against_target(_flights(spark, folder), F.broadcast(flights.clean_targets(sheets, 1998)))
+    # A target for each class, month and year of the data.
+    years = table(spark, folder, "orders").select(F.year("o_orderdate").alias("Year")).distinct()
+    months = years.select("Year", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("Month"))
+    sheets = [months.select("Year", "Month", F.lit(code).alias("Class"), (F.col("Month").cast("long") * 9_000_000).alias("Target")) for code in ("E", "PE", "BC", "FC")]
+    return flights.sales_against_target(_flights(spark, folder), flights.clean_targets(sheets, "Year"))
 
 
 @query("""
-    SELECT p_size AS seat, p_partkey AS row, p_brand AS seat_class_code FROM part
-    WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'A' AND l_quantity > 40) AND p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'N' AND l_quantity > 45)
+    SELECT q AS seat, p_partkey AS row, p_brand AS seat_class_code FROM part, (SELECT DISTINCT CAST(l_quantity AS BIGINT) AS q FROM lineitem)
+    WHERE (p_partkey, q) NOT IN (SELECT (l_partkey, CAST(l_quantity AS BIGINT)) FROM lineitem)
 """)
 def q_unbooked_seats(spark, folder):
-    part = table(spark, folder, "part").select(F.col("p_size").alias("Seat"), F.col("p_partkey").alias("Row"), F.col("p_brand").alias("Class"))
-    lines = table(spark, folder, "lineitem").withColumnRenamed("l_partkey", "Row")
-
-    def sheet(flag, over):
-        booked = lines.where((F.col("l_returnflag") == flag) & (F.col("l_quantity") > over)).select("Row", F.col("l_orderkey").alias("CustomerID"))
-        return booked.join(part, "Row").select("CustomerID", "Seat", "Row", "Class")
-
-    return flights.unbooked_seats([sheet("A", 40), sheet("N", 45)], part)
+    # A part is a row of seats, a quantity a seat in it; every line books one.
+    rows = table(spark, folder, "part").select(F.col("p_partkey").alias("Row"), F.col("p_brand").alias("Class"))
+    lines = table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("CustomerID"), F.col("l_quantity").cast("long").alias("Seat"), F.col("l_partkey").alias("Row"))
+    plan = scaffold.key_grid(rows, lines.select("Seat").distinct()).select("Seat", "Row", "Class")
+    return flights.unbooked_seats([lines.join(rows, "Row").select("CustomerID", "Seat", "Row", "Class")], plan)
 
 
 def _tickets(spark, folder):
-    """Flights are days by priority, tickets are orders under 300,000."""
+    """A flight number is a priority and status, each flies on every day of the data; every order is a ticket."""
+    number = F.concat("o_orderpriority", "o_orderstatus")
     orders = table(spark, folder, "orders").select(
-        F.to_date("o_orderdate").alias("flies_on"), F.col("o_orderpriority").alias("flight_number"), F.col("o_custkey").alias("customer_id"), F.col("o_totalprice").alias("ticket_price")
+        F.to_date("o_orderdate").alias("flies_on"), number.alias("flight_number"), F.col("o_custkey").alias("customer_id"), F.col("o_totalprice").alias("ticket_price")
     )
-    all_flights = orders.select("flies_on", "flight_number").distinct().withColumns({"flies_from": F.lit("London"), "flies_to": F.lit("Perth")})
+    every = scaffold.key_grid(orders.select("flies_on").distinct(), orders.select("flight_number").distinct())
+    all_flights = every.withColumns({"flies_from": F.lit("London"), "flies_to": F.lit("Perth")})
     customers = table(spark, folder, "customer").select(F.col("c_custkey").alias("customer_id"), F.lit(datetime.date(2023, 12, 31)).alias("last_flew_on"))
-    return flights.ticket_report(all_flights, customers, orders.where(F.col("ticket_price") < 300_000), datetime.date(2024, 1, 31))
+    return flights.ticket_report(all_flights, customers, orders, datetime.date(2024, 1, 31))
 
 
 @query("""
-    SELECT o_orderpriority AS flight_number, CAST(o_orderdate AS DATE) AS flies_on, o_custkey AS customer_id, o_totalprice AS ticket_price, DATE '2023-12-31' AS last_flew_on, 'London' AS flies_from, 'Perth' AS flies_to
-    FROM orders WHERE o_totalprice < 300000
+    SELECT o_orderpriority || o_orderstatus AS flight_number, CAST(o_orderdate AS DATE) AS flies_on, o_custkey AS customer_id, o_totalprice AS ticket_price, DATE '2023-12-31' AS last_flew_on, 'London' AS flies_from, 'Perth' AS flies_to
+    FROM orders
 """)
 def q_ticket_detail(spark, folder):
     return _tickets(spark, folder)["ticket_sale_detail"]
 
 
-@query("""
-    SELECT o_orderpriority AS flight_number, CAST(o_orderdate AS DATE) AS flies_on, 'London' AS flies_from, 'Perth' AS flies_to, DATE '2024-01-31' AS reported_on
-    FROM orders GROUP BY ALL HAVING MIN(o_totalprice) >= 300000
-""")
+_UNBOOKED_SQL = """
+    SELECT flight_number, flies_on, 'London' AS flies_from, 'Perth' AS flies_to, DATE '2024-01-31' AS reported_on
+    FROM (SELECT DISTINCT o_orderpriority || o_orderstatus AS flight_number FROM orders), (SELECT DISTINCT CAST(o_orderdate AS DATE) AS flies_on FROM orders)
+    WHERE (flight_number, flies_on) NOT IN (SELECT (o_orderpriority || o_orderstatus, CAST(o_orderdate AS DATE)) FROM orders)
+"""
+
+
+@query(_UNBOOKED_SQL)
 def q_unbooked_flights(spark, folder):
     return _tickets(spark, folder)["unbooked_flights"]
 
 
-@query("""
-    WITH detail AS (SELECT DATE '2023-12-31' AS last_flew_on, o_custkey AS customer_id, 'London' AS flies_from, 'Perth' AS flies_to, CAST(o_orderdate AS DATE) AS flies_on, o_orderpriority AS flight_number, o_totalprice AS ticket_price
-                    FROM orders WHERE o_totalprice < 300000),
-    flown AS (SELECT 'London' AS flies_from, CAST(o_orderdate AS DATE) AS flies_on, 'Perth' AS flies_to, o_orderpriority AS flight_number, DATE '2024-01-31' AS reported_on FROM orders GROUP BY ALL HAVING MIN(o_totalprice) >= 300000),
+@query(f"""
+    WITH detail AS (SELECT DATE '2023-12-31' AS last_flew_on, o_custkey AS customer_id, 'London' AS flies_from, 'Perth' AS flies_to, CAST(o_orderdate AS DATE) AS flies_on, o_orderpriority || o_orderstatus AS flight_number, o_totalprice AS ticket_price
+                    FROM orders),
+    flown AS ({_UNBOOKED_SQL}),
     idle AS (SELECT c_custkey AS customer_id, DATE '2023-12-31' AS last_flew_on FROM customer WHERE c_custkey NOT IN (SELECT customer_id FROM detail))
     SELECT 'ticket_sale_detail' AS "table", ROW_NUMBER() OVER (ORDER BY customer_id, flies_from, flies_on, flies_to, flight_number, last_flew_on, ticket_price) AS position,
-        CAST(to_json({'customer_id': customer_id, 'flies_from': flies_from, 'flies_on': flies_on, 'flies_to': flies_to, 'flight_number': flight_number, 'last_flew_on': last_flew_on, 'ticket_price': ticket_price}) AS VARCHAR) AS json FROM detail
+        CAST(to_json({{'customer_id': customer_id, 'flies_from': flies_from, 'flies_on': flies_on, 'flies_to': flies_to, 'flight_number': flight_number, 'last_flew_on': last_flew_on, 'ticket_price': ticket_price}}) AS VARCHAR) AS json FROM detail
     UNION ALL
     SELECT 'unbooked_flights', ROW_NUMBER() OVER (ORDER BY flies_from, flies_on, flies_to, flight_number, reported_on),
-        CAST(to_json({'flies_from': flies_from, 'flies_on': flies_on, 'flies_to': flies_to, 'flight_number': flight_number, 'reported_on': reported_on}) AS VARCHAR) FROM flown
+        CAST(to_json({{'flies_from': flies_from, 'flies_on': flies_on, 'flies_to': flies_to, 'flight_number': flight_number, 'reported_on': reported_on}}) AS VARCHAR) FROM flown
     UNION ALL
-    SELECT 'unbooked_customers', ROW_NUMBER() OVER (ORDER BY customer_id, last_flew_on), CAST(to_json({'customer_id': customer_id, 'last_flew_on': last_flew_on}) AS VARCHAR) FROM idle
+    SELECT 'unbooked_customers', ROW_NUMBER() OVER (ORDER BY customer_id, last_flew_on), CAST(to_json({{'customer_id': customer_id, 'last_flew_on': last_flew_on}}) AS VARCHAR) FROM idle
 """)
 def q_ticket_document(spark, folder):
     report = _tickets(spark, folder)

@@ -316,17 +316,18 @@ def q_selected_applicants(spark, folder):
 
 
 @query("""
-    WITH v AS (SELECT o_orderpriority AS school_name, CAST(date_trunc('month', o_orderdate) AS DATE) AS date, o_orderstatus AS s, CAST(SUM(ROUND(o_totalprice * 100)) AS BIGINT) AS value FROM orders GROUP BY ALL),
+    WITH v AS (SELECT o_orderpriority AS school_name, CAST(date_trunc('month', o_orderdate) AS DATE) AS date, CASE WHEN o_orderstatus = 'O' AND o_custkey % 2 = 1 THEN 'M' ELSE o_orderstatus END AS s, CAST(SUM(ROUND(o_totalprice * 100)) AS BIGINT) AS value FROM orders GROUP BY ALL),
     w AS (SELECT school_name, date, CAST(SUM(value) AS BIGINT) AS total_monthly_cost, MAX(value) FILTER (WHERE s = 'F') AS electricity_cost,
-                 MAX(value) FILTER (WHERE s = 'O') AS water_cost, MAX(value) FILTER (WHERE s = 'P') AS gas_cost FROM v GROUP BY ALL)
+                 MAX(value) FILTER (WHERE s = 'O') AS water_cost, MAX(value) FILTER (WHERE s = 'P') AS gas_cost, MAX(value) FILTER (WHERE s = 'M') AS maintenance_cost FROM v GROUP BY ALL)
     SELECT ROW_NUMBER() OVER (ORDER BY school_name, date) AS sort_order, * FROM w
 """)
 def q_school_costs(spark, folder):
     names = predicates.replace_values("o_orderstatus", {"F": "Electricity Cost", "O": "Water Cost", "P": "Gas Cost"})
+    names = F.when((F.col("o_orderstatus") == "O") & (F.col("o_custkey") % 2 == 1), "Maintenance Cost").otherwise(names)
     sheet = table(spark, folder, "orders").groupBy(
         F.col("o_orderpriority").alias("School Name"), F.year("o_orderdate").alias("Year"), F.date_format("o_orderdate", "MMMM").alias("Month"), names.alias("Name")
     ).agg(F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("Value"))
-    return school.school_costs([sheet], ["Electricity Cost", "Water Cost", "Gas Cost"])
+    return school.school_costs([sheet])
 
 
 @query("""

@@ -96,9 +96,7 @@ def q_file_code(spark, folder):
 """)
 def q_labelled_union(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderstatus", "o_totalprice")
-    sheets = {"Finished": "F", "Open": "O", "Partial": "P"}
-    parts = {label: orders.where(F.col("o_orderstatus") == code) for label, code in sheets.items()}
-    stacked = readers.labelled_union(parts, "sheet")
+    stacked = readers.labelled_rows(orders, "sheet", {"Finished": "F", "Open": "O", "Partial": "P"}, "o_orderstatus")
     return stacked.groupBy("sheet").agg(F.count(F.lit(1)).alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total_value"))
 
 
@@ -202,3 +200,49 @@ def q_trim_all(spark, folder):
         F.concat("c_mktsegment", F.lit("   ")).alias("c_mktsegment"),
     )
     return text.trim_strings(padded)
+
+
+@query("""
+    SELECT o_orderkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate, o_orderstatus = 'F' AS is_done, floor(o_totalprice) AS whole,
+           CASE WHEN o_orderkey % 2 = 0 THEN 'n' || o_custkey ELSE CAST(o_custkey AS VARCHAR) END AS mixed
+    FROM orders
+""")
+def q_infer_csv(spark, folder):
+    path = scratch_path(spark, "orders-inferred")
+    mixed = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("n"), F.col("o_custkey").cast("string"))).otherwise(F.col("o_custkey").cast("string"))
+    written = table(spark, folder, "orders").select(
+        "o_orderkey", "o_orderstatus", "o_totalprice", F.to_date("o_orderdate").alias("o_orderdate"), (F.col("o_orderstatus") == "F").alias("is_done"),
+        # Whole numbers with a few broken ones among them: doubles.
+        F.floor("o_totalprice").cast("double").alias("whole"), mixed.alias("mixed"),
+    )
+    written.write.option("header", True).option("dateFormat", "dd/MM/yyyy").csv(path)
+    return readers.read_csv(spark, path, date_layout="dd/MM/yyyy")
+
+
+@query("""
+    SELECT o_orderpriority AS store_location, o_orderstatus AS bike_type, CASE WHEN month(o_orderdate) % 3 <> 2 THEN 'm' END AS bike_model, COUNT(*) AS orders, CAST(SUM(CAST(floor(o_totalprice) AS BIGINT)) AS BIGINT) AS volume_sold
+    FROM orders GROUP BY ALL
+""")
+def q_headed_files(spark, folder):
+    from tidyloom.plans.retail import BIKE_COLUMNS
+
+    path = scratch_path(spark, "orders-headed")
+    orders = table(spark, folder, "orders").withColumn("part", F.month("o_orderdate") % 3)
+    values = {"Store": F.col("o_orderpriority"), "Type": F.col("o_orderstatus"), "Sales": F.floor("o_totalprice").cast("string"), "Model": F.lit("m")}
+    headers = [{"Store": "*Store", "Sales": "*Sales", "Type": "*BikeType", "Model": "*Model"}, {"Model": "Model", "Type": "Bike Type", "Store": "Store", "Sales": "Sales"}, {"Type": "BikeType", "Store": "Store", "Sales": "Sales"}]
+    for number, header in enumerate(headers):
+        part = orders.where(F.col("part") == number).select(*[values[column].alias(spelled) for column, spelled in header.items()])
+        part.write.option("header", True).csv(f"{path}/part={number}")
+    rows = readers.read_headed(spark, path, BIKE_COLUMNS, ["store_location", "bike_type", "bike_model", "volume_sold"])
+    return rows.groupBy("store_location", "bike_type", "bike_model").agg(F.count(F.lit(1)).alias("orders"), F.sum(F.col("volume_sold").cast("long")).alias("volume_sold"))
+
+
+@query("""
+    SELECT CASE WHEN c_nationkey % 2 = 0 THEN 'UTF-8' ELSE 'ISO-8859-1' END AS encoding, 'é' || c_name || 'ü' AS line, CASE WHEN c_nationkey % 2 = 0 THEN 0 ELSE 2 END::INTEGER AS n_replaced FROM customer
+""")
+def q_two_encodings(spark, folder):
+    path = scratch_path(spark, "customer-encodings")
+    customer = table(spark, folder, "customer").select(F.concat(F.lit("é"), "c_name", F.lit("ü")).alias("line"), (F.col("c_nationkey") % 2).alias("part"))
+    for part, encoding in enumerate(("UTF-8", "ISO-8859-1")):
+        customer.where(F.col("part") == part).select("line").write.option("encoding", encoding).csv(f"{path}/part={part}")
+    return readers.read_lines(spark, path).select("encoding", "line", "n_replaced")

@@ -159,14 +159,14 @@ def q_transfer_summary(spark, folder):
 
 @query("""
     SELECT l_suppkey AS project, CAST(SUM(ROUND(l_extendedprice * 100)) FILTER (WHERE l_returnflag = 'R') AS BIGINT) AS cost,
-           CAST(SUM(ROUND(l_extendedprice * 100)) FILTER (WHERE l_returnflag = 'A') AS BIGINT) AS invoice,
-           CAST(SUM(ROUND(l_extendedprice * 100)) FILTER (WHERE l_returnflag = 'A') AS BIGINT)
+           CAST(SUM(ROUND(l_extendedprice * 100)) FILTER (WHERE l_returnflag <> 'R') AS BIGINT) AS invoice,
+           CAST(SUM(ROUND(l_extendedprice * 100)) FILTER (WHERE l_returnflag <> 'R') AS BIGINT)
            - CAST(SUM(ROUND(l_extendedprice * 100)) FILTER (WHERE l_returnflag = 'R') AS BIGINT) AS profit
-    FROM lineitem WHERE l_returnflag IN ('R', 'A') GROUP BY 1
+    FROM lineitem GROUP BY 1
 """)
 def q_project_profit(spark, folder):
-    lines = table(spark, folder, "lineitem").where(F.col("l_returnflag").isin("R", "A"))
-    kind = predicates.replace_values("l_returnflag", {"R": "cost", "A": "invoice"})
+    lines = table(spark, folder, "lineitem")
+    kind = predicates.replace_values("l_returnflag", {"R": "cost", "A": "invoice", "N": "invoice"})
     entries = lines.select(F.col("l_suppkey").alias("project"), kind.alias("kind"), amounts.cents("l_extendedprice").alias("cents"))
     return retail.project_profit(entries, "project", "kind", "cents")
 
@@ -216,18 +216,17 @@ def q_partition_stats(spark, folder):
 
 
 @query("""
-    WITH n AS (SELECT c_nationkey, c_nationkey % 5 AS region, COUNT(*) AS accepted FROM customer WHERE c_mktsegment = 'BUILDING' GROUP BY ALL),
-    s AS (SELECT c_nationkey, region, accepted / (CASE WHEN region = 0 THEN 75 ELSE 25 END) AS prop_accepted FROM n)
-    SELECT c_nationkey, region, prop_accepted, CASE WHEN prop_accepted = MAX(prop_accepted) OVER (PARTITION BY region) THEN 'high'
-           WHEN prop_accepted = MIN(prop_accepted) OVER (PARTITION BY region) THEN 'low' ELSE 'middle' END AS school_performance
+    WITH n AS (SELECT c_mktsegment, c_nationkey, c_nationkey % 5 AS region, COUNT(*) AS accepted FROM customer GROUP BY ALL),
+    s AS (SELECT c_mktsegment, c_nationkey, region, accepted / (CASE WHEN region = 0 THEN 75 ELSE 25 END) AS prop_accepted FROM n)
+    SELECT c_mktsegment, c_nationkey, region, prop_accepted, CASE WHEN prop_accepted = MAX(prop_accepted) OVER (PARTITION BY c_mktsegment, region) THEN 'high'
+           WHEN prop_accepted = MIN(prop_accepted) OVER (PARTITION BY c_mktsegment, region) THEN 'low' ELSE 'middle' END AS school_performance
     FROM s
 """)
 def q_performance(spark, folder):
-    accepted = table(spark, folder, "customer").where(F.col("c_mktsegment") == "BUILDING")
-    counts = groups.count_by(accepted, "c_nationkey", name="accepted").withColumn("region", F.col("c_nationkey") % 5)
+    counts = groups.count_by(table(spark, folder, "customer"), "c_mktsegment", "c_nationkey", name="accepted").withColumn("region", F.col("c_nationkey") % 5)
     allocation = F.when(F.col("region") == 0, 75).otherwise(25)
-    shares = counts.select("c_nationkey", "region", (F.col("accepted") / allocation).alias("prop_accepted"))
-    spans = groups.with_group_stats(shares, ["region"], {"best": F.max("prop_accepted"), "worst": F.min("prop_accepted")})
+    shares = counts.select("c_mktsegment", "c_nationkey", "region", (F.col("accepted") / allocation).alias("prop_accepted"))
+    spans = groups.with_group_stats(shares, ["c_mktsegment", "region"], {"best": F.max("prop_accepted"), "worst": F.min("prop_accepted")})
     share = F.col("prop_accepted")
     label = predicates.first_match([(share == F.col("best"), "high"), (share == F.col("worst"), "low")], "middle")
     return spans.withColumn("school_performance", label).drop("best", "worst")
