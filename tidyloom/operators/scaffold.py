@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidyloom.functions.dates import is_weekday
-from tidyloom.operators.ordered import running_sum
+from tidyloom.operators.ordered import ordered_columns, running_sum
+from tidyloom.operators.ranges import down
 from tidyloom.operators.reshape import melt
 
 
@@ -64,6 +65,25 @@ def fill_grid(grid: DataFrame, facts: DataFrame, keys: Sequence[str], defaults:
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
 
 
+def runs(df: DataFrame, keys: Sequence[str], day: str, last: Column, until: str = "until") -> DataFrame:
+    """Each row as a run of days: from its day to the day before the next one of its key, for the last row up to ``last``.
+
+    A value that holds until it changes takes one row here, however many days it
+    holds; days are made of it where they are asked for (``run_days``). ``day`` is distinct within a key.
+    """
+    following = ordered_columns(df, keys, [down(day)], previous={"_next": F.col(day)})
+    return following.withColumn(until, F.coalesce(F.date_sub("_next", 1), last)).drop("_next")
+
+
+def run_days(df: DataFrame, day: str, until: str = "until", only_on_first: Mapping[str, Any] | None = None) -> DataFrame:
+    """One row for each day of each run; a column in ``only_on_first`` keeps its value on the first day and has the given one on the others."""
+    only_on_first = only_on_first or {}
+    days = df.withColumn("_day", F.explode(F.sequence(day, until)))
+    first = F.col("_day") == F.col(day)
+    columns = [F.when(first, F.col(c)).otherwise(F.lit(only_on_first[c])).alias(c) if c in only_on_first else F.col("_day").alias(day) if c == day else F.col(f"`{c}`") for c in df.columns if c != until]
+    return days.select(*columns)
+
+
 def signed_flows(transfers: DataFrame, source: str, destination: str, value: Column, name: str = "account") -> DataFrame:
     """Each transfer as two movements: minus at its source, plus at its destination."""
     others = [c for c in transfers.columns if c not in (source, destination)]

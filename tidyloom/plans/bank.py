@@ -154,13 +154,24 @@ def day_end_balance(lines: DataFrame, account: str, day: str, order: Sequence[st
 
 
 def daily_balance(lines: DataFrame, account: str, day: str, movement: str, order: Sequence[str], balance: str = "running_balance") -> DataFrame:
-    """Every account on every day: movement of the day (0 if none) and the balance carried forward."""
+    """Every account on every day: movement of the day (0 if none) and the balance carried forward.
+
+    A balance is a run of days up to the next payment; the days are made at the
+    end. Days before an account's first payment have no balance.
+    """
+    changes = balance_runs(lines, account, day, movement, order, balance)
+    return scaffold.run_days(changes, day, only_on_first={"total_movement": 0})
+
+
+def balance_runs(lines: DataFrame, account: str, day: str, movement: str, order: Sequence[str], balance: str = "running_balance") -> DataFrame:
+    """Balances as runs, ``day`` to ``until``, over all days of the table, one row for each change."""
     last = F.max_by(balance, F.struct(*order)).alias("daily_end_balance")
-    # Read three times below, and much smaller than the lines: stored once.
-    observed = stored(lines.groupBy(account, day).agg(groups.zero_sum(movement).alias("total_movement"), last))
-    grid = scaffold.key_grid(observed.select(account).distinct(), scaffold.dense_dates(observed, day, day))
-    filled = scaffold.fill_grid(grid, observed, [account, day], {"total_movement": 0})
-    return ordered.forward_fill(filled, [account], [F.col(day)], "daily_end_balance")
+    observed = lines.groupBy(account, day).agg(groups.zero_sum(movement).alias("total_movement"), last)
+    edge = lambda extreme: lines.agg(extreme(F.col(day)).cast("date").alias("_edge")).select("_edge").scalar()
+    # Where an account starts later than the table, a run without a balance comes first.
+    starts = lines.groupBy(account).agg(F.min(day).alias("_first")).where(F.col("_first") > edge(F.min))
+    before = starts.select(account, edge(F.min).alias(day), F.lit(0).cast(observed.schema["total_movement"].dataType).alias("total_movement"))
+    return scaffold.runs(observed.unionByName(before, allowMissingColumns=True), [account], day, edge(F.max))
 
 
 def account_summary(lines: DataFrame, accounts: DataFrame, on: datetime.date) -> DataFrame:

@@ -248,3 +248,15 @@ def q_top2pct(spark, folder):
         F.sum(amounts.cents("o_totalprice")).alias("cents")
     )
     return retail.top_share_by_moving_average(terms, ["student_id"], "term", "cents", size=3, share=0.02)
+
+
+@query("""
+    WITH m AS (SELECT user_id, event_id, ts, CAST(ts AS DATE) AS day, CAST(ROUND(value * 100) AS BIGINT) AS movement FROM events),
+    s AS (SELECT *, CAST(SUM(movement) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS balance FROM m),
+    d AS (SELECT user_id, day, CAST(SUM(movement) AS BIGINT) AS total_movement, arg_max(balance, (ts, event_id)) AS daily_end_balance FROM s GROUP BY ALL
+          UNION ALL SELECT user_id, (SELECT MIN(day) FROM m), 0, NULL FROM m GROUP BY user_id HAVING MIN(day) > (SELECT MIN(day) FROM m))
+    SELECT user_id, day, total_movement, daily_end_balance,
+           COALESCE(LEAD(day) OVER (PARTITION BY user_id ORDER BY day) - 1, (SELECT MAX(day) FROM m))::DATE AS until FROM d
+""")
+def q_balance_runs(spark, folder):
+    return bank.balance_runs(_event_statement(spark, folder), "user_id", "day", "movement", ["ts", "event_id"])
