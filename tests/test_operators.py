@@ -374,3 +374,28 @@ def test_open_bands_are_listed_a_few_times(spark):
     assert {r["id"]: r["count"] for r in found.collect()} == {v: 3000 - max(v, 1) + 1 for v in range(0, 3001, 100)}
     nodes = bands.select(F.sum(F.size(joins._widest_pieces(F.lit(0).cast("long"), F.col("high"), 13)))).first()[0]
     assert nodes < 10 * 3000
+
+
+def test_a_cell_with_several_values_is_an_error(spark):
+    long = spark.createDataFrame([(1, "a", 5), (1, "a", 6), (1, "b", None), (2, "b", 7)], "id int, name string, v int")
+    with pytest.raises(Exception, match="several values"):
+        reshape.spread(long, ["id"], "name", "v", ["a", "b"]).collect()
+    assert rows(reshape.spread(long, ["id"], "name", "v", ["a", "b"], F.sum)) == [(1, 11, None), (2, None, 7)]
+    assert rows(reshape.spread(long.where("v <> 5"), ["id"], "name", "v", ["a", "b"])) == [(1, 6, None), (2, None, 7)]
+
+
+def test_runs_and_their_days(spark):
+    frame = spark.createDataFrame([("a", datetime.date(2024, 1, 1), 5), ("a", datetime.date(2024, 1, 3), 6), ("b", datetime.date(2024, 1, 4), None)], "k string, day date, v int")
+    runs = scaffold.runs(frame, ["k"], "day", F.lit(datetime.date(2024, 1, 4)))
+    assert rows(runs, "k", "day", "until", "v") == [
+        ("a", datetime.date(2024, 1, 1), datetime.date(2024, 1, 2), 5), ("a", datetime.date(2024, 1, 3), datetime.date(2024, 1, 4), 6), ("b", datetime.date(2024, 1, 4), datetime.date(2024, 1, 4), None),
+    ]
+    days = scaffold.run_days(runs.withColumn("moved", F.col("v")), "day", only_on_first={"moved": 0})
+    assert rows(days.where("k = 'a'"), "day", "v", "moved") == [(datetime.date(2024, 1, d), v, m) for d, v, m in ((1, 5, 5), (2, 5, 0), (3, 6, 6), (4, 6, 0))]
+
+
+def test_key_grid_of_many_blocks(spark):
+    keys, values = spark.range(7).withColumnRenamed("id", "k"), spark.range(2500).withColumnRenamed("id", "v")
+    grid = scaffold.key_grid(keys, values)
+    assert grid.count() == 17_500 == grid.distinct().count()
+    assert scaffold.key_grid(keys, values.limit(0)).count() == 0

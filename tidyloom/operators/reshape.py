@@ -28,10 +28,11 @@ def spread(
 ) -> DataFrame:
     """Rows to columns. ``names`` are the wanted columns, in order; no extra job finds them.
 
-    By default a cell takes its single value (the largest, should there be
-    several, so that the answer does not depend on row order).
+    By default a cell takes its single value; a cell with several is an error, so
+    that none of them is lost in silence. ``how`` aggregates them instead.
     """
-    how = how or F.max
+    several = F.raise_error(F.lit(f"several values of {values_from!r} for one row and column"))
+    how = how or (lambda value: F.when(F.count(value) > 1, several).otherwise(F.max(value)))
     return df.groupBy(*index).pivot(names_from, list(names)).agg(how(F.col(values_from)))
 
 

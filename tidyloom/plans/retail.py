@@ -172,9 +172,9 @@ def annual_sales(sheets: DataFrame, label: str = "sheet") -> DataFrame:
 def weekday_ranking(spending: DataFrame, customers: DataFrame) -> DataFrame:
     """Purchases ranked by value within their weekday."""
     joined = spending.join(customers, ["first_name", "last_name"])
-    dated = joined.withColumns({"weekday": dates.weekday_name("purchased_on"), "_number": dates.weekday_number("purchased_on")})
+    dated = joined.withColumn("weekday", dates.weekday_name("purchased_on"))
     ranked = ranks.ranked(dated, ["weekday"], "sale_value", descending=True)
-    return ranked.drop("first_name", "last_name", "purchased_on", "_number")
+    return ranked.drop("first_name", "last_name", "purchased_on")
 
 
 def weekday_documents(ranked: DataFrame) -> DataFrame:

@@ -338,7 +338,7 @@ def q_school_costs(spark, folder):
 """)
 def q_track_team(spark, folder):
     lines = table(spark, folder, "lineitem")
-    row = F.xxhash64("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+    row = F.concat_ws("|", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
     keyed = lines.select(
         row.alias("id"), "l_orderkey", F.col("l_returnflag").alias("gender"), (F.col("l_linenumber") + 1).alias("age"),
         F.when(F.col("l_linestatus") == "F", "100m").otherwise("200m").alias("track_event"), F.col("l_quantity").alias("time"),

@@ -274,3 +274,11 @@ def q_monthly_rank(spark, folder):
 def q_top5_group(spark, folder):
     votes = groups.count_by(table(spark, folder, "customer"), "c_mktsegment", "c_nationkey", name="vote_count")
     return ranks.best_of_group(votes, ["c_mktsegment"], "vote_count", 5, descending=True)
+
+
+@query("""
+    SELECT o_custkey, CAST(SUM(ROUND(o_totalprice * 100)) AS BIGINT) AS cents, SUM(ROUND(o_totalprice * 100)) / (SELECT SUM(ROUND(o_totalprice * 100)) FROM orders) AS share FROM orders GROUP BY 1
+""")
+def q_share_total(spark, folder):
+    spend = table(spark, folder, "orders").groupBy("o_custkey").agg(F.sum(amounts.cents("o_totalprice")).alias("cents"))
+    return groups.share_of_total(spend, "cents", "share")

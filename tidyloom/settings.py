@@ -28,6 +28,8 @@ def build_session(app_name: str = "tidyloom", master: str | None = None, **conf:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # Split skewed join partitions even when that costs one more exchange.
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        # What was stored between steps goes when its frame is no longer used.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
     for key, value in settings.items():
