@@ -1,7 +1,10 @@
 """The scale of op7_toxicity's scores."""
 
+import collections
+import math
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tidyloom.llm import toxicity
@@ -19,3 +22,67 @@ def test_scores_keep_their_scale_when_the_larger_class_is_cut(spark):
     for most in (12_000, 600):
         scored = toxicity.toxicity(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"), F.lit(True), max_labelled=most)
         assert abs(scored.agg(F.avg("score")).first()[0] - 0.1) < 0.05
+
+
+def plain_ratio(word, counts, order=toxicity.ORDER, discount=toxicity.DISCOUNT):
+    """The log-ratio of a word by dictionaries: interpolated Kneser-Ney in each class, shared lower orders."""
+    padded = lambda w: bytes([1] * (order - 1)) + w + b"\x02"
+    grams = [collections.Counter(), collections.Counter()]
+    for w, per_class in counts.items():
+        for c in (0, 1):
+            for i in range(order - 1, len(padded(w))):
+                if per_class[c]:
+                    grams[c][padded(w)[i - order + 1 : i + 1]] += per_class[c]
+    seen = {g for c in (0, 1) for g in grams[c]}
+
+    def shared(gram):
+        if not gram:
+            return 1 / 256
+        longer = {g[-len(gram) - 1 :] for g in seen}
+        here = [g for g in longer if g[1:-1] == gram[:-1]]
+        if not here:
+            return shared(gram[1:])
+        kinds = len({g[1:] for g in here})
+        return max(sum(g[1:] == gram for g in here) - discount, 0) / len(here) + discount * kinds / len(here) * shared(gram[1:])
+
+    total = 0.0
+    for i in range(order - 1, len(padded(word))):
+        gram, logs = padded(word)[i - order + 1 : i + 1], []
+        for c in (0, 1):
+            here = {g: n for g, n in grams[c].items() if g[:-1] == gram[:-1]}
+            n = sum(here.values())
+            fall = discount * len(here) / n if n else 1.0
+            logs.append(math.log(max(here.get(gram, 0) - discount, 0) / max(n, 1) + fall * shared(gram[1:])))
+        total += logs[0] - logs[1]
+    return total
+
+
+def test_evidence_equals_a_plain_model():
+    draw = random.Random(8)
+    counts = {"".join(draw.choice("abé") for _ in range(draw.randrange(1, 8))).encode(): (draw.randrange(4), draw.randrange(1, 4)) for _ in range(40)}
+    words = list(counts)
+    evidence = toxicity.Evidence(words, *(np.array([counts[w][c] for w in words], dtype=float) for c in (0, 1)))
+    for word, found in zip(words, evidence.of(words)):
+        # A gram that neither class has seen falls back to one shared value, which the ratio does not need.
+        assert math.isclose(found, plain_ratio(word, counts), abs_tol=1e-9)
+    new = [b"abab", b"bbbbbbbb", b"\xc3\xa9\xc3\xa9a"]
+    assert all(math.isclose(a, plain_ratio(w, counts), abs_tol=1e-9) for w, a in zip(new, evidence.of(new)))
+
+
+def test_long_labelled_texts_are_learned_from(spark):
+    draw = random.Random(6)
+    common = ["".join(draw.choice("aeiorstn") for _ in range(6)) for _ in range(300)]
+    rows = [(i, " ".join([*draw.choices(common, k=4000), *(["wretch"] if i % 2 else [])]), i % 2) for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    assert min(len(text) for _, text, _ in rows) > 20_000
+    for words in (4_000, 280):
+        scored = toxicity.toxicity(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"), F.lit(True), max_words=words).collect()
+        right = sum((r["score"] >= 0.5) == bool(r["doc_id"] % 2) for r in scored)
+        assert right >= (57 if words == 4_000 else 30)
+
+
+def test_rows_of_one_class_or_none(spark):
+    frame = spark.createDataFrame([(i, f"word{i} some text", 1) for i in range(12)] + [(None, None, 0), (99, "", None)], "doc_id long, text string, toxic int")
+    for labels in (frame, frame.where("toxic = 1"), frame.where("toxic is null"), frame.limit(0)):
+        scores = toxicity.toxicity(frame.select("doc_id", "text"), labels.select("doc_id", "toxic"), F.lit(True)).collect()
+        assert len(scores) == 14 and all(0 <= r["score"] <= 1 for r in scores)

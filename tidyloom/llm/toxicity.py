@@ -5,35 +5,46 @@ from the bytes before it. Both are discounted Kneser-Ney models of one order
 and fall back to the same lower-order model, whose continuation counts are
 taken from both classes; so a rare expression is judged by what its known
 stems say, and by nothing where neither class knows it. The difference of the
-two log-likelihoods is a sum over words; a text is judged by that sum for each
-word of its length, by its strongest word and by the number of strong words, put
-on one scale by a logistic curve fitted to labelled texts the models have not seen.
-There each row stands for as many labelled rows of its class as the sample left
-out, so a score means the same at every size.
+two log-likelihoods is a sum over words. A text is judged by the differences of
+its distinct words, as mean and strongest one, and as sums and numbers of strong
+ones over the length or its square root (chance alone makes sums of evidence grow
+like that), so a long text is not judged by its length. A logistic curve puts
+them on one scale. It is fitted to all labelled texts of the sample, each as seen
+by models of the other folds; each row stands there for as many labelled rows of
+its class as the sample left out, so a score means the same at every size.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, StructField, StructType
 
 from tidyloom.llm.store import saved
-from tidyloom.llm.words import BLANK_SEPARATED, sliced
+from tidyloom.llm.words import sliced
 
 ORDER = 6  # bytes, the predicted one included: a key fits into 64 bits
 DISCOUNT = 0.75
-#: Labelled rows the classifier is fitted on at most, half of them toxic, and the longest text taken for it.
-MAX_LABELLED, MAX_LABELLED_BYTES = 12_000, 20_000
+#: Labelled rows the classifier is fitted on at most, half of them toxic, and distinct words of each, drawn by a hash where it has more.
+MAX_LABELLED, MAX_LABELLED_WORDS = 12_000, 4_000
 #: Evidence (natural log of the likelihood ratio) from which a word counts as strong.
 STRONG = 3.0
-_FEATURES = 5
+FOLDS = 5
+_FEATURES = 6
 _CACHE = 150_000
 
+# Words are runs of letters, A-Z lower-cased; any byte of a longer character counts as a letter.
+_LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
+
+
+def distinct_words(blob: bytes | None) -> list[bytes]:
+    return sorted(set((blob or b"").translate(_LETTERS).split()))
+
 
 def _padded(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Keys of all n-grams of the words: up to ORDER bytes in an integer, and the word each belongs to.
@@ -118,8 +129,8 @@ def _features(evidence: Evidence):
         for batch in sliced(batches):
             rows = []
             for blob in batch.column("text").to_pylist():
-                words = (blob or b"").translate(BLANK_SEPARATED).split()
-                new = list({w for w in words if w not in known})
+                words = distinct_words(blob)
+                new = [w for w in words if w not in known]
                 for lo in range(0, len(new), 20_000):
                     part = new[lo : lo + 20_000]
                     known.update(zip(part, evidence.of(part).tolist()))
@@ -135,8 +146,15 @@ def _features(evidence: Evidence):
 def _described(ratios: np.ndarray) -> list[float]:
     if not len(ratios):
         return [0.0] * _FEATURES
-    strong = ratios[ratios >= STRONG]
-    return [float(ratios.mean()), float(max(ratios.max(), 0.0)), float(np.log1p(len(strong))), float(np.log1p(strong.sum())), float(len(strong) / len(ratios))]
+    strong, root = ratios[ratios >= STRONG], np.sqrt(len(ratios))
+    return [
+        float(ratios.mean()),
+        float(max(ratios.max(), 0.0)),
+        float(len(strong) / len(ratios)),
+        float(np.log1p(len(strong) / root)),
+        float(np.log1p(strong.sum() / root)),
+        float(np.log1p(np.maximum(ratios, 0).sum() / root)),
+    ]
 
 
 class Curve:
@@ -167,42 +185,64 @@ class Curve:
         return 1 / (1 + F.exp(-F.greatest(F.lit(-35.0), F.least(F.lit(35.0), total))))
 
 
-def fitted(documents: DataFrame, labels: DataFrame, train: Column, id_column: str, text_column: str, label_column: str, max_labelled: int) -> tuple[Evidence, Curve]:
-    """Models and curve from at most ``max_labelled`` labelled rows, four fifths for the models, the rest for the curve."""
+def fitted(
+    documents: DataFrame, labels: DataFrame, train: Column, id_column: str, text_column: str, label_column: str, max_labelled: int, max_words: int
+) -> tuple[Evidence, Curve]:
+    """Models of at most ``max_labelled`` labelled rows, and the curve over them, each row seen by models of other folds."""
     marks = labels.where(train & F.col(label_column).isin(0, 1)).groupBy(F.col(id_column).alias("id")).agg(F.max(F.col(label_column).cast("int")).alias("y"))
-    marks = saved(marks, "marks")
-    # By a hash of the id; more ids are drawn than rows are used, as some have no text that fits.
+    # The labelled rows there are: ids alone, so that what is ordered and broadcast is small.
+    present = documents.where(train).groupBy(F.col(id_column).alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    present = saved(present.join(marks, "id"), "marks")
     order = F.xxhash64(F.col("id").cast("string"), F.lit("fit"))
-    drawn = [marks.where(F.col("y") == y).orderBy(order, "id").limit(max_labelled) for y in (0, 1)]
-    wanted = saved(drawn[0].unionByName(drawn[1]), "wanted")
-    texts = documents.where(train).select(F.col(id_column).alias("id"), F.col(text_column).cast("binary").alias("text"))
-    texts = texts.where(F.octet_length("text") <= MAX_LABELLED_BYTES).join(F.broadcast(wanted), "id")
-    halves = [texts.where(F.col("y") == y).orderBy(order, "id", "text").limit(max_labelled // 2) for y in (0, 1)]
-    sample = saved(halves[0].unionByName(halves[1]).withColumn("fold", F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("fold")), F.lit(5))), "sample")
-    # Labelled training rows of each class in all data, for each row of the sample.
-    every = documents.where(train).groupBy(F.col(id_column).alias("id")).agg(F.count(F.lit(1)).alias("n")).join(marks, "id").groupBy("y").agg(F.sum("n"))
-    every, drawn_rows = dict(map(tuple, every.collect())), dict(map(tuple, sample.groupBy("y").count().collect()))
-    counts = sample.where("fold > 0").mapInArrow(_counted, "word binary, toxic long, ordinary long")
-    counts = counts.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")).toArrow()
-    evidence = Evidence(counts.column("word").to_pylist(), counts.column("toxic").to_numpy().astype(float), counts.column("ordinary").to_numpy().astype(float))
-    # The sample is of bounded rows and bytes, and so is what comes to the driver.
-    seen = sample.where("fold = 0").select(F.col("y").cast("int").alias("id"), "text").mapInArrow(_features(evidence), "id int, x array<double>").toArrow()
+    halves = [present.where(F.col("y") == y).orderBy(order, "id").limit(max_labelled // 2) for y in (0, 1)]
+    wanted = saved(halves[0].unionByName(halves[1]).select("id", "y"), "wanted")
+    texts = documents.where(train).select(F.col(id_column).alias("id"), F.col(text_column).cast("binary").alias("text")).join(F.broadcast(wanted), "id")
+    drawn = texts.mapInArrow(_drawn(max_words), StructType([texts.schema["id"], StructField("y", IntegerType()), StructField("words", ArrayType(BinaryType()))]))
+    fold = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("fold")), F.lit(FOLDS)).cast("int")
+    # Of repeated rows of one id one is taken.
+    sample = saved(drawn.groupBy("id", "y").agg(F.min("words").alias("words")).withColumn("fold", fold), "sample")
+    every, drawn_rows = (dict(map(tuple, f.collect())) for f in (present.groupBy("y").agg(F.sum("n")), sample.groupBy("y").count()))
+
+    toxic = F.sum("y").alias("toxic"), (F.count(F.lit(1)) - F.sum("y")).alias("ordinary")
+    # A text counts a word once, so that long texts do not outweigh others.
+    words = sample.select("y", "fold", F.explode("words").alias("word"))
+    # What the models of a fold learn from: the words of all other folds.
+    others = words.withColumn("of", F.explode(F.array(*[F.lit(k) for k in range(FOLDS)]))).where(F.col("of") != F.col("fold"))
+    learned = others.groupBy("of", "word").agg(*toxic).withColumnRenamed("of", "fold")
+    seen = learned.groupBy("fold").cogroup(sample.select("fold", "y", "words").groupBy("fold")).applyInArrow(_seen_by_others, "y int, x array<double>").toArrow()
+    counts = words.groupBy("word").agg(*toxic).toArrow()
+    # The sample is of bounded rows and words, and so is what comes to the driver.
+    evidence = _evidence(counts)
     x = np.array(seen.column("x").to_pylist(), dtype=float).reshape(-1, _FEATURES)
-    y = seen.column("id").to_numpy().astype(float)
+    y = seen.column("y").to_numpy().astype(float)
     return evidence, Curve(x, y, stands=np.array([every[int(label)] / drawn_rows[int(label)] for label in y]))
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Word counts of a batch of sample rows by class; a text counts a word once, so that long texts do not outweigh others."""
-    for batch in sliced(batches):
-        found: dict[bytes, list[int]] = {}
-        for y, blob in zip(batch.column("y").to_pylist(), batch.column("text").to_pylist()):
-            for word in set((blob or b"").translate(BLANK_SEPARATED).split()):
-                found.setdefault(word, [0, 0])[0 if y else 1] += 1
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(found), pa.binary()), pa.array([c[0] for c in found.values()], pa.int64()), pa.array([c[1] for c in found.values()], pa.int64())],
-            names=["word", "toxic", "ordinary"],
-        )
+def _evidence(counts: pa.Table) -> Evidence:
+    toxic, ordinary = (counts.column(name).to_numpy().astype(float) for name in ("toxic", "ordinary"))
+    return Evidence(counts.column("word").to_pylist(), toxic, ordinary)
+
+
+def _drawn(max_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, 64):
+            found = [distinct_words(blob) for blob in batch.column("text").to_pylist()]
+            # Words of a long text are drawn over the whole of it.
+            found = [sorted(words, key=zlib.crc32)[:max_words] if len(words) > max_words else words for words in found]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("y"), pa.array(found, pa.list_(pa.binary()))], names=["id", "y", "words"])
+
+    return run
+
+
+def _seen_by_others(learned: pa.Table, rows: pa.Table) -> pa.Table:
+    """Features of a fold's rows by models of the other folds."""
+    evidence, found = _evidence(learned), []
+    for batch in sliced(iter(rows.to_batches())):
+        lists = batch.column("words").to_pylist()
+        ratio = evidence.of([word for words in lists for word in words])
+        ends = np.cumsum([len(words) for words in lists])
+        found += [_described(part) for part in np.split(ratio, ends[:-1])]
+    return pa.table([rows.column("y"), pa.array(found, pa.list_(pa.float64()))], names=["y", "x"])
 
 
 def toxicity(
@@ -214,21 +254,23 @@ def toxicity(
     label_column: str = "toxic",
     max_labelled: int = MAX_LABELLED,
     carry: str | None = None,
+    max_words: int = MAX_LABELLED_WORDS,
 ) -> DataFrame:
     """The id, ``score`` (0 to 1, higher: more likely toxic) and the column ``carry`` for every row of ``documents``.
 
     ``train`` is a condition on the id column: labels of other rows are never
     read. The classifier is fitted on at most ``max_labelled`` labelled rows,
-    half of each class, with texts of at most MAX_LABELLED_BYTES bytes; in the
-    curve both classes weigh as they do among all labelled training rows. Every
-    whole text is scored.
+    half of each class, by at most ``max_words`` distinct words of each (drawn by a
+    hash over the whole text); in the curve both classes weigh as they do among
+    all labelled training rows. Every whole text is scored, of any length.
 
     Defined cases: null, empty and blank texts have no evidence and get the score of
     that; without usable labels, or with one class only, every score is the same for
     one text; labels other than 0 and 1 are ignored and of several labels of a row
-    the highest counts; repeated rows are each scored. Other columns are ignored.
+    the highest counts; repeated rows are each scored, and for the fit one of them is
+    taken. Other columns are ignored.
     """
-    evidence, curve = fitted(documents, labels, train, id_column, text_column, label_column, max_labelled)
+    evidence, curve = fitted(documents, labels, train, id_column, text_column, label_column, max_labelled, max_words)
     carried = [F.col(carry).alias("carried")] if carry else []
     source = documents.select(F.col(id_column).alias("id"), *carried, F.col(text_column).cast("binary").alias("text"))
     found = source.mapInArrow(_features(evidence), StructType([*source.schema.fields[:-1], StructField("x", ArrayType(DoubleType()))]))
