@@ -16,6 +16,8 @@ its class as the sample left out, so a score means the same at every size.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import zlib
 from collections.abc import Iterator
 
@@ -237,14 +239,23 @@ def _drawn(max_words: int):
 def _seen_by_others(learned: pa.Table, rows: pa.Table) -> pa.Table:
     """Features of a fold's rows by models of the other folds."""
     evidence, found = _evidence(learned), []
-    for batch in sliced(iter(rows.to_batches())):
+    for batch in sliced(iter(rows.to_batches()), 32):
         lists = batch.column("words").to_pylist()
         ratio = evidence.of([word for words in lists for word in words])
         ends = np.cumsum([len(words) for words in lists])
         found += [_described(part) for part in np.split(ratio, ends[:-1])]
+    del evidence
+    _give_back()
     return pa.table([rows.column("y"), pa.array(found, pa.list_(pa.float64()))], names=["y", "x"])
 
 
+def _give_back() -> None:
+    """Return freed memory to the system: the worker that has made a fold's models goes on to other tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # there is nothing to call where the C library is another one
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def toxicity(
     documents: DataFrame,
     labels: DataFrame,
