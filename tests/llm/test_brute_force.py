@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import pathlib
 import re
 import struct
 import zlib
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidyloom.llm import decontaminate, interpolation, minhash, near_vectors, packing, personal, queries, quotes, redirects, suffixes, toxicity
+from tidyloom.settings import shared_folder
 
 
 @pytest.fixture(scope="module")
@@ -86,6 +88,20 @@ def test_scores_do_not_depend_on_blocks(spark, texts):
     assert all(math.isclose(one[d], other[d], rel_tol=1e-12) for other in others for d in one)
 
 
+def test_texts_are_dealt_out_once_and_counts_are_removed(spark, texts, monkeypatch):
+    frames, stored = [], interpolation.stored
+    monkeypatch.setattr(interpolation, "stored", lambda frame: frames.append(frame) or stored(frame))
+    folder = pathlib.Path(shared_folder(spark).removeprefix("file:"))
+    before = {*folder.glob("tidyloom-*")}
+    frame = spark.createDataFrame(list(texts.items())[:20], "doc_id long, text string")
+    assert interpolation.interpolated_scores(frame, F.lit(True), block_bytes=20_000).count() == 20
+    assert {*folder.glob("tidyloom-*")} == before  # nothing but checkpoints, which Spark cleans up
+    (counted,) = frames
+    counted.collect()
+    plan = counted._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in plan and plan.count("Scan ExistingRDD") == 1
+
+
 def test_mixture_weights_find_the_better_estimate():
     # Bucket 3: the bigram estimate (1/2) always beats the word estimate (1/1024).
     key = np.array([(3 * 1001 + 4) * 1001 + 40])

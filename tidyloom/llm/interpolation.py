@@ -10,9 +10,10 @@ sends the hashes of its distinct words and bigrams, with their counts in
 training documents, sorted and cut into parts; each part adds up what all blocks
 have sent and answers every block with the totals in the order of its question.
 So an answer needs no keys, a frequent word is one entry for each block, and
-no table of n-grams is ever sent to all tasks. With its answers each text is
-written once as the counts of its tokens; weights and scores are read from those
-without a further shuffle.
+no table of n-grams is ever sent to all tasks. Questions and answers are one
+plan, in which both read the same exchange of the texts. With its answers each
+text is written once as the counts of its tokens; weights and scores are read
+from those without a further shuffle.
 """
 
 from __future__ import annotations
@@ -22,12 +23,13 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidyloom.llm.store import saved
 from tidyloom.llm.words import BLANK_SEPARATED, Words, chunks, mix, sliced
+from tidyloom.settings import stored
 
 #: Text bytes of a block, about; larger blocks send fewer hashes and need more memory.
 BLOCK_BYTES = 8 << 20
@@ -66,6 +68,15 @@ def _from_planes(raw: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(width, -1).T).view(kind).ravel()
 
 
+def _packed(raw: bytes) -> bytes:
+    """Counts are small and alike; Zstandard takes less room than Spark's own shuffle compression."""
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unpacked(raw: bytes) -> bytes:
+    return pa.decompress(raw[8:], decompressed_size=int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True)
+
+
 def _distinct(hashes: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All distinct hashes in order, with counts of those in training texts."""
     seen, counts = np.unique(hashes[train], return_counts=True)
@@ -87,7 +98,7 @@ def _questions(parts: int):
             cuts = np.flatnonzero(np.diff(part)) + 1
             for lo, hi in zip([0, *cuts], [*cuts, len(keys)]):
                 if hi > lo:
-                    rows.append((block, kind, int(part[lo]), _planes(keys[lo:hi], "<u8"), _planes(counts[lo:hi], "<u4")))
+                    rows.append((block, kind, int(part[lo]), _planes(keys[lo:hi], "<u8"), _packed(_planes(counts[lo:hi], "<u4"))))
         return _table(rows, ("block", "kind", "part", "keys", "counts"), (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))
 
     return run
@@ -103,7 +114,7 @@ def _answers(key: tuple, sent: pa.Table) -> pa.Table:
     kind, part = key[0].as_py(), key[1].as_py()
     blocks = sent.column("block").to_pylist()
     keys = [_from_planes(b, "<u8") for b in sent.column("keys").to_pylist()]
-    counts = [_from_planes(b, "<u4") for b in sent.column("counts").to_pylist()]
+    counts = [_from_planes(_unpacked(b), "<u4") for b in sent.column("counts").to_pylist()]
     every = np.concatenate(keys)
     order = np.argsort(every, kind="stable")
     first = np.concatenate(([True], np.diff(every[order]) != 0))
@@ -112,39 +123,49 @@ def _answers(key: tuple, sent: pa.Table) -> pa.Table:
     back[order] = np.cumsum(first) - 1
     rows, at = [(-1, kind, part, b"", int(total.sum()), int((total > 0).sum()))], 0
     for block, own in zip(blocks, keys):
-        rows.append((block, kind, part, _planes(total[back[at : at + len(own)]], "<u8"), 0, 0))
+        rows.append((block, kind, part, _packed(_planes(total[back[at : at + len(own)]], "<u8")), 0, 0))
         at += len(own)
     return _table(rows, ("block", "kind", "part", "totals", "tokens", "types"), (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64()))
 
 
 def _narrow(counts: np.ndarray) -> bytes:
     """The numbers byte by byte, in as few bytes each as the largest needs: 1, 2, 4 or 8."""
-    return _planes(counts, f"<u{next(w for w in (1, 2, 4, 8) if w == 8 or int(counts.max()) >> 8 * w == 0)}")
+    return _packed(_planes(counts, f"<u{next(w for w in (1, 2, 4, 8) if w == 8 or int(counts.max()) >> 8 * w == 0)}"))
 
 
 def _matched(hashes: np.ndarray, answered: list[bytes]) -> np.ndarray:
     keys, back = np.unique(hashes, return_inverse=True)
-    totals = np.concatenate([_from_planes(raw, "<u8") for raw in answered]) if answered else np.empty(0, np.uint64)
+    totals = np.concatenate([_from_planes(_unpacked(raw), "<u8") for raw in answered]) if answered else np.empty(0, np.uint64)
     if len(totals) != len(keys):
         raise RuntimeError(f"{len(totals)} answers to {len(keys)} questions: a block was not the same when it was read again")
     return totals.astype(np.int64)[back]
 
 
 def _counted(id_type: pa.DataType):
-    """Each text of a block as the counts of its tokens in the whole training corpus; every text has its end at least."""
+    """Each text of a block as the counts of its tokens in the whole training corpus; every text has its end at least.
+
+    Block -1, which has no texts, is one row with the corpus's tokens and types of words; they are null on a text's row.
+    """
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        if not docs.num_rows:
+            words = answers.filter(pc.equal(answers.column("kind"), WORD))
+            row = ([None], [False], [0], [b""], [b""], *([pc.sum(words.column(name)).as_py()] for name in ("tokens", "types")))
+            kinds = (id_type, pa.bool_(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
+            return pa.table([pa.array(value, kind) for value, kind in zip(row, kinds)], names=["id", "train", "n_tokens", "words", "pairs", "tokens", "types"])
         tokens, pairs, begins = _tokens([b or b"" for b in docs.column("text").to_pylist()])
         found = sorted(zip(answers.column("kind").to_pylist(), answers.column("part").to_pylist(), answers.column("totals").to_pylist()))
         word, pair = (_matched(hashes, [raw for k, _, raw in found if k == kind]) for kind, hashes in ((WORD, tokens), (PAIR, pairs)))
         texts = list(zip(begins[:-1].tolist(), begins[1:].tolist()))
         return pa.table(
             {
-                "id": docs.column("id").combine_chunks() if docs.num_rows else pa.array([], id_type),
-                "train": docs.column("train").combine_chunks() if docs.num_rows else pa.array([], pa.bool_()),
+                "id": docs.column("id").combine_chunks(),
+                "train": docs.column("train").combine_chunks(),
                 "n_tokens": pa.array(np.diff(begins), pa.int64()),
                 "words": pa.array([_narrow(word[lo:hi]) for lo, hi in texts], pa.binary()),
                 "pairs": pa.array([_narrow(pair[lo:hi]) for lo, hi in texts], pa.binary()),
+                "tokens": pa.nulls(len(texts), pa.int64()),
+                "types": pa.nulls(len(texts), pa.int64()),
             }
         )
 
@@ -158,7 +179,7 @@ class _Counted:
         sizes = texts.column("n_tokens").to_numpy()
         self.begins = np.concatenate(([0], np.cumsum(sizes)))
         self.word, self.pair = (
-            np.concatenate([_from_planes(raw, f"<u{len(raw) // n}").astype(np.int64) for raw, n in zip(texts.column(name).to_pylist(), sizes.tolist())])
+            np.concatenate([_from_planes(raw, f"<u{len(raw) // n}").astype(np.int64) for raw, n in zip(map(_unpacked, texts.column(name).to_pylist()), sizes.tolist())])
             for name in ("words", "pairs")
         )
         # A context is counted as a word; the begin of a text as the end of one.
@@ -254,14 +275,15 @@ def interpolated_scores(
         F.col(text_column).cast("binary").alias("text"),
         F.coalesce(train, F.lit(False)).alias("train"),
     )
-    sent = docs.select("block", "text", "train").groupBy("block").applyInArrow(_questions(blocks), "block long, kind int, part long, keys binary, counts binary")
+    # Both groupings take the same columns, so that Spark deals the texts out once for the two.
+    sent = docs.groupBy("block").applyInArrow(_questions(blocks), "block long, kind int, part long, keys binary, counts binary")
     answers = sent.groupBy("kind", "part").applyInArrow(_answers, "block long, kind int, part long, totals binary, tokens long, types long")
-    answers = saved(answers, "answers")
-    tokens, types = answers.where(f"block = -1 and kind = {WORD}").agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first()
-    asked = answers.where("block >= 0").select("block", "kind", "part", "totals")
-    counted = docs.groupBy("block").cogroup(asked.groupBy("block"))
     name = kind.simpleString()
-    counted = saved(counted.applyInArrow(_counted(to_arrow_type(kind)), f"id {name}, train boolean, n_tokens long, words binary, pairs binary"), "counted")
+    columns = f"id {name}, train boolean, n_tokens long, words binary, pairs binary, tokens long, types long"
+    # A checkpoint, since Spark removes it when the scores are no longer used.
+    counted = stored(docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_counted(to_arrow_type(kind)), columns))
+    tokens, types = counted.where("tokens is not null").agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first()
+    counted = counted.where("tokens is null")
     seen = counted.where("train").select("n_tokens", "words", "pairs").mapInArrow(_observed(tokens), "key long, n long")
     seen = seen.groupBy("key").agg(F.sum("n").alias("n")).toArrow().sort_by("key")  # a bounded grid; one order, so that sums of doubles are the same each time
     weights = mixture_weights(seen.column("key").to_numpy(), seen.column("n").to_numpy().astype(float), types)
