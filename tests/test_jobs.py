@@ -3,6 +3,7 @@
 import datetime
 
 from conftest import rows
+from pyspark.sql import functions as F
 
 from tidyloom.plans import bank, calls, flights, games, retail, school, staff, survey
 from tidyloom.sources import readers
@@ -270,3 +271,13 @@ def test_seats_and_tickets(spark):
     assert rows(report["unbooked_flights"], "flight_number", "reported_on") == [("P2", day("2024-01-31"))]
     assert rows(report["unbooked_customers"], "customer_id") == [(2,)]
     assert ("unbooked_customers", 1, '{"customer_id":2}') in rows(flights.ticket_document(report))
+
+
+def test_grades_are_counted_in_many_tasks(spark):
+    ids = [F.col("id").alias("student_id"), F.lit("a").alias("first_name"), F.lit("b").alias("last_name"), F.lit("M").alias("Gender"), F.lit("2010-03-05").alias("D.O.B")]
+    raw = spark.range(0, 100, 1, 1).select(*ids, (F.col("id") * 1.0).alias("2021-maths"), F.lit(50.0).alias("2022-maths"))
+    found = school.cause_for_concern(raw)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # The scan's one task must not count all grades: each partial count lies above a shuffle of the students.
+    assert plan.count("REPARTITION_BY_NUM") >= plan.count("Expand") > 0
+    assert found.count() == 49
