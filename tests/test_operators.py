@@ -399,3 +399,16 @@ def test_key_grid_of_many_blocks(spark):
     grid = scaffold.key_grid(keys, values)
     assert grid.count() == 17_500 == grid.distinct().count()
     assert scaffold.key_grid(keys, values.limit(0)).count() == 0
+
+
+def test_grid_of_few_values_is_made_in_many_tasks(spark):
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        keys = spark.range(0, 2000, 1, 1).withColumnRenamed("id", "k")
+        values = spark.range(5000).select((F.col("id") % 7).alias("v")).distinct()
+        grid = scaffold.key_grid(keys, values)
+        sizes = [row["count"] for row in grid.groupBy(F.spark_partition_id().alias("at")).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    assert sum(sizes) == 14000 and len(sizes) >= 4 and max(sizes) < 7000

@@ -53,7 +53,10 @@ def key_grid(keys: DataFrame, values: DataFrame) -> DataFrame:
     packed = packed.groupBy("_block", "_parts").agg(F.collect_list(F.struct(*values.columns)).alias("_values"))
     packed = packed.select("_block", "_values", numbers("_parts").alias("_part"))
     copies = counted(keys).withColumn("_part", F.pmod(F.xxhash64(*keys.columns), "_parts")).withColumn("_block", numbers("_blocks"))
-    joined = copies.join(packed, ["_block", "_part"])
+    # Rows of the keys are few bytes and many rows of the grid: a number of partitions that is given keeps Spark
+    # from putting them in one task, and the hint from broadcasting them to the one task of a small other side.
+    spread = copies.repartition(wanted // 4, "_block", "_part")
+    joined = spread.join(packed.hint("merge"), ["_block", "_part"])
     return joined.withColumn("_value", F.explode("_values")).select(
         *keys.columns, *[F.col(f"_value.{c}").alias(c) for c in values.columns]
     )
