@@ -45,3 +45,10 @@ def test_split_running_total_has_no_single_task_window(spark, split):
     # The one window left works on one row for each range, not on the table.
     assert "SinglePartition" not in plan.split("BroadcastExchange")[0]
     assert frame.agg(F.max("total")).first()[0] == 999 * 1000 // 2
+
+
+@pytest.mark.parametrize("name", ["q_unbooked_seats", "q_scaffold_month"])
+def test_grids_are_dealt_out_and_their_keys_not_broadcast(spark, name):
+    plan = plan_of(QUERIES[name](spark, TABLES))
+    assert "REPARTITION_BY_NUM" in plan
+    assert [line for line in plan.splitlines() if "BroadcastHashJoin [_block" in line] == []
