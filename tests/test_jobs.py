@@ -281,3 +281,19 @@ def test_grades_are_counted_in_many_tasks(spark):
     # The scan's one task must not count all grades: each partial count lies above a shuffle of the students.
     assert plan.count("REPARTITION_BY_NUM") >= plan.count("Expand") > 0
     assert found.count() == 49
+
+
+def test_plain_details_are_those_of_the_pattern(spark):
+    from itertools import product
+
+    # Every text of few marks and letters, and some longer ones: where the quick way answers, the pattern gives the same.
+    texts = ["".join(t) for n in (1, 2, 3) for t in product(["//", "-", "a", "/", "\n", " "], repeat=n)]
+    texts = [f"{a}//{b}//{c}//d//{e}" for a, b, c, e in product(["x", "", "x/y", "x-", "\r", "\u0085"], ["7", "-", "/"], [*texts, "p-q-r", "p-q-", "-q", "p--q"], ["9.5", ""])]
+    texts += ["1//2//p-q//r//3//4", "1//2//p-q//r", "a\x01//2//p-q//r//3", "none"]
+    frame = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
+    quick, slow = flights.plain_details(F.col("t")), [F.regexp_extract("t", flights.DETAIL_PATTERN, i) for i in range(1, 7)]
+    found = frame.select("t", quick.alias("q"), F.when(F.rlike("t", F.lit(flights.DETAIL_PATTERN)), F.array(*slow)).alias("s"))
+    assert found.where("q IS NOT NULL AND NOT q <=> s").count() == 0
+    assert found.where("q IS NOT NULL").count() > 20 < found.where("q IS NULL AND s IS NOT NULL").count()
+    plain = spark.createDataFrame([("2024-01-02//PA1//X-Y-Z//Economy//9.5",)], "t string").select(flights.plain_details(F.col("t")).alias("q"))
+    assert rows(plain) == [(["2024-01-02", "PA1", "X-Y", "Z", "Economy", "9.5"],)]

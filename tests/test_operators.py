@@ -412,3 +412,18 @@ def test_grid_of_few_values_is_made_in_many_tasks(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
     assert sum(sizes) == 14000 and len(sizes) >= 4 and max(sizes) < 7000
+
+
+def test_search_of_ranges_is_generated_code(spark):
+    frame = spark.range(500).select(F.sha2(F.col("id").cast("string"), 256).alias("t"), (F.col("id") % 7).alias("x"))
+    indexed = ordered.row_index(frame, [F.col("t"), F.col("x")], "i")
+    # A higher-order function ends the generated code, and the borders are copied into every row before it.
+    assert "aggregate([" not in indexed._jdf.queryExecution().optimizedPlan().toString()
+    assert [r.i for r in indexed.orderBy("t", "x").collect()] == list(range(1, 501))
+
+
+def test_split_groups_runs_its_pattern_once(spark):
+    frame = spark.createDataFrame([("a-b",), ("none",)], "t string")
+    split = reshape.split_groups(frame, "t", r"^(.+)-(.+)$", ["a", "b"])
+    assert split._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(") == 1
+    assert rows(split) == [(None, None), ("a", "b")]

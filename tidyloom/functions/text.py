@@ -17,18 +17,21 @@ def extract(column: Column | str, pattern: str, group: int = 1) -> Column:
     return F.nullif(F.regexp_extract(as_column(column), pattern, group), F.lit(""))
 
 
-def group_pieces(column: Column | str, pattern: str, groups: int) -> Column:
-    """The groups of the first match as an array; null without a match.
+def group_pieces(column: Column | str, pattern: str, groups: int, usual: Column | None = None) -> Column:
+    """The groups of the first match as an array; null or empty without a match.
 
     One run of the pattern writes all groups with a mark before each, and the
     marks part them. Only a text that holds the mark itself is read group by group.
+    ``usual`` gives the same groups in less time for texts of the usual form, and
+    null for all others, which are left to the pattern.
     """
     column, mark = as_column(column), "\x01"
     written = F.regexp_replace(column, f"(?s)^.*?(?-s:{pattern}).*$", "".join(f"{mark}${i}" for i in range(1, groups + 1)))
-    pieces = F.split(written, mark, -1)
+    # Without a match no mark is written and nothing follows the first piece. A test of that would run the pattern again.
+    found = F.slice(F.split(written, mark, -1), 2, groups)
     one_by_one = F.array(*[F.regexp_extract(column, pattern, i) for i in range(1, groups + 1)])
-    found = F.when(F.size(pieces) == groups + 1, F.slice(pieces, 2, groups))
-    return F.when(column.contains(mark), F.when(column.rlike(pattern), one_by_one)).otherwise(found)
+    matched = F.when(column.contains(mark), F.when(column.rlike(pattern), one_by_one)).otherwise(found)
+    return matched if usual is None else F.coalesce(usual, matched)
 
 
 def extract_all(column: Column | str, pattern: str) -> Column:

@@ -126,16 +126,15 @@ class Ranges:
         else:
             placed = df.withColumn("_borders", self.borders)
         placed = placed.withColumn("_point", self._point())
-        steps = F.array(*[F.lit(1 << i) for i in reversed(range(self.most.bit_length()))])
-        borders, point = F.col("_borders"), F.col("_point")
-
-        def further(at: Column, step: Column) -> Column:
-            reached = F.get(borders, at + step - 1)
+        # A search written as one higher-order function would end Spark's generated code, which copies the borders into
+        # every row; as one column after the other no row is made between the steps. Null borders are never behind.
+        placed = placed.withColumn("_range", F.lit(0))
+        at, borders, point = F.col("_range"), F.col("_borders"), F.col("_point")
+        for step in [1 << i for i in reversed(range(self.most.bit_length()))]:
+            reached = F.get(borders, at + (step - 1))
             behind = ~self._after(reached, point) if self.falls is None else reached.isNotNull() & ~self._after(reached, point)
-            return F.when(behind, at + step).otherwise(at)
-
-        # Rows of groups without a border, in most tables nearly all, need no search.
-        return placed.withColumn("_range", F.when(borders.isNotNull(), F.aggregate(steps, F.lit(0), further)).otherwise(0))
+            placed = placed.withColumn("_range", F.when(behind, at + step).otherwise(at))
+        return placed
 
     def at_border(self) -> Column:
         """Whether a placed row's point is a border."""

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidyloom.functions import dates, predicates
@@ -26,9 +27,31 @@ CLASS_CODES = {"E": "Economy", "PE": "Premium Economy", "BC": "Business Class",
 SEAT_NAMES = {"CustomerID": "customer_id", "Seat": "seat", "Row": "row", "Class": "seat_class_code"}
 
 
+def plain_details(column: Column) -> Column:
+    """The groups of ``DETAIL_PATTERN`` where its marks can only be meant in one way; null for other texts.
+
+    The pattern turns back at every mark and takes most of the time of a table's
+    split. In a text of one line with four double slashes and no triple one, the parts
+    are those between the slashes, and the dash is the last one of the third part.
+    """
+
+    def groups(parts: Column) -> Column:
+        first, number, route, seat, price = [F.get(parts, F.lit(i)) for i in range(5)]
+        to = F.substring_index(route, "-", -1)
+        # The characters before the dash; none or fewer if there is no dash.
+        start = F.length(route) - F.length(to) - 1
+        whole = (F.size(parts) == 5) & (F.length(first) > 0) & (F.length(price) > 0) & (F.length(to) > 0) & (start > 0)
+        return F.when(whole, F.array(first, number, F.left(route, start), to, seat, price))
+
+    odd = [column.contains(mark) for mark in ("///", "\n", "\r", "\u0085", "\u2028", "\u2029")]
+    parts = F.when(~reduce(lambda a, b: a | b, odd), F.split(column, "//", -1))
+    return F.get(F.transform(F.array(parts), groups), F.lit(0))
+
+
 def split_details(raw: DataFrame) -> DataFrame:
     """The detail text as typed columns."""
-    split = reshape.split_groups(raw, "Flight Details", DETAIL_PATTERN, DETAIL_NAMES)
+    usual = plain_details(F.col("Flight Details"))
+    split = reshape.split_groups(raw, "Flight Details", DETAIL_PATTERN, DETAIL_NAMES, usual)
     typed = split.withColumns(
         {
             "flew_on": dates.parse_date("flew_on", "iso"),
