@@ -1,10 +1,15 @@
 """What the physical plans must and must not contain."""
 
+import time
+
 import pytest
 from conftest import TABLES
+from pyspark.sql import functions as F
 
+from tidyloom.operators.ordered import difference_to_previous
 from tidyloom.queries import QUERIES
 from tidyloom.queries.registry import in_year, table
+from tidyloom.settings import BORDERS_PER_PARTITION
 
 # Results of a fixed size may pass one task; nothing may be compared pairwise or leave the JVM.
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "BatchEvalPython", "MapInPandas"]
@@ -52,3 +57,16 @@ def test_grids_are_dealt_out_and_their_keys_not_broadcast(spark, name):
     plan = plan_of(QUERIES[name](spark, TABLES))
     assert "REPARTITION_BY_NUM" in plan
     assert [line for line in plan.splitlines() if "BroadcastHashJoin [_block" in line] == []
+
+
+def test_plans_do_not_grow_with_the_number_of_borders(spark):
+    # 14 steps of search; each of them tripled the work of planning.
+    spark.conf.set(BORDERS_PER_PARTITION, str(1 << 12))
+    try:
+        frame = difference_to_previous(spark.range(100).withColumn("key", F.col("id") % 3), ["key"], [F.col("id")], F.col("id"), "step")
+        began = time.time()
+        plan_of(frame)
+        assert time.time() - began < 20
+        assert frame.where("step = 3").count() == 97 and frame.where("step is null").count() == 3
+    finally:
+        spark.conf.unset(BORDERS_PER_PARTITION)

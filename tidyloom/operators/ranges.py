@@ -134,7 +134,9 @@ class Ranges:
             reached = F.get(borders, at + (step - 1))
             behind = ~self._after(reached, point) if self.falls is None else reached.isNotNull() & ~self._after(reached, point)
             placed = placed.withColumn("_range", F.when(behind, at + step).otherwise(at))
-        return placed
+        # A step names the one before it several times. Spark's optimizer follows a join key or a condition down to the
+        # table and writes each step out there, which triples the expression every time; what explode gives has no such origin.
+        return placed.withColumn("_range", F.explode(F.array("_range")))
 
     def at_border(self) -> Column:
         """Whether a placed row's point is a border."""
