@@ -3,11 +3,14 @@
 import collections
 import math
 import random
+import tracemalloc
+import weakref
 
 import numpy as np
 from pyspark.sql import functions as F
 
 from tidyloom.llm import toxicity
+from tidyloom.llm import words as words_of_texts
 
 
 def test_scores_keep_their_scale_when_the_larger_class_is_cut(spark):
@@ -86,3 +89,36 @@ def test_rows_of_one_class_or_none(spark):
     for labels in (frame, frame.where("toxic = 1"), frame.where("toxic is null"), frame.limit(0)):
         scores = toxicity.toxicity(frame.select("doc_id", "text"), labels.select("doc_id", "toxic"), F.lit(True)).collect()
         assert len(scores) == 14 and all(0 <= r["score"] <= 1 for r in scores)
+
+
+def test_models_spell_out_few_words_at_once():
+    draw = random.Random(3)
+    stems = [bytes(draw.choices(b"abcdefghijklmnop", k=5)) for _ in range(300)]
+    words = sorted({a + b for a in stems for b in stems})
+    weights = [np.array([draw.randint(0, 3) for _ in words], dtype=float) for _ in range(2)]
+    keys, owner = toxicity._padded(words)
+    whole, back = np.unique(keys, return_inverse=True)
+    tracemalloc.start()
+    grams, counts = toxicity._counted(words, tuple(weights))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (grams == whole).all()
+    assert all((c == np.bincount(back, weights=w[owner])).all() for c, w in zip(counts, weights))
+    # One array of all n-grams, spelled out with their lead, is 16 * 8 bytes a word; at once, several of them were held.
+    assert most < 3 * 16 * 8 * len(words)
+
+
+def test_tasks_give_back_what_they_held(monkeypatch):
+    class Held:
+        pass
+
+    seen = []
+
+    def run(batches):
+        held = Held()
+        seen.append(weakref.ref(held))
+        yield from batches
+
+    monkeypatch.setattr(words_of_texts, "give_back", lambda: seen.append(seen[0]()))
+    assert list(words_of_texts.giving_back(run)(iter([1, 2]))) == [1, 2]
+    assert len(seen) == 2 and seen[1] is None

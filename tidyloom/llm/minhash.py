@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidyloom.llm.store import bounded_broadcast, connected, saved
-from tidyloom.llm.words import BLANK_SEPARATED, Words, chunks, mix, shingles, sliced
+from tidyloom.llm.words import BLANK_SEPARATED, Words, chunks, giving_back, mix, shingles, sliced
 
 _PLACES = 1 << 20
 BANDS, ROWS = 24, 4
@@ -120,7 +120,7 @@ def _pairs(members: DataFrame, hubs: DataFrame, bucket: str, per_cent: int) -> D
 def _linked(pairs: DataFrame, texts: DataFrame, kind: str, size: int, per_cent: int) -> DataFrame:
     sides = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("left")), "a")
     sides = sides.join(texts.select(F.col("id").alias("b"), F.col("text").alias("right")), "b").select("a", "b", "left", "right")
-    return sides.mapInArrow(_confirmed(size, per_cent), f"a {kind}, b {kind}")
+    return sides.mapInArrow(giving_back(_confirmed(size, per_cent)), f"a {kind}, b {kind}")
 
 
 def _regrouped(members: DataFrame, groups: DataFrame) -> DataFrame:
@@ -140,7 +140,7 @@ def _prefixes(nodes: DataFrame, texts: DataFrame, kind: str, size: int, per_cent
 
     ``most``: of two sets whose first common shingle this is, so many can be in both.
     """
-    grams = saved(texts.join(nodes.select("id"), "id").mapInArrow(_grams(size), f"node {kind}, gram long"), "grams")
+    grams = saved(texts.join(nodes.select("id"), "id").mapInArrow(giving_back(_grams(size)), f"node {kind}, gram long"), "grams")
     counts = saved(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1"), "counts")
     place = F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("texts", F.lit(1)), "gram"))
     ordered = grams.join(counts, "gram", "left").withColumn("place", place)
@@ -185,7 +185,7 @@ def near_duplicates(
     """
     source = documents.select(F.col(id_column).alias("id"), F.col(text_column).cast("binary").alias("text"))
     kind = source.schema["id"].dataType.simpleString()
-    signed = saved(source.mapInArrow(_signatures(shingle_words, bands, rows), f"id {kind}, n long, digest binary, bands array<long>"), "signatures")
+    signed = saved(source.mapInArrow(giving_back(_signatures(shingle_words, bands, rows)), f"id {kind}, n long, digest binary, bands array<long>"), "signatures")
     full = signed.where(F.col("digest").isNotNull() & F.col("id").isNotNull())
     classes = saved(full.groupBy("digest").agg(F.min("id").alias("node")), "classes")
     nodes = full.join(classes, "digest").where(F.col("id") == F.col("node"))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
-from tidyloom.llm.words import sliced
+from tidyloom.llm.words import giving_back, sliced
 
 TIERS = (256, 512, 1024, 2048)
 END = 1
@@ -213,4 +213,5 @@ def packed(
     kinds = {"ids": BinaryType(), "tier": IntegerType()}
     schema = StructType([StructField("id", kind), *(StructField(n, kinds.get(n, LongType())) for n in names)])
     tiers = tuple(sorted(tiers))
-    return source.mapInArrow(_packed(tokenizer_path, tiers, step_tokens, buffer_tokens, to_arrow_type(kind)), schema).withColumnRenamed("id", id_column)
+    pack = giving_back(_packed(tokenizer_path, tiers, step_tokens, buffer_tokens, to_arrow_type(kind)))
+    return source.mapInArrow(pack, schema).withColumnRenamed("id", id_column)

@@ -16,8 +16,6 @@ its class as the sample left out, so a score means the same at every size.
 
 from __future__ import annotations
 
-import contextlib
-import ctypes
 import zlib
 from collections.abc import Iterator
 
@@ -28,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, StructField, StructType
 
 from tidyloom.llm.store import saved
-from tidyloom.llm.words import sliced
+from tidyloom.llm.words import give_back, giving_back, sliced
 
 ORDER = 6  # bytes, the predicted one included: a key fits into 64 bits
 DISCOUNT = 0.75
@@ -39,6 +37,7 @@ STRONG = 3.0
 FOLDS = 5
 _FEATURES = 6
 _CACHE = 150_000
+_WORDS_AT_ONCE = 20_000
 
 # Words are runs of letters, A-Z lower-cased; any byte of a longer character counts as a letter.
 _LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -70,6 +69,24 @@ def _summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return unique, np.bincount(back, weights=weights, minlength=len(unique))
 
 
+def _counted(words: list[bytes], weights: tuple[np.ndarray, ...]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """All distinct n-grams of the words in order, and the sums of each kind of weights; only so many words are spelled out at once."""
+    grams, sums = np.empty(0, np.int64), [np.zeros(0) for _ in weights]
+    found: list[tuple] = []
+    for lo in range(0, len(words), _WORDS_AT_ONCE):
+        keys, owner = _padded(words[lo : lo + _WORDS_AT_ONCE])
+        unique, back = np.unique(keys, return_inverse=True)
+        found.append((unique, [np.bincount(back, weights=w[lo + owner], minlength=len(unique)) for w in weights]))
+        # Merged when what waits is as long as what is there, so that every n-gram is merged a few times only.
+        if sum(len(u) for u, _ in found) > len(grams) or lo + _WORDS_AT_ONCE >= len(words):
+            parts = [(grams, sums), *found]
+            del grams, sums
+            grams, back = np.unique(np.concatenate([u for u, _ in parts]), return_inverse=True)
+            sums = [np.bincount(back, weights=np.concatenate([s[i] for _, s in parts]), minlength=len(grams)) for i in range(len(weights))]
+            found = []
+    return grams, sums
+
+
 def _at(table: np.ndarray, values: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Value of each key, 0 for unknown keys."""
     if not len(table):
@@ -82,9 +99,7 @@ class Evidence:
     """Log-likelihood ratio of each known n-gram, and of falling back from each known context."""
 
     def __init__(self, words: list[bytes], toxic: np.ndarray, ordinary: np.ndarray):
-        keys, owner = _padded(words) if words else (np.empty(0, np.int64), np.empty(0, np.int64))
-        grams, back = np.unique(keys, return_inverse=True)
-        counts = [np.bincount(back, weights=w[owner], minlength=len(grams)) for w in (toxic, ordinary)]
+        grams, counts = _counted(words, (toxic, ordinary))
         shared = self._shared(grams)
         contexts, of = np.unique(grams >> 8, return_inverse=True)
         logs, falls = [], []
@@ -199,7 +214,7 @@ def fitted(
     halves = [present.where(F.col("y") == y).orderBy(order, "id").limit(max_labelled // 2) for y in (0, 1)]
     wanted = saved(halves[0].unionByName(halves[1]).select("id", "y"), "wanted")
     texts = documents.where(train).select(F.col(id_column).alias("id"), F.col(text_column).cast("binary").alias("text")).join(F.broadcast(wanted), "id")
-    drawn = texts.mapInArrow(_drawn(max_words), StructType([texts.schema["id"], StructField("y", IntegerType()), StructField("words", ArrayType(BinaryType()))]))
+    drawn = texts.mapInArrow(giving_back(_drawn(max_words)), StructType([texts.schema["id"], StructField("y", IntegerType()), StructField("words", ArrayType(BinaryType()))]))
     fold = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("fold")), F.lit(FOLDS)).cast("int")
     # Of repeated rows of one id one is taken.
     sample = saved(drawn.groupBy("id", "y").agg(F.min("words").alias("words")).withColumn("fold", fold), "sample")
@@ -245,17 +260,10 @@ def _seen_by_others(learned: pa.Table, rows: pa.Table) -> pa.Table:
         ends = np.cumsum([len(words) for words in lists])
         found += [_described(part) for part in np.split(ratio, ends[:-1])]
     del evidence
-    _give_back()
+    give_back()
     return pa.table([rows.column("y"), pa.array(found, pa.list_(pa.float64()))], names=["y", "x"])
 
 
-def _give_back() -> None:
-    """Return freed memory to the system: the worker that has made a fold's models goes on to other tasks."""
-    pa.default_memory_pool().release_unused()
-    with contextlib.suppress(OSError, AttributeError):  # there is nothing to call where the C library is another one
-        ctypes.CDLL("libc.so.6").malloc_trim(0)
-
-
 def toxicity(
     documents: DataFrame,
     labels: DataFrame,
@@ -284,5 +292,5 @@ def toxicity(
     evidence, curve = fitted(documents, labels, train, id_column, text_column, label_column, max_labelled, max_words)
     carried = [F.col(carry).alias("carried")] if carry else []
     source = documents.select(F.col(id_column).alias("id"), *carried, F.col(text_column).cast("binary").alias("text"))
-    found = source.mapInArrow(_features(evidence), StructType([*source.schema.fields[:-1], StructField("x", ArrayType(DoubleType()))]))
+    found = source.mapInArrow(giving_back(_features(evidence)), StructType([*source.schema.fields[:-1], StructField("x", ArrayType(DoubleType()))]))
     return found.select(F.col("id").alias(id_column), *(F.col("carried").alias(carry) for _ in carried), curve.column("x").alias("score"))

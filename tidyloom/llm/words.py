@@ -7,7 +7,9 @@ Two different words share a hash with a chance of about 2**-60.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +49,23 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
             yield batch.slice(first, rows)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: the worker that has run a task goes on to others, or waits beside them."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # there is nothing to call where the C library is another one
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def giving_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The same function over batches, which gives back at a task's end what the task has held."""
+
+    def to_the_end(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        give_back()
+
+    return to_the_end
+
+
 class _Powers:
     up = np.ones(1, dtype=np.uint64)
     down = np.ones(1, dtype=np.uint64)
