@@ -7,10 +7,14 @@ import tracemalloc
 import weakref
 
 import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.serializers import CloudPickleSerializer
 from pyspark.sql import functions as F
 
-from tidyloom.llm import toxicity
+from tidyloom.llm import decontaminate, minhash, packing, personal, toxicity
 from tidyloom.llm import words as words_of_texts
+from tidyloom.llm.queries import tokenizer
 
 
 def test_scores_keep_their_scale_when_the_larger_class_is_cut(spark):
@@ -122,3 +126,70 @@ def test_tasks_give_back_what_they_held(monkeypatch):
     monkeypatch.setattr(words_of_texts, "give_back", lambda: seen.append(seen[0]()))
     assert list(words_of_texts.giving_back(run)(iter([1, 2]))) == [1, 2]
     assert len(seen) == 2 and seen[1] is None
+
+
+def test_a_large_model_is_broadcast_beside_the_function(spark, monkeypatch):
+    draw = random.Random(9)
+    rows = [(i, " ".join("".join(draw.choices("abcdefghijklmnop", k=8)) for _ in range(200)), i % 2) for i in range(100)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    sent = []
+    monkeypatch.setattr(toxicity, "giving_back", lambda run: sent.append(run) or words_of_texts.giving_back(run))
+    scored = toxicity.toxicity(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"), F.lit(True))
+    assert len(CloudPickleSerializer().dumps(sent[-1])) < 100_000
+    spark.sparkContext._pickled_broadcast_vars.clear()
+    # 20,000 words of 8 letters make a model of some megabytes, and it is used.
+    assert all((r["score"] >= 0.5) == bool(r["doc_id"] % 2) for r in scored.collect())
+
+
+@pytest.mark.parametrize("operator", ["toxicity", "near copies", "contamination", "packing"])
+def test_texts_go_to_python_in_bounded_batches(spark, operator):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    texts = spark.range(0, 4000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some words "), 500).alias("text"))
+    few = texts.limit(4)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    run = {
+        "toxicity": lambda: toxicity.toxicity(few, few.select("doc_id", F.lit(1).alias("toxic")), F.lit(True)),
+        "near copies": lambda: minhash.near_duplicates(few),
+        "contamination": lambda: decontaminate.contamination(few, few.withColumnRenamed("doc_id", "item_id")),
+        "packing": lambda: packing.packed(few, tokenizer()),
+    }[operator]
+    try:
+        for own, most in ((None, 4 << 20), ("1m", 1 << 20), ("1g", 4 << 20)):
+            spark.conf.unset(key) if own is None else spark.conf.set(key, own)
+            run()
+            found = [r["n"] for r in texts.mapInArrow(sizes, "n long").collect()]
+            assert sum(found) > 20_000_000 and max(found) < most + 20_000
+    finally:
+        spark.conf.unset(key)
+
+
+def test_personal_data_starts_no_python_for_its_numbers(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, data, *a, f=type(spark).createDataFrame, **b: made.append(data) or f(self, data, *a, **b))
+    for text, n in (("write to ann@example.org or +1 415 555 0100", 2), ("nothing", 0)):
+        found = personal.personal_spans(spark.range(1).select(F.col("id").alias("doc_id"), F.lit(text).alias("text")))
+        assert [len(r["spans"]) for r in found.collect()] == [n]
+    assert len(made) == 2 and all(isinstance(data, pa.Table) for data in made)
+
+
+def test_hashing_holds_few_bytes_at_once(monkeypatch):
+    draw = random.Random(4)
+    blobs = [" ".join("".join(draw.choices("abcdé", k=5)) for _ in range(400)).encode() for _ in range(1200)]
+    for name in ("up", "down"):
+        monkeypatch.setattr(words_of_texts._Powers, name, np.ones(1, dtype=np.uint64))
+    tracemalloc.start()
+    found = [words_of_texts.Words(blobs[lo:hi]).hashes() for lo, hi in words_of_texts.chunks(blobs)]
+    held, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    # Before: 32 MB of powers in each process, 64 MB while they were made.
+    assert held < 20 << 20 and most < 32 << 20
+    # A word's hash does not depend on what stands before it, nor on how long the tables are.
+    alone = [words_of_texts.Words([blob]).hashes() for blob in blobs]
+    assert (np.concatenate(found) == np.concatenate(alone)).all()
+    long = b" ".join(blobs) * 2
+    assert len(long) > words_of_texts._KEPT and (words_of_texts.Words([long]).hashes()[: len(alone[0])] == alone[0]).all()
+    assert len(words_of_texts._Powers.up) <= words_of_texts._KEPT

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
-from tidyloom.llm.store import saved
-from tidyloom.llm.words import ALNUM_SEPARATED, Words, chunks, shingles, sliced
+from tidyloom.llm.store import bounded_batches, saved
+from tidyloom.llm.words import ALNUM_SEPARATED, Words, chunks, giving_back, shingles, sliced
 
 WINDOW = 13
 #: Benchmark windows that are broadcast at most (about 200 bytes each in a task).
@@ -143,6 +143,7 @@ def contamination(
     a null item id stands for no item, though its windows are hit; an empty benchmark hits
     nothing; repeated rows are each returned. Other columns are ignored.
     """
+    bounded_batches(documents.sparkSession)
     items = benchmark.select(F.col(item_column).alias("item"), F.col(item_text_column).cast("binary").alias("text"))
     kind = items.schema["item"].dataType.simpleString()
     windows = saved(items.mapInArrow(_windows_of(window), f"item {kind}, key long, size int, words binary"), "windows")
@@ -156,7 +157,7 @@ def contamination(
         for row in windows.toLocalIterator():
             held[(row["key"], row["size"], bytes(row["words"]))].add(row["item"])
         listed = [(*key, sorted(x for x in found if x is not None)) for key, found in held.items()]
-        out = source.mapInArrow(_scan(listed, arrow_kind), schema)
+        out = source.mapInArrow(giving_back(_scan(listed, arrow_kind)), schema)
     else:
         out = _by_join(source, windows, schema, arrow_kind)
     return out.withColumnsRenamed({"id": id_column, **({"carried": carry} if carry else {})})

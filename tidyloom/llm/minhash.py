@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidyloom.llm.store import bounded_broadcast, connected, saved
+from tidyloom.llm.store import bounded_batches, bounded_broadcast, connected, saved
 from tidyloom.llm.words import BLANK_SEPARATED, Words, chunks, giving_back, mix, shingles, sliced
 
 _PLACES = 1 << 20
@@ -183,6 +183,7 @@ def near_duplicates(
     be unique: of several texts under one id, the first in byte order stands for
     all when texts are compared. Other columns are ignored.
     """
+    bounded_batches(documents.sparkSession)
     source = documents.select(F.col(id_column).alias("id"), F.col(text_column).cast("binary").alias("text"))
     kind = source.schema["id"].dataType.simpleString()
     signed = saved(source.mapInArrow(giving_back(_signatures(shingle_words, bands, rows)), f"id {kind}, n long, digest binary, bands array<long>"), "signatures")

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
+from tidyloom.llm.store import bounded_batches
 from tidyloom.llm.words import giving_back, sliced
 
 TIERS = (256, 512, 1024, 2048)
@@ -207,6 +208,7 @@ def packed(
     are each packed; a null id is kept; an empty table gives no sequence.
     Other columns are ignored.
     """
+    bounded_batches(documents.sparkSession)
     source = documents.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     kind = source.schema["id"].dataType
     names = ("start", "length", "ids", "doc_tokens", "sequence_id", "offset", "tier", "step_id")

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from math import exp, log
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -221,7 +222,10 @@ def personal_spans(documents: DataFrame, id_column: str = "doc_id", text_column:
     patterns = voted.groupBy("kind", *LABELERS).count().collect()  # at most 4 * 3**5 rows
     posterior, _ = reliabilities([(r["kind"], tuple(r[n] for n in LABELERS), r["count"]) for r in patterns])
     keys = ["kind", *LABELERS]
-    known = spark.createDataFrame([(*k, float(p)) for k, p in posterior.items()], "kind string, form int, check int, gazetteer int, context int, edges int, p double")
+    # As an Arrow table: rows in Python would start Python processes on the executors, which stay beside those of the next stages.
+    columns = [*zip(*((*k, float(p)) for k, p in posterior.items()))] or [()] * (len(keys) + 1)
+    kinds = [pa.string(), *(pa.int32() for _ in LABELERS), pa.float64()]
+    known = spark.createDataFrame(pa.table([pa.array(c, kind) for c, kind in zip(columns, kinds)], names=[*keys, "p"]))
     weighed = voted.join(F.broadcast(known), keys).withColumn("features", _features())
     # Naive Bayes: how often each feature goes with either class, the probabilities as weights. At most 4 * 600 rows.
     each = weighed.select("kind", "p", F.explode("features").alias("feature"))

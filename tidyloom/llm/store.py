@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidyloom.settings import scratch_path
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Bytes of texts that a task sends to Python at once: it holds them twice, outside the heap and in Python.
+BATCH_BYTES = 4 << 20
+
 
 def saved(frame: DataFrame, label: str) -> DataFrame:
     """The frame, written as Parquet to the folder of ``spark.checkpoint.dir`` and read from there.
@@ -24,6 +30,13 @@ def bounded_broadcast(frame: DataFrame, rows: int, limit: int) -> DataFrame:
     return F.broadcast(frame) if rows <= limit else frame
 
 
+def bounded_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
+    """Let the session send at most so many bytes, and one row more, to Python at once; a smaller bound of its own stays."""
+    number, unit = re.match(r"(\d+)([kmgtp]?)", spark.conf.get(_BATCH).strip().lower()).groups()
+    if int(number) << 10 * " kmgtp".index(unit or " ") > most:
+        spark.conf.set(_BATCH, str(most))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 

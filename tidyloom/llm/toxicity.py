@@ -21,11 +21,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, StructField, StructType
 
-from tidyloom.llm.store import saved
+from tidyloom.llm.store import bounded_batches, saved
 from tidyloom.llm.words import give_back, giving_back, sliced
 
 ORDER = 6  # bytes, the predicted one included: a key fits into 64 bits
@@ -112,6 +113,15 @@ class Evidence:
         self.grams, self.gram_ratio = grams, logs[0] - logs[1]
         self.contexts, self.fall_ratio = contexts, falls[0] - falls[1]
 
+    def arrays(self) -> tuple[np.ndarray, ...]:
+        return self.grams, self.gram_ratio, self.contexts, self.fall_ratio
+
+    @classmethod
+    def of_arrays(cls, arrays: tuple[np.ndarray, ...]) -> Evidence:
+        made = cls.__new__(cls)
+        made.grams, made.gram_ratio, made.contexts, made.fall_ratio = arrays
+        return made
+
     @staticmethod
     def _shared(grams: np.ndarray) -> np.ndarray:
         """Kneser-Ney probability of the last byte after the shorter context, from continuation counts of both classes."""
@@ -140,8 +150,14 @@ class Evidence:
         return np.bincount(owner, weights=ratio, minlength=len(words))
 
 
-def _features(evidence: Evidence):
+def _features(model: Broadcast):
+    """Features of texts by the model whose arrays are broadcast.
+
+    A large object that a function brings with it is held twice in a process, as read and as made of that; arrays of a broadcast once.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        evidence = Evidence.of_arrays(model.value)
         known: dict[bytes, float] = {}
         for batch in sliced(batches):
             rows = []
@@ -289,8 +305,10 @@ def toxicity(
     the highest counts; repeated rows are each scored, and for the fit one of them is
     taken. Other columns are ignored.
     """
+    bounded_batches(documents.sparkSession)
     evidence, curve = fitted(documents, labels, train, id_column, text_column, label_column, max_labelled, max_words)
+    model = documents.sparkSession.sparkContext.broadcast(evidence.arrays())
     carried = [F.col(carry).alias("carried")] if carry else []
     source = documents.select(F.col(id_column).alias("id"), *carried, F.col(text_column).cast("binary").alias("text"))
-    found = source.mapInArrow(giving_back(_features(evidence)), StructType([*source.schema.fields[:-1], StructField("x", ArrayType(DoubleType()))]))
+    found = source.mapInArrow(giving_back(_features(model)), StructType([*source.schema.fields[:-1], StructField("x", ArrayType(DoubleType()))]))
     return found.select(F.col("id").alias(id_column), *(F.col("carried").alias(carry) for _ in carried), curve.column("x").alias("score"))

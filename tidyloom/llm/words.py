@@ -16,7 +16,10 @@ import pyarrow as pa
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_CHUNK = 1 << 20
+#: Bytes of text that are hashed at once: with their powers, about 60 bytes of arrays for each.
+_CHUNK = 1 << 18
+#: Powers of so many places stay in a process at most.
+_KEPT = 1 << 22
 
 # A-Z become a-z; the bytes between words become spaces.
 BLANK_SEPARATED = bytes(32 if b in b"\x20\x09\x0a\x0b\x0c\x0d" else b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -73,11 +76,12 @@ class _Powers:
     @classmethod
     def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(cls.up) < n:
-            size = max(n, _CHUNK * 2)
+            # Doubled, so that it is not made again for each text a little longer.
+            size = max(1 << (n - 1).bit_length(), _CHUNK * 2) if n <= _KEPT else n
             up, down = np.full(size, _BASE), np.full(size, _INVERSE)
             up[0] = down[0] = 1
             up, down = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
-            if size > _CHUNK * 4:  # a very long text: do not keep its tables
+            if size > _KEPT:  # a very long text: do not keep its tables
                 return up[:n], down[:n]
             cls.up, cls.down = up, down
         return cls.up[:n], cls.down[:n]
